@@ -11,19 +11,17 @@ from ..functions import fixed
 from ..functions.text import strip_text
 from ..session import materialise
 
+# Tried in this order after ISO forms; ambiguous day/month order reads month first.
 TIMESTAMP_FORMATS = (
-    "dd.MM.yyyy HH:mm:ss",
-    "dd.MM.yyyy HH:mm",
-    "dd.MM.yyyy",
-    "MM/dd/yyyy HH:mm:ss",
-    "MM/dd/yyyy HH:mm",
-    "MM/dd/yyyy",
-    "yyyyMMdd'T'HHmmss",
-    "yyyyMMdd",
-    "MMM d, yyyy HH:mm:ss",
-    "MMM d, yyyy",
-    "d MMM yyyy HH:mm:ss",
-    "d MMM yyyy",
+    "M.d.yyyy[ H:mm[:ss]]",
+    "d.M.yyyy[ H:mm[:ss]]",
+    "M/d/yyyy[ H:mm[:ss]]",
+    "d/M/yyyy[ H:mm[:ss]]",
+    "yyyy/M/d[ H:mm[:ss]]",
+    "yyyy.M.d[ H:mm[:ss]]",
+    "yyyyMMdd['T'HHmmss]",
+    "MMM d, yyyy[ H:mm[:ss]]",
+    "d MMM yyyy[ H:mm[:ss]]",
 )
 
 

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
@@ -59,6 +60,24 @@ def topic_centroids(vectors: DataFrame) -> DataFrame:
     )
 
 
+def _best_of(model: Broadcast):
+    """Arrow function (embedding, banned topic) -> best (similarity, topic) among broadcast unit vectors."""
+
+    @F.pandas_udf("similarity double, topic int")
+    def best(embedding: pd.Series, banned: pd.Series) -> pd.DataFrame:
+        ids, unit = model.value
+        values = to_matrix(embedding)
+        scores = values @ unit.T / np.maximum(np.linalg.norm(values, axis=1, keepdims=True), TINY)
+        scores[banned.to_numpy()[:, None] == ids[None, :]] = -np.inf
+        choice = scores.argmax(axis=1)
+        top = scores[np.arange(len(choice)), choice]
+        found = np.isfinite(top)
+        topics = [int(ids[c]) if ok else None for c, ok in zip(choice, found)]
+        return pd.DataFrame({"similarity": np.where(found, top, np.nan), "topic": pd.array(topics, dtype="Int32")})
+
+    return best
+
+
 def nearest_centroid(
     vectors: DataFrame, centroids: DataFrame, exclude: str | None = None, block_bytes: int = 256 << 20
 ) -> DataFrame:
@@ -84,18 +103,7 @@ def nearest_centroid(
         matrix /= np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), TINY)
         model = spark.sparkContext.broadcast((np.array([row.topic_id for row in rows]), matrix))
 
-        @F.pandas_udf("similarity double, topic int")
-        def best(embedding: pd.Series, banned: pd.Series, model=model) -> pd.DataFrame:
-            ids, unit = model.value
-            values = to_matrix(embedding)
-            scores = values @ unit.T / np.maximum(np.linalg.norm(values, axis=1, keepdims=True), TINY)
-            scores[banned.to_numpy()[:, None] == ids[None, :]] = -np.inf
-            choice = scores.argmax(axis=1)
-            top = scores[np.arange(len(choice)), choice]
-            found = np.isfinite(top)
-            topics = [int(ids[c]) if ok else None for c, ok in zip(choice, found)]
-            return pd.DataFrame({"similarity": np.where(found, top, np.nan), "topic": pd.array(topics, dtype="Int32")})
-
+        best = _best_of(model)
         banned = F.col(exclude) if exclude else F.lit(OUTLIER - 1)
         challenger = result.withColumn("__best", best("embedding", banned))
         better = F.col("__best.topic").isNotNull() & (

@@ -43,6 +43,7 @@ def message_units(messages: DataFrame, flags: Sequence[str] = tuple(fixed.DOMAIN
         "week",
         "month",
         *flags,
+        F.array("source_row_id").alias("source_row_ids"),
     )
 
 
@@ -245,10 +246,8 @@ def build_units(
     de-duplication, windows and the final aggregation all run on that placement.
     Groups above ``hot_group_rows`` leave this plan and are cut into slices.
     """
-    flags = tuple(message_options.flags)
     if options.mode == "message":
-        messages = user_messages(canonical, message_options)
-        return message_units(messages, flags).withColumn("source_row_ids", F.array(messages.source_row_id))
+        return message_units(user_messages(canonical, message_options), tuple(message_options.flags))
     if options.mode != "merged_messages":
         raise ValueError(f"unknown unit mode: {options.mode}")
     keys, hot_rows = hot_groups(canonical, options, message_options.role_keep)
