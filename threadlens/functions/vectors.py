@@ -36,7 +36,7 @@ def cosine_arrow(vector: Column, reference: Column) -> Column:
         norms = np.linalg.norm(a, axis=1) * np.maximum(np.linalg.norm(b, axis=1), TINY)
         return pd.Series(np.einsum("ij,ij->i", a, b) / np.maximum(norms, TINY))
 
-    return similarity(vector, reference)
+    return similarity.asNondeterministic()(vector, reference)
 
 
 def hash_vectors(texts: list[str], dimensions: int = 64) -> np.ndarray:
@@ -80,4 +80,5 @@ def hash_embedding(text: Column, dimensions: int = 64) -> Column:
     def embed(texts: pd.Series) -> pd.Series:
         return pd.Series(list(hash_vectors(texts.fillna("").tolist(), dimensions)))
 
-    return embed(text)
+    # Declared non-deterministic so that the optimiser never evaluates it a second time in a filter.
+    return embed.asNondeterministic()(text)

@@ -6,28 +6,23 @@ however many points it holds, and copies of one text cost nothing extra.
 
 from __future__ import annotations
 
-from pyspark.ml.feature import PCA
+from pyspark.ml.feature import PCA, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.vectors import TINY, dot
 from ..options import TopicOptions
 from ..session import materialise
 from .messages import keep_first
 from .topics import OUTLIER
 
 
-def unit_length(vector: Column) -> Column:
-    norm = F.greatest(F.sqrt(dot(vector, vector)), F.lit(TINY))
-    return F.transform(vector, lambda x: x.cast("double") / norm)
-
-
 def reduce_dimensions(vectors: DataFrame, components: int) -> DataFrame:
     """Principal components of the L2-normalised vectors, as ``reduced``."""
-    prepared = vectors.withColumn("__v", array_to_vector(unit_length(F.col("embedding"))))
-    model = PCA(k=components, inputCol="__v", outputCol="__p").fit(prepared)
-    return model.transform(prepared).withColumn("reduced", vector_to_array("__p")).drop("__v", "__p")
+    dense = vectors.withColumn("__v", array_to_vector(F.col("embedding").cast("array<double>")))
+    normed = Normalizer(p=2.0, inputCol="__v", outputCol="__u").transform(dense)
+    model = PCA(k=components, inputCol="__u", outputCol="__p").fit(normed)
+    return model.transform(normed).withColumn("reduced", vector_to_array("__p")).drop("__v", "__u", "__p")
 
 
 def grid_cell(reduced: Column, width: float) -> Column:
@@ -93,24 +88,24 @@ def cell_topics(cells: DataFrame, components: int, min_samples: int, min_cluster
     around = dense.select("node", "n", F.explode(neighbour_cells(F.col("cell"), components)).alias("cell"))
     edges = around.join(dense.select("cell", F.col("node").alias("b")), "cell").select(F.col("node").alias("a"), "b")
     found = connected_components(dense.select("node"), edges.where("a < b"))
-    core = dense.join(found, "node")
-    offers = around.join(found, "node").select("cell", "component", F.col("n").alias("__offer"))
-    sparse = known.where(F.col("n") < min_samples)
-    border = keep_first(
-        sparse.join(offers, "cell"), ["cell"], [F.col("__offer").desc(), "component"]
-    ).select("cell", "n", "component")
-    members = core.select("cell", "n", "component").unionByName(border)
-    sizes = members.groupBy("component").agg(F.sum("n").alias("size")).where(F.col("size") >= min_cluster_size)
-    numbered = sizes.select(
-        "component",
-        (F.row_number().over(Window.orderBy(F.col("size").desc(), "component")) - 1).alias("topic_id"),
-    )
-    return members.join(numbered, "component").select("cell", "topic_id")
+    # A cluster is known by its smallest cell, so that equal counts are settled the same way in every run.
+    core = materialise(dense.join(found, "node"))
+    names = core.groupBy("component").agg(F.min("cell").alias("first_cell"))
+    core = core.join(names, "component")
+    offers = around.join(core.select("node", "first_cell"), "node").select("cell", "first_cell", F.col("n").alias("__offer"))
+    sparse = known.where(F.col("n") < min_samples).select("cell", "n")
+    border = keep_first(sparse.join(offers, "cell"), ["cell"], [F.col("__offer").desc(), "first_cell"])
+    members = materialise(core.select("cell", "n", "first_cell").unionByName(border.select("cell", "n", "first_cell")))
+    sizes = members.groupBy("first_cell").agg(F.sum("n").alias("size")).where(F.col("size") >= min_cluster_size)
+    largest = Window.orderBy(F.col("size").desc(), "first_cell")
+    numbered = sizes.select("first_cell", (F.row_number().over(largest) - 1).alias("topic_id"))
+    return members.join(numbered, "first_cell").select("cell", "topic_id")
 
 
 def density_topics(vectors: DataFrame, options: TopicOptions = TopicOptions()) -> DataFrame:
     """Adds ``topic_id`` (-1 for outliers) to (unit_id, embedding) rows."""
-    reduced = reduce_dimensions(vectors, options.components)
+    # Fitting reads the vectors once more, so an embedding computed on the fly is written out first.
+    reduced = reduce_dimensions(materialise(vectors), options.components)
     placed = materialise(reduced.withColumn("cell", grid_cell(F.col("reduced"), options.cell_width)))
     cells = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
     topics = cell_topics(cells, options.components, options.min_samples, options.min_cluster_size)

@@ -75,7 +75,7 @@ def _best_of(model: Broadcast):
         topics = [int(ids[c]) if ok else None for c, ok in zip(choice, found)]
         return pd.DataFrame({"similarity": np.where(found, top, np.nan), "topic": pd.array(topics, dtype="Int32")})
 
-    return best
+    return best.asNondeterministic()
 
 
 def nearest_centroid(

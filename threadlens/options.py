@@ -51,7 +51,7 @@ class EmbeddingOptions:
 class TopicOptions:
     backend: str = "simple"  # or "density"
     components: int = 5
-    cell_width: float = 0.2
+    cell_width: float = 0.15
     min_cluster_size: int = 20
     min_samples: int = 5
     ngram_min: int = 1

@@ -17,6 +17,7 @@ from ..operators import density, embed, enrich, ingest, messages, metrics, repor
 from ..options import EmbeddingOptions, EnrichmentOptions, MessageOptions, ReportOptions, TopicOptions, UnitOptions
 from ..session import ensure_checkpoint_dir, materialise
 from ..sources.adapters import WORD_FLAGS, dialogs, labelled_vectors, language_topics, raw_export, table
+from ..sources.tables import spread
 from . import check_sql as q
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,7 +97,7 @@ def all_texts(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, name).selectExpr(f"'{name}' AS source", f"{key} AS id", f"{text} AS text")
         for name, key, text in sources
     ]
-    return reduce(DataFrame.unionByName, parts)
+    return spread(reduce(DataFrame.unionByName, parts))
 
 
 ALL_TEXTS = """texts AS (
@@ -344,7 +345,8 @@ DOC_HASH = f"""WITH {q.hash_cte("documents", "doc_id", "text")} SELECT doc_id, p
 
 @query(DOC_HASH)
 def hash_embeddings(spark, folder):
-    docs = table(spark, folder, "documents").select("doc_id", hash_embedding(F.col("text")).alias("embedding"))
+    docs = spread(table(spark, folder, "documents").select("doc_id", "text"))
+    docs = docs.select("doc_id", hash_embedding(F.col("text")).alias("embedding"))
     return exploded(docs, "doc_id")
 
 
@@ -475,15 +477,15 @@ def topic_reduction(spark, folder):
 
 @query()
 def reduced_vectors(spark, folder):
-    docs = table(spark, folder, "documents").select("doc_id", hash_embedding(F.col("text")).alias("embedding"))
+    docs = spread(table(spark, folder, "documents").select("doc_id", "text"))
+    docs = docs.select("doc_id", hash_embedding(F.col("text")).alias("embedding"))
     return density.reduce_dimensions(docs, 5).select("doc_id", F.posexplode("reduced").alias("pos", "x"))
 
 
 def document_density(spark, folder) -> DataFrame:
-    docs = table(spark, folder, "documents").select(
-        F.col("doc_id").alias("unit_id"), "lang", hash_embedding(F.col("text")).alias("embedding")
-    )
-    return density.density_topics(docs, TopicOptions(backend="density", components=3, cell_width=0.1, min_cluster_size=20))
+    docs = spread(table(spark, folder, "documents").select(F.col("doc_id").alias("unit_id"), "lang", "text"))
+    docs = docs.select("unit_id", "lang", hash_embedding(F.col("text")).alias("embedding"))
+    return density.density_topics(docs, TopicOptions(backend="density"))
 
 
 @query()
@@ -493,8 +495,8 @@ def density_topics(spark, folder):
 
 @query(
     """WITH RECURSIVE cells AS (
-  SELECT floor(embedding[1] / 0.08)::BIGINT AS x, floor(embedding[2] / 0.08)::BIGINT AS y, count(*) AS n FROM embeddings GROUP BY ALL
-), dense AS (SELECT * FROM cells WHERE n >= 8),
+  SELECT floor(embedding[1] / 0.02)::BIGINT AS x, floor(embedding[2] / 0.02)::BIGINT AS y, count(*) AS n FROM embeddings GROUP BY ALL
+), dense AS (SELECT * FROM cells WHERE n >= 3),
 steps AS (
   SELECT a.x, a.y, b.x AS bx, b.y AS by, b.n AS bn FROM cells a JOIN dense b
     ON abs(a.x - b.x) <= 1 AND abs(a.y - b.y) <= 1 AND (a.x <> b.x OR a.y <> b.y)
@@ -505,17 +507,17 @@ steps AS (
 ), comp AS (SELECT x, y, min({'x': rx, 'y': ry}) AS c FROM reach GROUP BY ALL),
 border AS (
   SELECT s.x, s.y, c.c, cells.n FROM steps s JOIN comp c ON c.x = s.bx AND c.y = s.by JOIN cells ON cells.x = s.x AND cells.y = s.y
-  WHERE cells.n < 8 QUALIFY row_number() OVER (PARTITION BY s.x, s.y ORDER BY s.bn DESC) = 1
+  WHERE cells.n < 3 QUALIFY row_number() OVER (PARTITION BY s.x, s.y ORDER BY s.bn DESC, c.c) = 1
 ), members AS (SELECT c.x, c.y, c.c, d.n FROM comp c JOIN dense d USING (x, y) UNION ALL SELECT * FROM border),
 sizes AS (SELECT c, sum(n)::BIGINT AS size, count(*) AS n_cells FROM members GROUP BY c)
-SELECT size, n_cells FROM sizes WHERE size >= 20"""
+SELECT size, n_cells FROM sizes WHERE size >= 10"""
 )
 def density_cluster_sizes(spark, folder):
     """Grid clustering of the first two coordinates; sizes in points and cells."""
     reduced = F.slice(F.col("embedding").cast("array<double>"), 1, 2)
-    vectors = table(spark, folder, "embeddings").select(density.grid_cell(reduced, 0.08).alias("cell"))
+    vectors = table(spark, folder, "embeddings").select(density.grid_cell(reduced, 0.02).alias("cell"))
     cells = materialise(vectors.groupBy("cell").agg(F.count(F.lit(1)).alias("n")))
-    found = density.cell_topics(cells, 2, 8, 20)
+    found = density.cell_topics(cells, 2, 3, 10)
     return (
         found.join(cells, "cell")
         .groupBy("topic_id")

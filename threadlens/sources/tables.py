@@ -6,6 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+# A scan this small per core is worth an exchange that gives every core a share.
+SPREAD_BYTES_PER_CORE = 32 << 20
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on an input that sits in few row groups or in one multi-line file.
+
+    Only inputs that are small for the cluster are moved; anything larger has
+    enough splits of its own and is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * SPREAD_BYTES_PER_CORE else df
+
+
 def csv_header(spark: SparkSession, path: str, encoding: str = "utf-8") -> list[str]:
     """Column names of a CSV export, read from its first line."""
     return spark.read.option("header", True).option("escape", '"').option("encoding", encoding).csv(path).columns
