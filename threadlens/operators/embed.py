@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import embedding_input, embedding_key
 from ..options import EmbeddingOptions
+from ..session import materialise
 
 # A provider turns a list of texts into an [n, D] array.  Jobs receive a factory,
 # so every task builds its own provider (model, connection) on its machine.
@@ -125,6 +127,14 @@ def missing_texts(prepared: DataFrame, cache: DataFrame) -> DataFrame:
     return distinct.join(cache.select("text_hash"), "text_hash", "left_anti")
 
 
+def inference_tasks(missing: DataFrame, options: EmbeddingOptions) -> int:
+    """Tasks for the inference job: all cores busy, no task without a full batch, none longer than a retry may cost."""
+    texts = missing.count()
+    cores = missing.sparkSession.sparkContext.defaultParallelism
+    wanted = max(cores, math.ceil(texts / options.texts_per_task))
+    return max(1, min(wanted, math.ceil(texts / max(1, options.batch_size))))
+
+
 def cached_embeddings(
     units: DataFrame,
     cache_path: str,
@@ -139,7 +149,8 @@ def cached_embeddings(
     spark = units.sparkSession
     prepared = prepare(units, options)
     cache = read_or_empty(spark, cache_path, CACHE_SCHEMA)
-    new = embed(missing_texts(prepared, cache), factory, options.batch_size)
+    missing = materialise(missing_texts(prepared, cache))
+    new = embed(missing.repartition(inference_tasks(missing, options)), factory, options.batch_size)
     new.select("text_hash", "embedding").write.mode("append").parquet(cache_path)
     filled = spark.read.schema(CACHE_SCHEMA).parquet(cache_path)
     return prepared.select("unit_id", "text_hash").join(filled, "text_hash").select("unit_id", "embedding")

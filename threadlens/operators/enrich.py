@@ -164,7 +164,9 @@ def call_provider(requests: DataFrame, factory: EnrichFactory) -> DataFrame:
             yield pd.DataFrame(rows, columns=["topic_id", *COLUMNS, "status"])
 
     wanted = requests.select("topic_id", payload_json().alias("payload"), F.col("topic_title_auto").alias("title"))
-    return wanted.mapInPandas(run, RESULT_SCHEMA + ", status string")
+    # One row per topic: few bytes but slow calls, so they are dealt out to all cores.
+    dealt = wanted.repartition(wanted.sparkSession.sparkContext.defaultParallelism)
+    return dealt.mapInPandas(run, RESULT_SCHEMA + ", status string")
 
 
 def no_enrichment(summary: DataFrame) -> DataFrame:

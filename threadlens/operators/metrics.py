@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions.vectors import cosine_arrow
-from .topics import topic_centroids
+from ..session import materialise
+from .topics import centroid_bytes, topic_centroids
+
+BROADCAST_BYTES = 128 << 20
 
 
 def topic_aggregates(units: DataFrame, shares: Mapping[str, str] = fixed.FLAG_SHARES) -> DataFrame:
@@ -102,11 +105,15 @@ def growth_scores(trends: DataFrame, periods: int = 4) -> DataFrame:
 def centroid_similarity(vectors: DataFrame, centroids: DataFrame | None = None) -> DataFrame:
     """Adds each vector's ``similarity`` to the centroid of its own topic.
 
-    The join side has one row per topic; adaptive execution ships it whole when
-    its measured size allows and otherwise splits the large topics.
+    The centroids are written out and measured: small enough they go to every
+    task and the vectors stay where they are; otherwise both sides are shuffled
+    and adaptive execution splits the large topics.
     """
-    centroids = topic_centroids(vectors) if centroids is None else centroids
-    joined = vectors.join(centroids.select("topic_id", "centroid"), "topic_id")
+    centroids = materialise(topic_centroids(vectors) if centroids is None else centroids.select("topic_id", "centroid"))
+    side = centroids.select("topic_id", "centroid")
+    if centroid_bytes(centroids) <= BROADCAST_BYTES:
+        side = F.broadcast(side)
+    joined = vectors.join(side, "topic_id")
     return joined.withColumn("similarity", cosine_arrow(F.col("embedding"), F.col("centroid"))).drop("centroid")
 
 

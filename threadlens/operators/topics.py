@@ -60,6 +60,11 @@ def topic_centroids(vectors: DataFrame) -> DataFrame:
     )
 
 
+def centroid_bytes(centroids: DataFrame) -> int:
+    shape = centroids.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("centroid")).alias("width")).first()
+    return (shape.n or 0) * (shape.width or 0) * 8
+
+
 def _best_of(model: Broadcast):
     """Arrow function (embedding, banned topic) -> best (similarity, topic) among broadcast unit vectors."""
 
@@ -89,8 +94,8 @@ def nearest_centroid(
     ``exclude`` names a column with one topic id a row may not choose.
     """
     spark = vectors.sparkSession
-    shape = centroids.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("centroid")).alias("width")).first()
-    blocks = max(1, math.ceil((shape.n or 0) * (shape.width or 0) * 8 / block_bytes))
+    centroids = materialise(centroids)
+    blocks = max(1, math.ceil(centroid_bytes(centroids) / block_bytes))
     result = vectors.withColumns(
         {"similarity": F.lit(None).cast("double"), "nearest_topic": F.lit(None).cast("int")}
     )

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -197,42 +197,50 @@ def _merge(segmented: DataFrame, flags: Sequence[str]) -> DataFrame:
 
 
 GROUP = ("chat_uuid", "user")
+# Below this many rows a list of group keys is shipped to all tasks.
+BROADCAST_ROWS = 1_000_000
 
 
-def merged_units(
-    kept: DataFrame,
-    message_options: MessageOptions = MessageOptions(),
-    options: UnitOptions = UnitOptions(),
-    slices: int = 0,
-) -> DataFrame:
-    """Merge kept messages to units; carries ``source_row_ids`` for the unit-message map.
+def hot_groups(rows: DataFrame, limit: int) -> tuple[DataFrame | None, int]:
+    """(chat, user) groups above ``limit`` rows, and their rows in total.
 
-    Segments are numbered before the text features are computed, so the sorts
-    below the windows move the message text once and nothing derived from it.
-    ``slices > 0`` uses the slice-parallel segmentation meant for hot groups.
+    Reads two or three narrow columns and combines before the shuffle.  At most
+    rows / limit groups can be hot; the list is written out and its size checked.
     """
-    limits = (options.max_gap_minutes, options.max_messages)
-    if slices:
-        segmented = segment_sliced(kept, GROUP, "timestamp", "source_row_id", *limits, slices)
-    else:
-        segmented = segment(kept, GROUP, "timestamp", "source_row_id", *limits)
-    return _merge(text_features(segmented, message_options), tuple(message_options.flags))
+    counted = rows.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit)
+    hot = materialise(counted)
+    size = hot.agg(F.count(F.lit(1)).alias("groups"), F.sum("n").alias("rows")).first()
+    if not size.groups:
+        return None, 0
+    keys = hot.select(*GROUP)
+    return (F.broadcast(keys) if size.groups <= BROADCAST_ROWS else keys), size.rows
 
 
-def hot_groups(canonical: DataFrame, options: UnitOptions, role: str | None = None) -> tuple[DataFrame | None, int]:
-    """(chat, user) groups that would overload one task, and their rows in total.
+def _merged(
+    rows: DataFrame,
+    options: UnitOptions,
+    flags: Sequence[str],
+    before: Callable[[DataFrame], DataFrame],
+    after: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """Place ``rows`` by (chat, user), then ``before`` -> segments -> ``after`` -> one row per segment.
 
-    Reads two or three narrow columns and combines before the shuffle.  There
-    are at most rows / hot_group_rows such groups, so the list is always small.
+    One exchange serves all of it.  Groups above ``hot_group_rows`` leave this
+    plan: they are cut into slices of about ``slice_rows`` rows instead.
     """
-    rows = canonical if role is None else canonical.where(F.lower("role") == role.lower())
-    hot = rows.groupBy(*GROUP).count().where(F.col("count") > options.hot_group_rows).collect()
-    if not hot:
-        return None, 0
-    keys = canonical.sparkSession.createDataFrame(
-        [(row.chat_uuid, row.user) for row in hot], "chat_uuid string, user string"
-    )
-    return keys, sum(row["count"] for row in hot)
+    limits = (options.max_gap_minutes, options.max_messages)
+    order = (GROUP, "timestamp", "source_row_id")
+
+    def plain(part: DataFrame) -> DataFrame:
+        return _merge(after(segment(before(part.repartition(*GROUP)), *order, *limits)), flags)
+
+    keys, hot_rows = hot_groups(rows, options.hot_group_rows)
+    if keys is None:
+        return plain(rows)
+    hot = rows.join(keys, list(GROUP), "left_semi")
+    slices = max(2, math.ceil(hot_rows / options.slice_rows))
+    sliced = _merge(after(segment_sliced(before(hot), *order, *limits, slices)), flags)
+    return plain(rows.join(keys, list(GROUP), "left_anti")).unionByName(sliced)
 
 
 def build_units(
@@ -240,28 +248,42 @@ def build_units(
     message_options: MessageOptions = MessageOptions(),
     options: UnitOptions = UnitOptions(),
 ) -> DataFrame:
-    """Canonical messages -> analysis units plus ``source_row_ids``.
+    """Canonical messages -> analysis units plus ``source_row_ids`` for the unit-message map.
 
-    Merged mode needs one exchange: rows are placed by (chat, user), and
-    de-duplication, windows and the final aggregation all run on that placement.
-    Groups above ``hot_group_rows`` leave this plan and are cut into slices.
+    In merged mode cleaning, de-duplication, segmentation and merging share one
+    exchange.  Segments are numbered before the text features are computed, so
+    the sorts below the windows move the message text and nothing derived from it.
     """
+    flags = tuple(message_options.flags)
     if options.mode == "message":
-        return message_units(user_messages(canonical, message_options), tuple(message_options.flags))
+        return message_units(user_messages(canonical, message_options), flags)
     if options.mode != "merged_messages":
         raise ValueError(f"unknown unit mode: {options.mode}")
-    keys, hot_rows = hot_groups(canonical, options, message_options.role_keep)
-    if keys is None:
-        return merged_units(kept_messages(canonical.repartition(*GROUP), message_options), message_options, options)
-    listed = F.broadcast(keys)
-    cold = canonical.join(listed, list(GROUP), "left_anti").repartition(*GROUP)
-    hot = canonical.join(listed, list(GROUP), "left_semi")
-    slices = max(2, math.ceil(hot_rows / options.slice_rows))
-    return merged_units(kept_messages(cold, message_options), message_options, options).unionByName(
-        merged_units(kept_messages(hot, message_options), message_options, options, slices)
+    rows = canonical.where(F.lower("role") == message_options.role_keep.lower())
+    return _merged(
+        rows,
+        options,
+        flags,
+        before=lambda part: kept_messages(part, message_options),
+        after=lambda part: text_features(part, message_options),
     )
 
 
+def units_from_messages(
+    messages: DataFrame, options: UnitOptions = UnitOptions(), flags: Sequence[str] = tuple(fixed.DOMAIN_FLAGS)
+) -> DataFrame:
+    """The same from an already written user-message table."""
+    if options.mode == "message":
+        return message_units(messages, flags)
+    if options.mode != "merged_messages":
+        raise ValueError(f"unknown unit mode: {options.mode}")
+
+    def unchanged(part: DataFrame) -> DataFrame:
+        return part
+
+    return _merged(messages, options, flags, before=unchanged, after=unchanged)
+
+
 def unit_message_map(units: DataFrame) -> DataFrame:
     """Bridge table: one row per (unit, source message)."""
     return units.select("unit_id", F.explode("source_row_ids").alias("source_row_id"))

@@ -37,6 +37,7 @@ class EmbeddingOptions:
     provider: str = "hashing"
     model: str = "hashing-64"
     batch_size: int = 64
+    texts_per_task: int = 50_000
     max_text_chars: int | None = 12000
     strip_null_bytes: bool = True
     # Anything else that changes the vectors (e.g. their width) belongs to the cache key.

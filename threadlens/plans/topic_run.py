@@ -66,12 +66,14 @@ class TopicRun:
         write_table(ingest.quality_report(canonical), self.path("ingest_quality"), "json", single_file=True)
         return canonical
 
-    def build_units(self) -> DataFrame:
-        """Messages and units are separate tables; units are built straight from the canonical one."""
+    def preprocess(self) -> DataFrame:
         check_registry(self.messages.flags, fixed.FLAG_SHARES)
-        canonical = self.read("raw_normalized")
-        self._store("preprocess", "user_messages", messages.user_messages(canonical, self.messages))
-        built = self._store("units", "units", units.build_units(canonical, self.messages, self.units))
+        cleaned = messages.user_messages(self.read("raw_normalized"), self.messages)
+        return self._store("preprocess", "user_messages", cleaned)
+
+    def build_units(self) -> DataFrame:
+        source = self.read("user_messages")
+        built = self._store("units", "units", units.units_from_messages(source, self.units, tuple(self.messages.flags)))
         self._store("units", "unit_message_map", units.unit_message_map(built))
         return built
 
@@ -174,6 +176,7 @@ class TopicRun:
 
     def run(self, raw: DataFrame, mapping: Mapping[str, str] = fixed.EXPORT_HEADER, **options) -> dict[str, DataFrame]:
         canonical = self.ingest(raw, mapping, **options)
+        self.preprocess()
         self.build_units()
         self.embed()
         self.assign_topics()
