@@ -21,6 +21,10 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if size < cores * SPREAD_BYTES_PER_CORE else df
 
 
+# Encodings the CSV reader takes without being asked to accept others.
+NATIVE_ENCODINGS = ("iso-8859-1", "us-ascii", "utf-16", "utf-16be", "utf-16le", "utf-32", "utf-8")
+
+
 def csv_header(spark: SparkSession, path: str, encoding: str = "utf-8") -> list[str]:
     """Column names of a CSV export, read from its first line."""
     return spark.read.option("header", True).option("escape", '"').option("encoding", encoding).csv(path).columns
@@ -31,6 +35,8 @@ def read_csv(spark: SparkSession, path: str, encoding: str = "utf-8", columns: l
 
     Types are never inferred: that would read the data twice and guess.
     """
+    if encoding.lower() not in NATIVE_ENCODINGS:
+        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
     names = columns or csv_header(spark, path, encoding)
     schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
     return (
