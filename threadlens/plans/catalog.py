@@ -17,7 +17,7 @@ from ..operators import density, embed, enrich, ingest, messages, metrics, repor
 from ..options import EmbeddingOptions, EnrichmentOptions, MessageOptions, ReportOptions, TopicOptions, UnitOptions
 from ..session import ensure_checkpoint_dir, materialise
 from ..sources.adapters import WORD_FLAGS, dialogs, labelled_vectors, language_topics, raw_export, table
-from ..sources.tables import spread
+from ..sources.tables import read_csv, spread, write_table
 from . import check_sql as q
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,12 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*[F.round(c, digits).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder in the storage that all machines share."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid4().hex}"
+
+
 # --- inputs shared by several queries --------------------------------------------
 
 
@@ -159,6 +165,14 @@ def ingest_timestamps(spark, folder):
     return table(spark, folder, "events").select("event_id", ingest.parse_timestamp(text).alias("parsed"))
 
 
+@query("SELECT conv_id::VARCHAR AS conv_id, turn::VARCHAR AS turn, role, text FROM conversations")
+def csv_round_trip(spark, folder):
+    """The table written as CSV and scanned again, quotes and line breaks included."""
+    path = shared_path(spark, "csv")
+    write_table(table(spark, folder, "conversations"), path, "csv")
+    return read_csv(spark, path)
+
+
 # --- text functions --------------------------------------------------------------
 
 
@@ -362,8 +376,7 @@ def embed_units(spark, folder):
 @query(DOC_HASH)
 def embed_documents_cached(spark, folder):
     """Inference with a cache table that starts empty; copies of a text are embedded once."""
-    ensure_checkpoint_dir(spark)
-    cache = f"{spark.sparkContext.getCheckpointDir()}/embedding-cache-{uuid4().hex}"
+    cache = shared_path(spark, "embedding-cache")
     docs = table(spark, folder, "documents").select(F.col("doc_id").alias("unit_id"), "text")
     options = EmbeddingOptions(max_text_chars=None)
     vectors = embed.cached_embeddings(docs, cache, HashProvider, options)
@@ -382,6 +395,27 @@ def embedding_cache_misses(spark, folder):
     return embed.missing_texts(embed.prepare(docs), known).select("text_hash", "prepared")
 
 
+@query(
+    """SELECT DISTINCT sha1('hashing::hashing-64::12000::True::' || left(text, 12000)) AS text_hash,
+contains(left(text, 12000), 'license') AS rejected FROM documents"""
+)
+def embedding_rejects(spark, folder):
+    """A provider that refuses whole batches: only the texts at fault end up rejected."""
+
+    def factory():
+        def provider(texts):
+            if any("license" in text for text in texts):
+                raise embed.BatchRejected("not allowed")
+            return HashProvider()(texts)
+
+        return provider
+
+    docs = spread(table(spark, folder, "documents").select(F.col("doc_id").alias("unit_id"), "text"))
+    distinct = embed.prepare(docs).groupBy("text_hash").agg(F.first("prepared").alias("prepared"))
+    found = embed.embed(distinct, factory, 16, on_error="record")
+    return found.select("text_hash", (F.col("error").isNotNull() & F.col("embedding").isNull()).alias("rejected"))
+
+
 # --- topics --------------------------------------------------------------------------
 
 
@@ -667,7 +701,17 @@ def disabled_enrichment(spark, folder):
     return enrich.enrich_topics(summary, summary, options=EnrichmentOptions(enabled=False))
 
 
-@query()
+FALLBACK = ", ".join(
+    f"CASE WHEN topic_id % 2 = 1 THEN {q.quoted(text).replace('{0}', chr(39) + ' || topic_id || ' + chr(39)).replace('{1}', 'TimeoutError: no answer')} "
+    f"ELSE m.{name} END AS {name}"
+    for name, text in fixed.FALLBACK_TEXTS.items()
+)
+
+
+@query(
+    f"""{REQUESTS.replace("example_rank <= 2", "example_rank <= 12")}, m AS (SELECT topic_id, topic_title_auto, {MOCK_TITLE} AS topic_title, {MOCK} FROM requests)
+SELECT topic_id, CASE WHEN topic_id % 2 = 1 THEN topic_title_auto ELSE topic_title END AS topic_title, {FALLBACK} FROM m"""
+)
 def enrichment_fallback(spark, folder):
     """A provider that refuses every second topic; the others are answered."""
 
@@ -685,7 +729,13 @@ def enrichment_fallback(spark, folder):
     return enrich.enrich_topics(summary, examples, factory)
 
 
-@query()
+@query(
+    f"""{REQUESTS.replace("example_rank <= 2", "example_rank <= 12")} SELECT topic_id, to_json({{
+  'model': 'some-model', 'temperature': 0.0::DOUBLE, 'messages': [
+    {{'role': 'system', 'content': {q.quoted(fixed.SYSTEM_PROMPT)}}},
+    {{'role': 'user', 'content': to_json({{'topic_id': topic_id, 'topic_keywords': topic_keywords, 'topic_title_auto': topic_title_auto,
+      'n_units': n_units, 'n_users': n_users, 'n_chats': n_chats, 'examples': examples}})::VARCHAR}}]}})::VARCHAR AS request FROM requests"""
+)
 def chat_requests(spark, folder):
     return enrich.chat_request(enrich.topic_requests(*requests_of(spark, folder)), "some-model")
 
@@ -816,10 +866,60 @@ def figure_sizes(spark, folder):
     return report.figure_sizes(base_summary(spark, folder)[0])
 
 
-@query()
+def section_sql(number: int, line: str, source: str) -> str:
+    return f"SELECT {number} AS section, {line} AS line FROM ({source})"
+
+
+TITLE = "'- Topic ' || topic_id || ': ' || title"
+HEADS = " UNION ALL ".join(
+    [f"SELECT 0 AS section, {q.quoted(fixed.REPORT_TITLE)} AS line"]
+    + [f"SELECT {i}, unnest(['', '## {name}', ''])" for i, name in enumerate(fixed.REPORT_SECTIONS)]
+)
+REPORT = " UNION ALL ".join(
+    [
+        HEADS,
+        """SELECT 0, unnest(['- Total input rows: ' || count(*), '- User rows: ' || count(*) FILTER (role = 'user'),
+  '- Assistant rows: ' || count(*) FILTER (role = 'assistant'), '- Unique users: ' || count(DISTINCT "user"),
+  '- Unique chats: ' || count(DISTINCT chat_uuid)]) FROM dialogs""",
+        "SELECT 1, unnest(['- Analysis units: ' || sum(n_units), '- Topics: ' || count(*)]) FROM titled",
+        section_sql(2, f"{TITLE} || ' (units=' || n_units || ', users=' || n_users || ', keywords=' || topic_keywords || ')'", "FROM titled"),
+        section_sql(3, f"{TITLE} || ' (users=' || n_users || ', units=' || n_units || ')'", "FROM titled"),
+        section_sql(4, f"{TITLE} || ' (growth_score=' || printf('%.2f', growth_score) || ')'", "FROM titled JOIN growth USING (topic_id)"),
+        section_sql(5, f"{TITLE} || ' (error_share=' || printf('%.2f%%', 100 * has_error_terms_share) || ')'", "FROM titled"),
+        section_sql(
+            6, "'- ' || domain || ': topic ' || topic_id || ' (' || title || ') with share ' || printf('%.2f%%', 100 * share)", "FROM tops"
+        ),
+        section_sql(
+            7,
+            f"'- Topic ' || topic_id || ': ' || {q.quoted(fixed.MOCK_TEXTS['suspected_product_action'])} || ' (JTBD: ' "
+            f"|| {q.quoted(fixed.MOCK_TEXTS['suspected_jtbd'])} || ')'",
+            "FROM titled",
+        ),
+        section_sql(
+            8,
+            """'- Topic ' || topic_id || ' | ' || "user" || ' | ' || timestamp || ': ' || text""",
+            "FROM examples ORDER BY topic_id, example_rank LIMIT 15",
+        ),
+    ]
+)
+
+
+@query(
+    f"""{REQUESTS}, titled AS (SELECT s.*, {MOCK_TITLE.replace("topic_keywords", "s.topic_keywords")} AS title FROM summary s),
+growth AS (SELECT topic_id, CASE WHEN count(*) > 1 THEN (last(n_units ORDER BY week) - first(n_units ORDER BY week)) / (count(*) - 1) ELSE 0.0 END AS growth_score
+  FROM (SELECT * FROM trends QUALIFY row_number() OVER (PARTITION BY topic_id ORDER BY week DESC) <= 4) GROUP BY 1),
+domains AS ("""
+    + " UNION ALL ".join(
+        f"SELECT {q.quoted(label)} AS domain, topic_id, title, n_units, {share} AS share FROM titled"
+        for share, label in fixed.REPORT_DOMAINS.items()
+    )
+    + f"""), tops AS (SELECT * FROM domains QUALIFY row_number() OVER (PARTITION BY domain ORDER BY share DESC, n_units DESC, topic_id) = 1 AND share > 0)
+SELECT section, line FROM ({REPORT})"""
+)
 def report_lines(spark, folder):
     summary, placed = base_summary(spark, folder)
     quality = ingest.quality_report(dialogs(spark, folder))
     examples = hashed_examples(placed, 3)
     final = report.final_summary(summary, enrich.enrich_topics(summary, examples))
-    return report.report_lines(materialise(final), metrics.topic_trends(placed), examples, quality, ReportOptions())
+    lines = report.report_lines(materialise(final), metrics.topic_trends(placed), examples, quality, ReportOptions())
+    return lines.select("section", "line")
