@@ -119,6 +119,8 @@ def test_domain_flags(spark):
 
 def test_flags_equal_python_search(spark):
     texts = random_texts() + ["SELECT a FROM b", "router x model", "Fallbacks", "сводная", "open WebUI", "1С"]
+    texts += ["\u017felect", "DELETE FROM", "Wi\u212ai", "\u212anowledge base", "I\u017f\u017fue", "ßelect", "\u0130ssue", "w\u0131k\u0131", "\u1c83водная", "ОШИБКА", "Конфигурация 1С"]
+    texts += [needle.upper() + "а" for needles in fixed.FLAG_NEEDLES.values() for needle in needles]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     rows = df.select("i", *[c.alias(n) for n, c in flag_columns(F.col("t")).items()]).orderBy("i").collect()
     for name, pattern in fixed.DOMAIN_FLAGS.items():
