@@ -22,14 +22,16 @@ def flag_columns(text: Column, registry: Mapping[str, str] = fixed.DOMAIN_FLAGS)
 
     Patterns of the default registry run only on texts that hold one of their
     substrings: most texts have none, and a substring search is far cheaper.
-    Case is folded the way the patterns do it, so no match is lost.
+    Texts with letters that only equal a plain one in a search without regard to
+    case are always searched.
     """
-    folded = F.translate(F.lower(text), *fixed.CASE_VARIANTS)
+    lowered, unusual = F.lower(text), text.rlike(fixed.CASE_VARIANTS)
 
     def flag(name: str, pattern: str) -> Column:
         found = text.rlike(f"(?iU){pattern}")
         if pattern == fixed.DOMAIN_FLAGS.get(name):
-            found = reduce(Column.__or__, [folded.contains(needle) for needle in fixed.FLAG_NEEDLES[name]]) & found
+            possible = reduce(Column.__or__, [lowered.contains(n) for n in fixed.FLAG_NEEDLES[name]], unusual)
+            found = possible & found
         return F.coalesce(found, F.lit(False))
 
     return {name: flag(name, pattern) for name, pattern in registry.items()}

@@ -28,8 +28,9 @@ def strip_text(text: Column) -> Column:
 
 
 def word_count(clean: Column) -> Column:
-    """Number of words in cleaned text."""
-    return F.when(clean == "", F.lit(0)).otherwise(F.size(F.split(clean, " ")))
+    """Number of words in cleaned text, where each space stands between two words."""
+    spaces = F.length(clean) - F.length(F.replace(clean, F.lit(" "), F.lit("")))
+    return F.when(clean == "", F.lit(0)).otherwise(spaces + 1)
 
 
 def _mask(lowered: Column, word: str, pattern: str) -> Column:

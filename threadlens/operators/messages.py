@@ -51,11 +51,22 @@ def calendar_features(timestamp: Column) -> dict[str, Column]:
 
 
 def filter_messages(canonical: DataFrame, options: MessageOptions = MessageOptions()) -> DataFrame:
-    """Role, emptiness, length, triviality; ``message`` becomes the cleaned text."""
+    """Role, emptiness, length, triviality; ``message`` becomes the cleaned text.
+
+    Cleaning is the costly part, and a filter on the cleaned text would repeat it
+    for every condition; exploding an array of at most one text runs it once.
+    """
     kept = canonical.where(F.lower("role") == options.role_keep.lower())
-    cleaned = kept.withColumn("message_raw", F.col("message")).withColumn("message", clean_text(F.col("message")))
-    long_enough = cleaned.where(F.length("message") >= max(options.min_chars, 1))
-    return drop_trivial(long_enough, options.trivial_messages) if options.drop_trivial else long_enough
+    trivial = {" ".join(item.split()).lower() for item in options.trivial_messages} if options.drop_trivial else set()
+    trivial = {item for item in trivial if len(item) >= options.min_chars}
+
+    def wanted(text: Column) -> Column:
+        long_enough = F.length(text) >= max(options.min_chars, 1)
+        return long_enough & ~F.lower(text).isin(sorted(trivial)) if trivial else long_enough
+
+    texts = F.filter(F.array(clean_text(F.col("message"))), wanted)
+    others = [name for name in kept.columns if name != "message"]
+    return kept.select(*others, F.col("message").alias("message_raw"), F.explode(texts).alias("message"))
 
 
 def text_features(messages: DataFrame, options: MessageOptions = MessageOptions()) -> DataFrame:
@@ -77,10 +88,14 @@ def text_features(messages: DataFrame, options: MessageOptions = MessageOptions(
     )
 
 
+def drop_duplicates(messages: DataFrame, options: MessageOptions = MessageOptions()) -> DataFrame:
+    """Exact copies in one chat keep their lowest row id."""
+    return keep_first(messages, DEDUP_KEY, ["source_row_id"]) if options.deduplicate else messages
+
+
 def kept_messages(canonical: DataFrame, options: MessageOptions = MessageOptions()) -> DataFrame:
-    """Filters, then exact de-duplication.  Duplicates keep their lowest row id."""
-    kept = filter_messages(canonical, options)
-    return keep_first(kept, DEDUP_KEY, ["source_row_id"]) if options.deduplicate else kept
+    """Filters, then exact de-duplication."""
+    return drop_duplicates(filter_messages(canonical, options), options)
 
 
 def user_messages(canonical: DataFrame, options: MessageOptions = MessageOptions()) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed
 from ..options import MessageOptions, UnitOptions
 from ..session import materialise
-from .messages import calendar_features, kept_messages, text_features, user_messages
+from .messages import calendar_features, drop_duplicates, filter_messages, text_features, user_messages
 
 UNIT_COLUMNS = (
     "unit_id", "chat_uuid", "user", "chat_title", "start_ts", "end_ts", "timestamp", "n_messages", "text",
@@ -220,10 +220,11 @@ def _merged(
     rows: DataFrame,
     options: UnitOptions,
     flags: Sequence[str],
-    before: Callable[[DataFrame], DataFrame],
-    after: Callable[[DataFrame], DataFrame],
+    clean: Callable[[DataFrame], DataFrame],
+    distinct: Callable[[DataFrame], DataFrame],
+    features: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
-    """Place ``rows`` by (chat, user), then ``before`` -> segments -> ``after`` -> one row per segment.
+    """``clean``, place by (chat, user), ``distinct``, segments, ``features``, one row per segment.
 
     One exchange serves all of it.  Groups above ``hot_group_rows`` leave this
     plan: they are cut into slices of about ``slice_rows`` rows instead.
@@ -232,14 +233,15 @@ def _merged(
     order = (GROUP, "timestamp", "source_row_id")
 
     def plain(part: DataFrame) -> DataFrame:
-        return _merge(after(segment(before(part.repartition(*GROUP)), *order, *limits)), flags)
+        placed = clean(part).repartition(*GROUP)
+        return _merge(features(segment(distinct(placed), *order, *limits)), flags)
 
     keys, hot_rows = hot_groups(rows, options.hot_group_rows)
     if keys is None:
         return plain(rows)
     hot = rows.join(keys, list(GROUP), "left_semi")
     slices = max(2, math.ceil(hot_rows / options.slice_rows))
-    sliced = _merge(after(segment_sliced(before(hot), *order, *limits, slices)), flags)
+    sliced = _merge(features(segment_sliced(distinct(clean(hot)), *order, *limits, slices)), flags)
     return plain(rows.join(keys, list(GROUP), "left_anti")).unionByName(sliced)
 
 
@@ -264,8 +266,9 @@ def build_units(
         rows,
         options,
         flags,
-        before=lambda part: kept_messages(part, message_options),
-        after=lambda part: text_features(part, message_options),
+        clean=lambda part: filter_messages(part, message_options).drop("message_raw"),
+        distinct=lambda part: drop_duplicates(part, message_options),
+        features=lambda part: text_features(part, message_options),
     )
 
 
@@ -281,7 +284,7 @@ def units_from_messages(
     def unchanged(part: DataFrame) -> DataFrame:
         return part
 
-    return _merged(messages, options, flags, before=unchanged, after=unchanged)
+    return _merged(messages, options, flags, clean=unchanged, distinct=unchanged, features=unchanged)
 
 
 def unit_message_map(units: DataFrame) -> DataFrame:
