@@ -265,3 +265,13 @@ def test_density_topics_find_separate_clouds_and_outliers(spark):
     clouds = [{got[i] for i in range(c, 300, 3)} for c in range(3)]
     assert sorted(map(tuple, clouds)) == [(0,), (1,), (2,)]
     assert {got[300 + i] for i in range(3)} == {-1}
+
+
+def test_reduced_dimensions_are_principal_components(spark):
+    rows = random_vectors(9, 150, 3)
+    unit = np.array([np.float32(v) for _, _, v in rows], dtype=float)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    values, axes = np.linalg.eigh(np.cov(unit.T))
+    best = axes[:, np.argsort(values)[::-1][:3]]
+    got = density.reduce_dimensions(vectors(spark, rows), 3).orderBy("unit_id").collect()
+    assert np.allclose(np.abs([r.reduced for r in got]), np.abs(unit @ best), atol=1e-6)
