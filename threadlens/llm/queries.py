@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash
+from . import decontaminate, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -30,3 +30,25 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 @query()
 def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
+@query(
+    r"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+    i AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+    sized AS (SELECT item, w, least(10, len(w)) AS k FROM i WHERE len(w) > 0),
+    asked AS (SELECT DISTINCT item, k, array_to_string(w[s:s + k - 1], ' ') AS g FROM (SELECT item, w, k, unnest(range(1, len(w) - k + 2)) AS s FROM sized)),
+    said AS (SELECT r, k, s, array_to_string(w[s:s + k - 1], ' ') AS g
+             FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS s FROM d CROSS JOIN (SELECT DISTINCT k FROM sized) WHERE len(w) >= k)),
+    hits AS (SELECT r, item, s, said.k AS k FROM said JOIN asked ON said.g = asked.g AND said.k = asked.k),
+    places AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(s, s + k)) AS p FROM (SELECT DISTINCT r, s, k FROM hits)) GROUP BY r),
+    items AS (SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(places.n, 0) AS BIGINT) AS n_hit, CAST(coalesce(items.n, 0) AS BIGINT) AS n_items,
+           sha256(coalesce(names, '')) AS items_sha256, coalesce(places.n, 0) > 0 AS contaminated
+    FROM d LEFT JOIN places ON places.r = d.r LEFT JOIN items ON items.r = d.r
+    """
+)
+def op2_winnowing(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
