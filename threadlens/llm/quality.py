@@ -21,8 +21,8 @@ GRAM = 4
 REPEAT = 8
 #: Least words, and most percent of words in repeated windows.
 MIN_WORDS, MAX_REPEATED = 20, 30
-#: Share of the trusted documents that may fall below the threshold.
-TRUSTED_LOSS = 0.001
+#: The threshold lies as far below this quantile of trusted scores as the quantile lies below their median.
+LOW = 0.001
 #: The trusted multinomial is fitted on so many documents at most, those whose ids hash lowest; all else covers all rows.
 MAX_TRUSTED = 200_000
 SYMBOL = np.zeros(256, bool)
@@ -125,16 +125,18 @@ def score(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, base counts, base_failed, llr, threshold and kept.
 
-    Trusted are the documents with ``labels.quality`` 1.  The threshold is the lower ``TRUSTED_LOSS`` quantile of their
-    scores, found once over all of them, then applied to every document.  Without trusted documents it is minus infinity.
-    Null and empty texts have counts of 0 and fail; repeated rows are judged each; a doc_id labelled twice counts once.
+    Trusted are the documents with ``labels.quality`` 1.  The ratio is fitted on one half of them, by a hash of the id;
+    the threshold comes from all scores of the other half and holds for every document.  Without trusted documents it
+    is minus infinity.  Null and empty texts have counts of 0 and fail; repeated rows are judged each; a doc_id
+    labelled twice counts once.
     """
-    good = labels.where("quality = 1").select("doc_id").distinct()
-    fitted = good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_TRUSTED)  # a few megabytes, so texts stay where they are
+    good = labels.where("quality = 1").select("doc_id").distinct().withColumn("half", F.xxhash64("doc_id", F.lit("half")) % 2 == 0)
+    fitted = good.where("half").orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_TRUSTED)  # a few megabytes, so texts stay where they are
     trusted = docs.select("doc_id", "text").join(F.broadcast(fitted), "doc_id", "left_semi")
     scored = staged(score(docs, log_ratio(place_counts(trusted), place_counts(docs))), "scores")
-    passed = scored.where(f"n_words >= {MIN_WORDS}").join(good, "doc_id", "left_semi")
-    least = passed.agg(F.percentile_approx("llr", TRUSTED_LOSS, 100_000)).first()[0]
+    passed = scored.where(f"n_words >= {MIN_WORDS}").join(good.where("NOT half"), "doc_id", "left_semi")
+    low, middle = passed.agg(F.percentile_approx("llr", [LOW, 0.5], 100_000)).first()[0] or (None, None)
+    threshold = float("-inf") if low is None else 2 * low - middle
     failed = F.expr(f"n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEATED} * n_words")
-    out = scored.withColumn("base_failed", failed).withColumn("threshold", F.lit(float("-inf") if least is None else least))
+    out = scored.withColumn("base_failed", failed).withColumn("threshold", F.lit(threshold))
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= F.col("threshold")))
