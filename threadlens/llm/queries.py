@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, quality, simhash
+from . import decontaminate, quality, secret_scan, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -57,3 +57,8 @@ def op2_winnowing(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query()
+def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.digests(secret_scan.scan(table(spark, folder, "documents")))
