@@ -8,7 +8,8 @@ from uuid import uuid4
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
@@ -123,3 +124,8 @@ def grams(words: np.ndarray, k: int) -> np.ndarray:
 def owners(first: np.ndarray) -> np.ndarray:
     """For each word the index of its text, from ``word_spans``' third result."""
     return np.repeat(np.arange(len(first) - 1), np.diff(first))
+
+
+def held_out(doc_id: str, parts: int, part: int) -> Column:
+    """Whether crc32 of the id as text leaves ``part`` when divided by ``parts``; false without an id."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % parts == part, F.lit(False))

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, quality, secret_scan, simhash
+from . import decontaminate, quality, secret_scan, simhash, toxicity
+from .common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -62,3 +63,11 @@ def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.digests(secret_scan.scan(table(spark, folder, "documents")))
+
+
+@query()
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    held = held_out("doc_id", 5, 0).alias("held_out")
+    lexicon = toxicity.learn(docs, labels.where(~held_out("doc_id", 5, 0)))
+    return toxicity.toxicity(docs, lexicon).select("doc_id", held, "score", "predicted", "n_matches")
