@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, quality, secret_scan, simhash, toxicity
+from . import decontaminate, language, quality, secret_scan, simhash, toxicity
 from .common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,3 +71,10 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     held = held_out("doc_id", 5, 0).alias("held_out")
     lexicon = toxicity.learn(docs, labels.where(~held_out("doc_id", 5, 0)))
     return toxicity.toxicity(docs, lexicon).select("doc_id", held, "score", "predicted", "n_matches")
+
+
+@query()
+def op7_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = language.learn(docs.where(~held_out("doc_id", 4, 2)))
+    return language.predict(docs, model).withColumn("held_out", held_out("doc_id", 4, 2))
