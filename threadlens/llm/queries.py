@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language, quality, secret_scan, simhash, toxicity
+from . import decontaminate, language, quality, secret_scan, simhash, token_store, toxicity
 from .common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,3 +78,16 @@ def op7_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     model = language.learn(docs.where(~held_out("doc_id", 4, 2)))
     return language.predict(docs, model).withColumn("held_out", held_out("doc_id", 4, 2))
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query()
+def op6_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    store = token_store.write_store(docs, tokenizer_path())
+    return store.checksums(token_store.keys_of(docs)).select("doc_id", "start", "n_tokens", "ids_crc32")
