@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language, quality, secret_scan, simhash, token_store, toxicity
+from . import decontaminate, language, mixing, quality, secret_scan, simhash, token_store, toxicity
 from .common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,3 +91,48 @@ def op6_tokens(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     store = token_store.write_store(docs, tokenizer_path())
     return store.checksums(token_store.keys_of(docs)).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+#: Target weights of the mix: sources are dealt to four domains by their number.
+DOMAIN = "concat('domain', try_cast(regexp_extract(source, '[0-9]+', 0) AS BIGINT) % 4)"
+WEIGHTS = {
+    "domain": "CASE domain WHEN 'domain0' THEN 4 WHEN 'domain1' THEN 3 WHEN 'domain2' THEN 2 ELSE 1 END",
+    "lang": "CASE lang WHEN 'en' THEN 4 WHEN 'de' THEN 3 WHEN 'fr' THEN 2 ELSE 1 END",
+    "source": "1",
+}
+
+
+def _shares_sql(level: str, above: str, path: str, parent: str, weight: str) -> str:
+    """Shares of the nodes of one level in DuckDB; ``above`` has the parents' shares as ``given``."""
+    over = f"PARTITION BY {parent} ORDER BY" if parent else "ORDER BY"
+    every = f"PARTITION BY {parent}" if parent else ""
+    return f"""
+    {level}_a AS (SELECT {path}, sum(room)::HUGEINT AS room, CAST({weight} AS HUGEINT) AS weight FROM leaves GROUP BY {path}),
+    {level}_b AS (SELECT n.*, given::HUGEINT AS given FROM {level}_a n {f'JOIN {above} USING ({parent})' if parent else f'CROSS JOIN {above}'}),
+    {level}_c AS (SELECT *, given - coalesce(sum(room) OVER ({over} room::DOUBLE / weight::DOUBLE, {path} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS free,
+        sum(weight) OVER ({over} room::DOUBLE / weight::DOUBLE, {path} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS heavy FROM {level}_b),
+    {level}_d AS (SELECT *, room * heavy <= free * weight AS filled FROM {level}_c),
+    {level}_e AS (SELECT *, given - sum(CASE WHEN filled THEN room ELSE 0 END) OVER ({every}) AS rest, sum(CASE WHEN filled THEN 0 ELSE weight END) OVER ({every}) AS thirst,
+        sum(CASE WHEN filled THEN 0 ELSE weight END) OVER ({over} room::DOUBLE / weight::DOUBLE, {path} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sofar FROM {level}_d),
+    {level} AS (SELECT {path}, CASE WHEN filled THEN room ELSE (rest::HUGEINT * sofar::HUGEINT) // thirst::HUGEINT - (rest::HUGEINT * (sofar - weight)::HUGEINT) // thirst::HUGEINT END AS given FROM {level}_e),"""
+
+
+@query(
+    rf"""
+    WITH docs AS (SELECT doc_id, coalesce('domain' || (TRY_CAST(regexp_extract(source, '[0-9]+') AS BIGINT) % 4), '(none)') AS domain, coalesce(lang, '(none)') AS lang,
+        coalesce(source, '(none)') AS source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) AS BIGINT) AS n_tokens FROM documents),
+    leaves AS (SELECT domain, lang, source, sum(n_tokens)::HUGEINT AS have, 2 * sum(n_tokens)::HUGEINT AS room FROM docs GROUP BY ALL),
+    budget AS (SELECT sum(have) AS given FROM leaves),
+    {_shares_sql("level1", "budget", "domain", "", WEIGHTS["domain"])}
+    {_shares_sql("level2", "level1", "domain, lang", "domain", WEIGHTS["lang"])}
+    {_shares_sql("level3", "level2", "domain, lang, source", "domain, lang", WEIGHTS["source"])}
+    plan AS (SELECT domain, lang, source, CASE WHEN have > 0 THEN given // have ELSE 0 END AS passes, CASE WHEN have > 0 THEN given - (given // have) * have ELSE given END AS rest
+             FROM leaves JOIN level3 USING (domain, lang, source)),
+    placed AS (SELECT docs.*, passes, rest, CAST('0x' || substr(md5(concat_ws(':', '11', CAST(passes AS VARCHAR), coalesce(CAST(doc_id AS VARCHAR), ''))), 1, 15) AS BIGINT) AS place
+               FROM docs JOIN plan USING (domain, lang, source)),
+    run AS (SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY place RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS reached FROM placed)
+    SELECT doc_id, domain, lang, source, n_tokens, CAST(passes + CASE WHEN rest > 0 AND reached <= rest THEN 1 ELSE 0 END AS BIGINT) AS n_copies FROM run
+    """
+)
+def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents"), DOMAIN, WEIGHTS, budget_share=1.0, epochs=2, seed=11)
