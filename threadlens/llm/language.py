@@ -129,6 +129,28 @@ class _Memory:
         return self.labels[np.searchsorted(self.hashes, distinct)][back]
 
 
+def _labelled(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[tuple[pa.RecordBatch, list[str], np.ndarray]]:
+    """Each batch with the language and score of its texts."""
+    memory = _Memory(model.network) if model.network else None
+    for batch in blocks(batches):
+        n = batch.num_rows
+        if memory is None:
+            yield batch, [UNKNOWN] * n, np.zeros(n)
+            continue
+        letters = pc.match_substring_regex(batch["text"].fill_null(""), r"\p{L}").to_numpy(zero_copy_only=False)
+        data, starts, ends, text = _words(batch)
+        labels = memory.of(hash_words(data, starts, ends), data, starts, ends)
+        sums = np.stack([np.bincount(text, labels[:, c], n) for c in range(labels.shape[1])], axis=1)
+        size = np.bincount(text, ends - starts, n)
+        mean = sums / np.maximum(size, 1)[:, None]
+        chances = np.exp(mean - mean.max(axis=1, keepdims=True))
+        chances /= chances.sum(axis=1, keepdims=True)
+        best = chances.argmax(axis=1)
+        known = letters & (size > 0)
+        score = np.where(known, np.round(chances[np.arange(n), best], 6), 0.0)
+        yield batch, [model.languages[b] if k else UNKNOWN for b, k in zip(best, known, strict=True)], score
+
+
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, lang_pred and score, the pooled probability of that language.
 
@@ -139,25 +161,18 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.value
-        memory = _Memory(model.network) if model.network else None
-        for batch in blocks(batches):
-            n = batch.num_rows
-            letters = pc.match_substring_regex(batch["text"].fill_null(""), r"\p{L}").to_numpy(zero_copy_only=False)
-            if memory is None:
-                yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array([UNKNOWN] * n), pa.array(np.zeros(n))], ["doc_id", "lang_pred", "score"])
-                continue
-            data, starts, ends, text = _words(batch)
-            labels = memory.of(hash_words(data, starts, ends), data, starts, ends)
-            sums = np.stack([np.bincount(text, labels[:, c], n) for c in range(labels.shape[1])], axis=1)
-            size = np.bincount(text, ends - starts, n)
-            mean = sums / np.maximum(size, 1)[:, None]
-            chances = np.exp(mean - mean.max(axis=1, keepdims=True))
-            chances /= chances.sum(axis=1, keepdims=True)
-            best = chances.argmax(axis=1)
-            known = letters & (size > 0)
-            score = np.where(known, np.round(chances[np.arange(n), best], 6), 0.0)
-            names = [model.languages[b] if k else UNKNOWN for b, k in zip(best, known, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(names), pa.array(score)], ["doc_id", "lang_pred", "score"])
+        for batch, names, score in _labelled(batches, sent.value):
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(names, pa.string()), pa.array(score)], ["doc_id", "lang_pred", "score"])
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
+
+
+def accepted(docs: DataFrame, model: Model, least: float) -> DataFrame:
+    """The rows of ``docs`` whose text has a language with a score of ``least`` or more; columns as given."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, names, score in _labelled(batches, sent.value):
+            yield batch.filter(pa.array([n != UNKNOWN and s >= least for n, s in zip(names, score.tolist(), strict=True)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
