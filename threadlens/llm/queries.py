@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language, mixing, quality, secret_scan, simhash, token_store, toxicity
+from . import decontaminate, language, lm, mixing, quality, secret_scan, simhash, token_store, toxicity
 from .common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -136,3 +136,9 @@ def _shares_sql(level: str, above: str, path: str, parent: str, weight: str) ->
 )
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"), DOMAIN, WEIGHTS, budget_share=1.0, epochs=2, seed=11)
+
+
+@query()
+def op5_lm(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return lm.score_texts(docs.withColumn("held_out", held_out("doc_id", 7, 2)))
