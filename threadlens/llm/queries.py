@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language, lm, mixing, quality, secret_scan, simhash, token_store, toxicity
+from . import decontaminate, extract, language, lm, mixing, quality, secret_scan, simhash, token_store, toxicity
 from .common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -120,7 +120,8 @@ def _shares_sql(level: str, above: str, path: str, parent: str, weight: str) ->
 @query(
     rf"""
     WITH docs AS (SELECT doc_id, coalesce('domain' || (TRY_CAST(regexp_extract(source, '[0-9]+') AS BIGINT) % 4), '(none)') AS domain, coalesce(lang, '(none)') AS lang,
-        coalesce(source, '(none)') AS source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) AS BIGINT) AS n_tokens FROM documents),
+        coalesce(source, '(none)') AS source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+')) AS BIGINT) AS n_tokens FROM documents),
     leaves AS (SELECT domain, lang, source, sum(n_tokens)::HUGEINT AS have, 2 * sum(n_tokens)::HUGEINT AS room FROM docs GROUP BY ALL),
     budget AS (SELECT sum(have) AS given FROM leaves),
     {_shares_sql("level1", "budget", "domain", "", WEIGHTS["domain"])}
@@ -142,3 +143,9 @@ def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
 def op5_lm(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return lm.score_texts(docs.withColumn("held_out", held_out("doc_id", 7, 2)))
+
+
+@query()
+def op3_html(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    return extract.extract(pages, extract.learn(pages))
