@@ -1,19 +1,17 @@
-"""A small chat export: five users, one assistant reply, one exact copy, two trivial messages."""
+"""The night shift of a library's help desk: two rooms, two people who meet in one of them, two weeks."""
 
 HEADER = ["Время", "Пользователь", "Chat UUID", "Чат", "role", "message"]
 
 ROWS = [
-    ("2026-03-02 09:00:00", "anna", "c1", "Sales", "user", "Собери select по выручке за квартал"),
-    ("2026-03-02 09:01:00", "anna", "c1", "Sales", "assistant", "Вот пример такого запроса"),
-    ("2026-03-02 09:04:00", "anna", "c1", "Sales", "user", "Теперь group by регион и канал"),
-    ("2026-03-02 09:08:00", "anna", "c1", "Sales", "user", "Убери возвраты из расчёта"),
-    ("2026-03-03 10:00:00", "boris", "c2", "Sheets", "user", "Как собрать сводную таблицу в xlsx файле"),
-    ("2026-03-03 10:02:00", "boris", "c2", "Sheets", "user", "спасибо"),
-    ("2026-03-03 10:00:00", "boris", "c2", "Sheets", "user", "Как  собрать сводную\tтаблицу в xlsx файле"),
-    ("2026-03-04 11:00:00", "clara", "c3", "Bug", "user", "Скрипт падает, вижу traceback в логе"),
-    ("2026-03-04 11:12:00", "clara", "c3", "Bug", "user", "Подробности: https://example.org/log/7 посмотри"),
-    ("2026-03-10 15:00:00", "dmitry", "c4", "Plan", "user", "Заведи epic в jira и страницу в confluence"),
-    ("2026-03-10 15:40:00", "dmitry", "c4", "Plan", "user", "Сделай из этого презентацию pptx"),
-    ("2026-03-10 16:30:00", "dmitry", "c4", "Plan", "user", "ок"),
-    ("2026-03-11 12:00:00", "elena", "c5", "Gateway", "user", "В openwebui не работает fallback через litellm"),
+    ("2026-05-18T22:10:00", "nadia", "room-a", "Night shift", "system", "You are the help desk of a library"),
+    ("2026-05-18T22:11:00", "nadia", "room-a", "Night shift", "user", "The catalogue page shows a traceback since ten"),
+    ("2026-05-18T22:12:00", "omar", "room-a", "Night shift", "user", "Same here, the grafana dashboard is red"),
+    ("2026-05-18T22:13:00", "nadia", "room-a", "Night shift", "assistant", "The catalogue has been started again"),
+    ("2026-05-18T22:20:00", "nadia", "room-a", "Night shift", "user", "It is back, please close the jira ticket"),
+    ("2026-05-18T22:20:00", "nadia", "room-a", "Night shift", "user", "It is  back, please close\tthe jira ticket"),
+    ("2026-05-18T23:59:00", "nadia", "room-a", "Night shift", "user", "Merci"),
+    ("2026-05-19T08:00:00", "omar", "room-b", "Loans", "user", "Write an SQL query for all overdue loans"),
+    ("2026-05-19T08:30:00", "omar", "room-b", "Loans", "user", "Now put the overdue loans into an excel sheet"),
+    ("2026-05-25T09:00:00", "omar", "room-b", "Loans", "user", "The SQL needs the branch: select name from branch"),
+    ("2026-05-25T09:05:00", "omar", "room-b", "Loans", "assistant", ""),
 ]

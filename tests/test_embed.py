@@ -81,8 +81,8 @@ def test_a_bad_text_is_isolated(spark):
     rows = embed.embed(prepared, factory, 8, on_error="record").collect()
     failed = [r for r in rows if r.error]
     assert len(rows) == 21 and len(failed) == 1 and failed[0].embedding is None
-    assert "bad text" in failed[0].error and "cannot read it" in failed[0].error
-    with pytest.raises(Exception, match="bad text"):
+    assert "cannot read it" in failed[0].error
+    with pytest.raises(Exception, match=f"{failed[0].text_hash}.*cannot read it"):
         embed.embed(prepared, factory, 8).collect()
 
 
@@ -127,6 +127,53 @@ def test_cache_embeds_each_missing_text_once(spark, tmp_path):
     assert open(seen, encoding="utf-8").read().split().count("aa") == 2
 
 
+def test_a_failed_run_keeps_its_finished_waves(spark, tmp_path):
+    seen, cache, texts = str(tmp_path / "seen"), str(tmp_path / "cache"), [f"text {i}" for i in range(60)]
+    options = EmbeddingOptions(texts_per_wave=10, batch_size=4)
+
+    def factory(limit):
+        def build():
+            def provider(batch):
+                with open(seen, "a+", encoding="utf-8") as out:
+                    out.seek(0)
+                    if len(out.readlines()) >= limit:
+                        raise ConnectionError("gone")
+                    out.writelines(t + "\n" for t in batch)
+                return lengths(batch)
+
+            return provider
+
+        return build
+
+    with pytest.raises(Exception, match="gone"):
+        embed.cached_embeddings(units(spark, texts), cache, factory(30), options)
+    kept = {r.text_hash for r in embed.read_cache(spark, cache).collect()}
+    assert 0 < len(kept) < 60
+    again = str(tmp_path / "seen")
+    before = len(open(again, encoding="utf-8").readlines())
+    done = embed.cached_embeddings(units(spark, texts), cache, factory(10**9), options)
+    assert done.count() == 60 and len(open(again, encoding="utf-8").readlines()) - before == 60 - len(kept)
+
+
+def test_doubled_cache_rows_and_refused_texts(spark, tmp_path):
+    cache = str(tmp_path / "cache")
+
+    def factory():
+        def provider(texts):
+            if any("bad" in t for t in texts):
+                raise embed.BatchRejected("cannot read it")
+            return lengths(texts)
+
+        return provider
+
+    have = units(spark, ["aa", "bbb", "bad"])
+    assert embed.cached_embeddings(have, cache, factory, on_error="record").count() == 2
+    assert spark.read.parquet(f"{cache}_rejects").select("error").first().error.endswith("cannot read it")
+    rows = spark.createDataFrame([tuple(r) for r in spark.read.parquet(cache).collect()], embed.CACHE_SCHEMA)
+    rows.write.mode("append").parquet(cache)
+    assert embed.cached_embeddings(units(spark, ["aa", "bbb"]), cache, factory).count() == 2
+
+
 def test_counters(spark):
     df = units(spark, ["a\0b", "x" * 10, "ok", "y\0" * 10])
     row = embed.preparation_counters(df, EmbeddingOptions(max_text_chars=5)).first()
@@ -136,7 +183,8 @@ def test_counters(spark):
 def test_alignment(spark):
     have = units(spark, ["a", "b"])
     embed.check_alignment(have, have)
-    for other in (have.limit(1), have.unionByName(units(spark, ["z"]).withColumn("unit_id", F.lit("new")))):
+    assert embed.alignment_problems(have, have).count() == 0
+    for other in (have.limit(1), have.unionByName(units(spark, ["z"]).withColumn("unit_id", F.lit("new"))), have.unionByName(have.limit(1))):
         with pytest.raises(ValueError):
             embed.check_alignment(have, other)
 

@@ -3,6 +3,7 @@ import sys
 
 import pytest
 from pyspark import cloudpickle
+from pyspark.sql import functions as F
 
 from threadlens.functions import fixed
 from threadlens.operators import enrich
@@ -47,7 +48,7 @@ def test_response_parsing(spark):
     assert rows[3].topic_title == "T" and rows[3].confidence_note is None
     for r in rows[4:]:
         assert "no JSON object" in r.parse_error and r.topic_title is None
-    assert "no json" in rows[4].parse_error
+    assert "7 characters" in rows[4].parse_error
 
 
 def test_mock_answers(spark):
@@ -82,6 +83,30 @@ def test_a_failing_topic_gets_placeholders(spark):
     assert rows[2].suspected_jtbd == "a; b" and rows[2].suspected_business_value == '{"level": "high"}'
 
 
+def test_a_provider_is_called_once_without_a_cache(spark, tmp_path):
+    calls = str(tmp_path / "calls")
+
+    def factory():
+        def provider(payload):
+            with open(calls, "a", encoding="utf-8") as out:
+                out.write("x")
+            return FULL
+
+        return provider
+
+    found = enrich.enrich_topics(*inputs(spark), factory)
+    assert found.count() == 3 and len(found.collect()) == 3 and len(open(calls, encoding="utf-8").read()) == 2
+
+
+def test_deep_replies_and_title_case(spark):
+    deep = '{"topic_title": ' + "[" * 100_000
+    rows = enrich.parse_responses(spark.createDataFrame([(1, deep)], "id int, response string")).collect()
+    assert rows[0].parse_error
+    texts = ["sql query", "o'neil-x1y", "ÉCOLE", "", "4you"]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(enrich.title_case(F.col("t")).alias("t")).collect()
+    assert [r.t for r in got] == [t.title() for t in texts]
+
+
 def test_disabled(spark):
     rows = enrich.enrich_topics(*inputs(spark), options=EnrichmentOptions(enabled=False)).collect()
     assert len(rows) == 3 and all(r[c] is None for r in rows for c in fixed.ENRICHMENT_COLUMNS)

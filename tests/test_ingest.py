@@ -23,11 +23,11 @@ def test_csv_export_becomes_the_canonical_table(spark, export):
     canonical = ingest.ingest(read_csv(spark, export))
     assert canonical.columns == ["source_row_id", "timestamp", "user", "chat_uuid", "chat_title", "role", "message"]
     rows = canonical.orderBy("source_row_id").collect()
-    assert [r.source_row_id for r in rows] == list(range(13))
+    assert [r.source_row_id for r in rows] == list(range(11))
     assert [r.message for r in rows] == [r[5] for r in ROWS]
     report = ingest.quality_report(canonical).first().asDict()
     assert report == {
-        "total_rows": 13, "user_rows": 12, "assistant_rows": 1, "empty_message_rows": 0, "unique_users": 5, "unique_chats": 5,
+        "total_rows": 11, "user_rows": 8, "assistant_rows": 2, "empty_message_rows": 1, "unique_users": 2, "unique_chats": 2,
     }
 
 
@@ -71,7 +71,13 @@ def test_na_words_stay_text(spark, tmp_path):
 def test_csv_encoding(spark, tmp_path):
     path = tmp_path / "old.csv"
     path.write_bytes("Чат,role\nПривет,user\n".encode("cp1251"))
-    assert read_csv(spark, str(path), "windows-1251").first()["Чат"] == "Привет"
+    with pytest.raises(ValueError, match="javaCharsets"):
+        read_csv(spark, str(path), "windows-1251")
+    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    try:
+        assert read_csv(spark, str(path), "windows-1251").first()["Чат"] == "Привет"
+    finally:
+        spark.conf.unset("spark.sql.legacy.javaCharsets")
 
 
 @pytest.mark.parametrize(

@@ -43,11 +43,11 @@ def test_titles(spark):
 
 
 def test_min_df():
-    assert terms.resolve_min_df(1, 10) == 1 and terms.resolve_min_df(0, 10) == 1
-    assert terms.resolve_min_df(5, 36) == pytest.approx(5 / 36)
-    assert terms.resolve_min_df(5, 3) == 1.0
-    assert terms.resolve_min_df(0.0, 5) == pytest.approx(0.2)
-    assert terms.resolve_min_df(2.5, 5) == 1.0 and terms.resolve_min_df(0.5, 0) == 1.0
+    assert terms.topics_needed(1, 10, 7) == terms.topics_needed(0, 10, 7) == 1
+    assert terms.topics_needed(5, 36, 4) == pytest.approx(20 / 36)
+    assert terms.topics_needed(5, 3, 4) == 4
+    assert terms.topics_needed(0.0, 5, 10) == pytest.approx(2)
+    assert terms.topics_needed(2.5, 5, 3) == 3 and terms.topics_needed(0.5, 0, 3) == 3
 
 
 def weights_by_hand(rows, at_least):
@@ -122,6 +122,22 @@ def test_centroids(spark):
     assert got.keys() == want.keys() and all(np.allclose(got[t], want[t]) for t in want)
 
 
+@pytest.mark.parametrize("kind", ["parallel", "same", "close"])
+def test_merging_ends_on_centroids_that_look_alike(spark, kind):
+    rng = np.random.default_rng(4)
+    base = rng.normal(size=64)
+    made = {"parallel": lambda i: base * (i + 1), "same": lambda i: base, "close": lambda i: base + rng.normal(size=64) * 1e-9}[kind]
+    rows = [(i, [float(x) for x in made(i)], 1) for i in range(9)] + [(-1, [0.0] * 64, 3)]
+    merged = topics.reduce_topics(spark.createDataFrame(rows, "topic_id int, centroid array<double>, n_units bigint"), 2).collect()
+    assert len({r.merged_topic for r in merged if r.topic_id >= 0}) == 2 and len(merged) == 10
+
+
+def test_merging_refuses_centroids_that_are_no_numbers(spark):
+    rows = [(0, [1.0, float("nan")], 1), (1, [0.0, 1.0], 1), (2, [1.0, 1.0], 1)]
+    with pytest.raises(ValueError, match="finite"):
+        topics.reduce_topics(spark.createDataFrame(rows, "topic_id int, centroid array<double>, n_units bigint"), 1)
+
+
 @pytest.mark.parametrize("block_bytes", [1 << 20, 100])
 def test_outliers_go_to_the_nearest_centroid(spark, block_bytes):
     rows = random_vectors(2, 100, 7)

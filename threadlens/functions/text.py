@@ -60,7 +60,7 @@ def strip_punctuation(masked: Column) -> Column:
 
 def modeling_tokens(
     clean: Column,
-    max_tokens: int | None = 400,
+    max_tokens: int | None = None,
     strip_stopwords: bool = True,
     stopwords: Sequence[str] = fixed.MODELING_STOPWORDS,
     token_pattern: str = fixed.MODELING_TOKEN,
@@ -80,7 +80,9 @@ def modeling_tokens(
     tokens = F.filter(trimmed, wanted)
     if max_tokens:
         tokens = F.slice(tokens, 1, max_tokens)
-    raw = F.slice(F.regexp_extract_all(lowered, F.lit(token_pattern), F.lit(0)), 1, max(max_tokens or 0, 1))
+    raw = F.regexp_extract_all(lowered, F.lit(token_pattern), F.lit(0))
+    if max_tokens is not None:
+        raw = F.slice(raw, 1, max(max_tokens, 1))
     fallback = let(raw, lambda r: F.when(F.size(r) > 0, r).otherwise(F.array(F.lit(fixed.MODELING_EMPTY))))
     return let(tokens, lambda t: F.when(F.size(t) > 0, t).otherwise(fallback))
 
@@ -124,7 +126,7 @@ def display_title(llm_title: Column, title: Column, topic_id: Column) -> Column:
     )
 
 
-def embedding_input(text: Column, max_chars: int | None = 12000, strip_nul: bool = True) -> Column:
+def embedding_input(text: Column, max_chars: int | None = None, strip_nul: bool = True) -> Column:
     """What the embedding model is given: NULs to spaces, then the model's length limit."""
     if strip_nul:
         text = F.replace(text, F.lit("\0"), F.lit(" "))

@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from pyspark.ml.feature import PCA, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..options import TopicOptions
 from ..session import materialise
+from .ingest import with_row_id
 from .messages import keep_first
 from .topics import OUTLIER
 
@@ -97,8 +98,9 @@ def cell_topics(cells: DataFrame, components: int, min_samples: int, min_cluster
     border = keep_first(sparse.join(offers, "cell"), ["cell"], [F.col("__offer").desc(), "first_cell"])
     members = materialise(core.select("cell", "n", "first_cell").unionByName(border.select("cell", "n", "first_cell")))
     sizes = members.groupBy("first_cell").agg(F.sum("n").alias("size")).where(F.col("size") >= min_cluster_size)
-    largest = Window.orderBy(F.col("size").desc(), "first_cell")
-    numbered = sizes.select("first_cell", (F.row_number().over(largest) - 1).alias("topic_id"))
+    largest_first = sizes.select("first_cell", (-F.col("size")).alias("__back"))
+    numbered = with_row_id(largest_first, ["__back", "first_cell"])
+    numbered = numbered.select("first_cell", F.col("source_row_id").cast("int").alias("topic_id"))
     return members.join(numbered, "first_cell").select("cell", "topic_id")
 
 
@@ -106,9 +108,13 @@ def density_topics(vectors: DataFrame, options: TopicOptions = TopicOptions()) -
     """Adds ``topic_id`` (-1 for outliers) to (unit_id, embedding) rows."""
     # Fitting reads the vectors once more, so an embedding computed on the fly is written out first.
     reduced = reduce_dimensions(materialise(vectors), options.components)
-    placed = materialise(reduced.withColumn("cell", grid_cell(F.col("reduced"), options.cell_width)))
+    placed = reduced.withColumn("cell", grid_cell(F.col("reduced"), options.cell_width))
+    found = assign_cells(placed, options.components, options.min_samples, options.min_cluster_size)
+    return found.select(*vectors.columns, "reduced", "cell", "topic_id")
+
+
+def assign_cells(placed: DataFrame, components: int, min_samples: int, min_cluster_size: int) -> DataFrame:
+    """Rows with a ``cell`` -> the same rows with ``topic_id``; only counts of cells are kept in between."""
     cells = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
-    topics = cell_topics(cells, options.components, options.min_samples, options.min_cluster_size)
-    return placed.join(topics, "cell", "left").select(
-        *vectors.columns, "reduced", "cell", F.coalesce("topic_id", F.lit(OUTLIER)).alias("topic_id")
-    )
+    topics = cell_topics(cells, components, min_samples, min_cluster_size)
+    return placed.join(topics, "cell", "left").withColumn("topic_id", F.coalesce("topic_id", F.lit(OUTLIER)))

@@ -52,18 +52,30 @@ def preparation_counters(units: DataFrame, options: EmbeddingOptions = Embedding
 
 
 def embed_batch(provider: Provider, texts: Sequence[str]) -> list[tuple[np.ndarray | None, str | None]]:
-    """(vector, error) per text; a rejected batch is halved until the bad text stands alone."""
-    try:
-        vectors = np.asarray(provider(list(texts)), dtype=np.float32)
-    except BatchRejected as error:
-        if len(texts) == 1:
-            preview = texts[0][:240].replace("\n", " ")
-            return [(None, f"rejected: chars={len(texts[0])}, preview={preview!r}, response={str(error)[:1000]}")]
-        middle = len(texts) // 2
-        return embed_batch(provider, texts[:middle]) + embed_batch(provider, texts[middle:])
-    if len(vectors) != len(texts):
-        raise ValueError(f"provider returned {len(vectors)} vectors for {len(texts)} texts")
-    return [(vector, None) for vector in vectors]
+    """(vector, error) per text.
+
+    Spans of the batch wait on a stack; a span that the provider refuses comes
+    back as two halves, and a text refused alone gets the provider's words.
+    """
+    found: list[tuple[np.ndarray | None, str | None]] = [(None, None)] * len(texts)
+    waiting = [range(len(texts))]
+    while waiting:
+        span = waiting.pop()
+        asked = [texts[i] for i in span]
+        try:
+            answer = np.asarray(provider(asked), dtype=np.float32)
+        except BatchRejected as refusal:
+            if len(span) == 1:
+                found[span.start] = (None, f"refused by the provider: {refusal}")
+            else:
+                half = len(span) // 2
+                waiting += [span[half:], span[:half]]
+            continue
+        if len(answer) != len(asked):
+            raise ValueError(f"provider returned {len(answer)} vectors for {len(asked)} texts")
+        for place, vector in zip(span, answer):
+            found[place] = (vector, None)
+    return found
 
 
 def embed(
@@ -88,7 +100,8 @@ def embed(
             results = embed_batch(provider, batch["prepared"].tolist())
             errors = [error for _, error in results]
             if on_error == "raise" and any(errors):
-                raise ValueError(f"embedding failed: {next(filter(None, errors))}")
+                key, error = next(pair for pair in zip(batch["text_hash"], errors) if pair[1])
+                raise ValueError(f"text {key} was {error}")
             return pd.DataFrame(
                 {"text_hash": batch["text_hash"].to_numpy(), "embedding": [v for v, _ in results], "error": errors}
             )
@@ -135,25 +148,39 @@ def inference_tasks(missing: DataFrame, options: EmbeddingOptions) -> int:
     return max(1, min(wanted, math.ceil(texts / max(1, options.batch_size))))
 
 
+def read_cache(spark, path: str) -> DataFrame:
+    """A cache table with one row per text, also if two runs have stored the same text."""
+    return read_or_empty(spark, path, CACHE_SCHEMA).groupBy("text_hash").agg(F.first("embedding").alias("embedding"))
+
+
 def cached_embeddings(
     units: DataFrame,
     cache_path: str,
     factory: ProviderFactory,
     options: EmbeddingOptions = EmbeddingOptions(),
+    on_error: str = "raise",
 ) -> DataFrame:
     """(unit_id, embedding) for every unit, computing only what the cache table lacks.
 
-    The content hash is the key, so a run repeated after a failure embeds only
-    what is still missing.  Vectors are joined by key, never by row position.
+    The content hash is the key.  Missing texts are embedded in waves of about
+    ``texts_per_wave``, by a hash of the key, and each wave is committed before
+    the next, so a run repeated after a failure loses one wave at most.  With
+    ``on_error="record"`` refused texts go to ``<cache_path>_rejects`` and their
+    units have no vector.  Vectors are joined by key, never by row position.
     """
     spark = units.sparkSession
     prepared = prepare(units, options)
-    cache = read_or_empty(spark, cache_path, CACHE_SCHEMA)
-    missing = materialise(missing_texts(prepared, cache))
-    new = embed(missing.repartition(inference_tasks(missing, options)), factory, options.batch_size)
-    new.select("text_hash", "embedding").write.mode("append").parquet(cache_path)
-    filled = spark.read.schema(CACHE_SCHEMA).parquet(cache_path)
-    return prepared.select("unit_id", "text_hash").join(filled, "text_hash").select("unit_id", "embedding")
+    missing = materialise(missing_texts(prepared, read_or_empty(spark, cache_path, CACHE_SCHEMA)))
+    waves = max(1, math.ceil(missing.count() / max(1, options.texts_per_wave)))
+    for wave in range(waves):
+        part = missing.where(F.pmod(F.xxhash64("text_hash"), F.lit(waves)) == wave)
+        new = embed(part.repartition(inference_tasks(part, options)), factory, options.batch_size, on_error)
+        if on_error == "record":
+            new = materialise(new)
+            refused = new.where("embedding IS NULL").select("text_hash", "error")
+            refused.write.mode("append").parquet(f"{cache_path}_rejects")
+        new.where("embedding IS NOT NULL").select("text_hash", "embedding").write.mode("append").parquet(cache_path)
+    return prepared.select("unit_id", "text_hash").join(read_cache(spark, cache_path), "text_hash").select("unit_id", "embedding")
 
 
 def embed_units(
@@ -166,9 +193,16 @@ def embed_units(
     return prepared.select("unit_id", "text_hash").join(vectors, "text_hash").select("unit_id", "embedding")
 
 
+def alignment_problems(units: DataFrame, vectors: DataFrame) -> DataFrame:
+    """(unit_id, n_units, n_vectors) of every id that does not have exactly one of each."""
+    named = units.select("unit_id", F.lit(1).alias("u"), F.lit(0).alias("v"))
+    named = named.unionByName(vectors.select("unit_id", F.lit(0).alias("u"), F.lit(1).alias("v")))
+    counted = named.groupBy("unit_id").agg(F.sum("u").alias("n_units"), F.sum("v").alias("n_vectors"))
+    return counted.where("n_units <> 1 OR n_vectors <> 1")
+
+
 def check_alignment(units: DataFrame, vectors: DataFrame) -> None:
     """Every unit needs exactly one vector and every vector a unit."""
-    lonely = units.select("unit_id").join(vectors.select("unit_id"), "unit_id", "left_anti").limit(1).count()
-    orphan = vectors.select("unit_id").join(units.select("unit_id"), "unit_id", "left_anti").limit(1).count()
-    if lonely or orphan:
-        raise ValueError("units and embeddings do not match")
+    wrong = alignment_problems(units, vectors).limit(1).collect()
+    if wrong:
+        raise ValueError(f"units and embeddings do not match: {wrong[0].asDict()}")

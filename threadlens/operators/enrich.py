@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -10,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
+from ..functions.text import strip_text
 from ..options import EnrichmentOptions
 from ..session import materialise
 from .embed import read_or_empty
@@ -26,38 +28,29 @@ RESULT_SCHEMA = "topic_id int, " + ", ".join(f"{name} string" for name in COLUMN
 
 # --- small per-row helpers ------------------------------------------------------
 
+OBJECT_START = re.compile(r"\{\s*[\"}]")
+# How a decoded JSON value is stored as text, by its type; every other type by ``str``.
+STORED = {
+    type(None): lambda value: None,
+    str: str.strip,
+    dict: lambda value: json.dumps(value, ensure_ascii=False, sort_keys=True),
+    list: lambda value: "; ".join(filter(None, map(flatten, value))),
+}
+
 
 def flatten(value: object) -> str | None:
-    """Any decoded JSON value as the text that is stored."""
-    match value:
-        case None:
-            return None
-        case str():
-            return value.strip()
-        case dict():
-            return json.dumps(value, ensure_ascii=False, sort_keys=True)
-        case list() | tuple() | set():
-            return "; ".join(part for part in map(flatten, value) if part)
-        case _:
-            return str(value)
-
-
-def first_object(text: str) -> dict:
-    """First JSON object in a model's reply; fences and surrounding prose are ignored."""
-    body = text.strip()
-    if body.startswith("```"):
-        lines = body.splitlines()[1:]
-        if lines and lines[-1].startswith("```"):
-            lines.pop()
-        body = "\n".join(lines).strip()
-    decoder, problem, at = json.JSONDecoder(), None, body.find("{")
-    while at >= 0:
+    return STORED.get(type(value), str)(value)
+
+
+def first_object(reply: str) -> dict:
+    """The first JSON object in a reply, whatever stands around it."""
+    decoder = json.JSONDecoder()
+    for start in OBJECT_START.finditer(reply):
         try:
-            return decoder.raw_decode(body, at)[0]
-        except json.JSONDecodeError as error:
-            problem, at = error, body.find("{", at + 1)
-    preview = body[:1000].replace("\n", "\\n")
-    raise ValueError(f"no JSON object in the response; preview={preview!r}, error={problem}")
+            return decoder.raw_decode(reply, start.start())[0]
+        except (ValueError, RecursionError):
+            continue
+    raise ValueError(f"no JSON object in a reply of {len(reply)} characters")
 
 
 def enrichment_row(reply: object) -> dict[str, str | None]:
@@ -131,15 +124,23 @@ def request_key(options: EnrichmentOptions) -> Column:
 # --- providers --------------------------------------------------------------------
 
 
-def mock_provider() -> EnrichProvider:
-    """Deterministic enrichment that needs no model."""
+def title_case(text: Column) -> Column:
+    """Every run of letters with its first letter raised and the others lowered."""
+    runs = F.regexp_extract_all(text, F.lit(r"\p{L}+|[^\p{L}]+"), F.lit(0))
+    return F.array_join(F.transform(runs, lambda r: F.concat(F.upper(F.substring(r, 1, 1)), F.lower(F.substring(r, 2, 1 << 30)))), "")
+
+
+def mock_answers(requests: DataFrame) -> DataFrame:
+    """Deterministic enrichment that needs no model: columns of the requests, put into fixed texts."""
+    word = strip_text(F.substring_index("topic_keywords", ",", 1))
+    number, shown = F.col("topic_id").cast("string"), F.size("examples").cast("string")
+    title = title_case(F.when(word != "", word).otherwise(F.concat(F.lit("Topic "), number)))
 
-    def reply(payload: dict) -> dict:
-        title = payload["topic_keywords"].split(",")[0].strip() or f"Topic {payload['topic_id']}"
-        texts = {k: t.format(payload["topic_id"], len(payload["examples"])) for k, t in fixed.MOCK_TEXTS.items()}
-        return {"topic_title": title.title(), **texts}
+    def said(template: str) -> Column:
+        return F.replace(F.replace(F.lit(template), F.lit("{0}"), number), F.lit("{1}"), shown)
 
-    return reply
+    texts = [said(fixed.MOCK_TEXTS[name]).alias(name) for name in COLUMNS if name in fixed.MOCK_TEXTS]
+    return requests.select("topic_id", title.alias("topic_title"), *texts).select("topic_id", *COLUMNS)
 
 
 def call_provider(requests: DataFrame, factory: EnrichFactory) -> DataFrame:
@@ -177,25 +178,28 @@ def no_enrichment(summary: DataFrame) -> DataFrame:
 def enrich_topics(
     summary: DataFrame,
     examples: DataFrame,
-    factory: EnrichFactory = mock_provider,
+    factory: EnrichFactory | None = None,
     options: EnrichmentOptions = EnrichmentOptions(),
     cache_path: str | None = None,
 ) -> DataFrame:
-    """One enrichment row per topic of the summary.
+    """One enrichment row per topic of the summary, by ``factory`` or by the fixed answers.
 
-    With a cache table, only requests that have no successful answer yet are
+    A provider is called once per topic: its answers are written out before they
+    are used.  With a cache table, only requests that have no successful answer yet are
     sent; fallbacks are never stored, so a passing failure is retried next time.
     """
     if not options.enabled:
         return no_enrichment(summary)
     outliers = no_enrichment(summary.where(F.col("topic_id") == OUTLIER))
     requests = topic_requests(summary, examples, options.max_examples_per_topic)
+    if factory is None:
+        return mock_answers(requests).unionByName(outliers)
     if cache_path is None:
-        return call_provider(requests, factory).drop("status").unionByName(outliers)
+        return materialise(call_provider(requests, factory)).drop("status").unionByName(outliers)
     spark = summary.sparkSession
     schema = "request_hash string, " + RESULT_SCHEMA
     keyed = requests.withColumn("request_hash", request_key(options))
-    cache = read_or_empty(spark, cache_path, schema)
+    cache = read_or_empty(spark, cache_path, schema).dropDuplicates(["request_hash"])
     todo = keyed.join(cache.select("request_hash"), "request_hash", "left_anti")
     answered = call_provider(todo, factory).join(keyed.select("topic_id", "request_hash"), "topic_id")
     fresh = materialise(answered)

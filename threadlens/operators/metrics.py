@@ -53,9 +53,10 @@ def topic_summary(
 def summarise(
     aggregates: DataFrame, titles: DataFrame | None = None, shares: Mapping[str, str] = fixed.FLAG_SHARES
 ) -> DataFrame:
-    # Topic grain from here on: the total is a window over one row per topic.
-    total = F.greatest(F.sum("n_units").over(Window.partitionBy(F.lit(1))), F.lit(1))
-    result = aggregates.withColumn("share_of_total", F.col("n_units") / total)
+    # Topic grain from here on.  The total is one number, so no task has to hold all topics.
+    aggregates = materialise(aggregates)
+    total = max(aggregates.agg(F.sum("n_units")).first()[0] or 0, 1)
+    result = aggregates.withColumn("share_of_total", F.col("n_units") / F.lit(total))
     fallback = F.concat(F.lit("topic_"), F.col("topic_id").cast("string"))
     if titles is None:
         result = result.withColumns({"topic_title_auto": fallback, "topic_keywords": F.lit("")})

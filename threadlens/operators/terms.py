@@ -56,18 +56,17 @@ def topic_titles(topics: DataFrame, keywords: DataFrame, fallback: Column) -> Da
 # --- class-based TF-IDF -------------------------------------------------------
 
 
-def resolve_min_df(requested: int | float, n_units: int) -> int | float:
-    """Document-frequency threshold over topics.
+def topics_needed(min_df: int | float, n_units: int, n_topics: int) -> float:
+    """In how many topics a term has to be.
 
-    1 or less stays an absolute 1; other integers become a share of the corpus,
-    and floats are clamped to a share that can be met.
+    Counts above 1 are meant for units and are read as shares of them; a share
+    lies between one unit and all, and holds for the topics.
     """
-    share = 1.0 / max(n_units, 1)
-    if isinstance(requested, float):
-        return min(max(requested, share), 1.0)
-    if requested <= 1:
-        return 1
-    return min(max(requested / max(n_units, 1), share), 1.0)
+    if isinstance(min_df, int) and min_df < 2:
+        return 1.0
+    unit = 1.0 / max(n_units, 1)
+    _, share, _ = sorted((unit, min_df if isinstance(min_df, float) else min_df * unit, 1.0))
+    return share * n_topics
 
 
 def term_counts(units: DataFrame, text: str, ngram_min: int = 1, ngram_max: int = 1) -> DataFrame:
@@ -86,15 +85,13 @@ def term_weights(counts: DataFrame, min_df: int | float, n_units: int) -> DataFr
     """
     counts = materialise(counts)
     n_topics = counts.select("topic_id").distinct().count()
-    per_term = Window.partitionBy("term")
-    known = counts.withColumns({"__f": F.sum("tf").over(per_term), "__df": F.count(F.lit(1)).over(per_term)})
-    threshold = resolve_min_df(min_df, n_units)
-    at_least = threshold if isinstance(threshold, int) else threshold * n_topics
-    kept = known.where(F.col("__df") >= F.lit(float(at_least)))
-    size = kept.agg(F.sum("tf")).first()[0]
+    per_term = materialise(counts.groupBy("term").agg(F.sum("tf").alias("__f"), F.count(F.lit(1)).alias("__df")))
+    common = per_term.where(F.col("__df") >= F.lit(float(topics_needed(min_df, n_units, n_topics))))
+    size = common.agg(F.sum("__f")).first()[0]
     if size is None and n_topics:
-        kept = known
-        size = kept.agg(F.sum("tf")).first()[0]
+        common = per_term
+        size = common.agg(F.sum("__f")).first()[0]
+    kept = counts.join(common.drop("__df"), "term")
     mean = int((size or 0) / max(n_topics, 1))
     weight = F.col("tf") * F.log(F.lit(1.0) + F.lit(float(mean)) / F.col("__f"))
     return kept.select("topic_id", "term", "tf", weight.alias("weight"))

@@ -18,6 +18,7 @@ from ..functions.flags import priority_label
 from ..functions.text import ngrams
 from ..functions.vectors import TINY, to_matrix
 from ..session import materialise
+from .ingest import with_row_id
 from .messages import keep_first
 
 OUTLIER = -1
@@ -65,17 +66,34 @@ def centroid_bytes(centroids: DataFrame) -> int:
     return (shape.n or 0) * (shape.width or 0) * 8
 
 
-def _best_of(model: Broadcast):
-    """Arrow function (embedding, banned topic) -> best (similarity, topic) among broadcast unit vectors."""
+#: Numbers that a task's score matrix holds at most, and decimals that similarities are compared with.
+SCORES, DECIMALS = 4_000_000, 12
+
+
+def unit_rows(matrix: np.ndarray) -> np.ndarray:
+    return matrix / np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), TINY)
+
+
+def best_of(values: np.ndarray, banned: np.ndarray, ids: np.ndarray, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Highest rounded cosine and its place among the unit vectors for each row; -inf where none is allowed."""
+    top, choice = np.full(len(values), -np.inf), np.zeros(len(values), np.int64)
+    rows = max(1, SCORES // max(len(ids), 1))
+    for begin in range(0, len(values) if len(ids) else 0, rows):
+        part = slice(begin, begin + rows)
+        scores = np.round(unit_rows(values[part]) @ unit.T, DECIMALS)
+        scores[banned[part, None] == ids[None, :]] = -np.inf
+        choice[part] = scores.argmax(axis=1)
+        top[part] = scores[np.arange(len(scores)), choice[part]]
+    return top, choice
+
+
+def _best_topic(model: Broadcast):
+    """Arrow function (embedding, banned topic) -> best (similarity, topic) over the broadcast blocks of centroids."""
 
     @F.pandas_udf("similarity double, topic int")
     def best(embedding: pd.Series, banned: pd.Series) -> pd.DataFrame:
         ids, unit = model.value
-        values = to_matrix(embedding)
-        scores = values @ unit.T / np.maximum(np.linalg.norm(values, axis=1, keepdims=True), TINY)
-        scores[banned.to_numpy()[:, None] == ids[None, :]] = -np.inf
-        choice = scores.argmax(axis=1)
-        top = scores[np.arange(len(choice)), choice]
+        top, choice = best_of(to_matrix(embedding).astype(np.float64), banned.to_numpy(), ids, unit)
         found = np.isfinite(top)
         topics = [int(ids[c]) if ok else None for c, ok in zip(choice, found)]
         return pd.DataFrame({"similarity": np.where(found, top, np.nan), "topic": pd.array(topics, dtype="Int32")})
@@ -83,6 +101,15 @@ def _best_of(model: Broadcast):
     return best.asNondeterministic()
 
 
+def _block(part: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Topic ids in order and their centroids as unit rows; raises on centroids that are not numbers."""
+    table = part.select("topic_id", F.col("centroid").cast("array<double>").alias("centroid")).orderBy("topic_id").toArrow()
+    matrix = table["centroid"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(table.num_rows, -1) if table.num_rows else np.zeros((0, 1))
+    if not np.isfinite(matrix).all():
+        raise ValueError("centroids hold values that are not finite numbers")
+    return table["topic_id"].to_numpy(), unit_rows(matrix)
+
+
 def nearest_centroid(
     vectors: DataFrame, centroids: DataFrame, exclude: str | None = None, block_bytes: int = 256 << 20
 ) -> DataFrame:
@@ -101,14 +128,11 @@ def nearest_centroid(
     )
     for block in range(blocks):
         part = centroids.where(F.pmod(F.xxhash64("topic_id"), F.lit(blocks)) == block)
-        rows = part.select("topic_id", "centroid").orderBy("topic_id").collect()
-        if not rows:
+        ids, unit = _block(part)
+        if not len(ids):
             continue
-        matrix = np.array([row.centroid for row in rows], dtype=np.float64)
-        matrix /= np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), TINY)
-        model = spark.sparkContext.broadcast((np.array([row.topic_id for row in rows]), matrix))
-
-        best = _best_of(model)
+        model = spark.sparkContext.broadcast((ids, unit))
+        best = _best_topic(model)
         banned = F.col(exclude) if exclude else F.lit(OUTLIER - 1)
         challenger = result.withColumn("__best", best("embedding", banned))
         better = F.col("__best.topic").isNotNull() & (
@@ -124,6 +148,7 @@ def nearest_centroid(
         ).drop("__best")
         if blocks > 1:
             result = materialise(result)
+            model.destroy()
     return result
 
 
@@ -174,8 +199,11 @@ def reduce_topics(centroids: DataFrame, nr_topics: int) -> DataFrame:
     """(topic_id, merged_topic): merge the most similar topics until ``nr_topics`` are left.
 
     Every round each topic finds its nearest other centroid; topics that choose
-    each other are merged, most similar pairs first, never below the target.  The
-    merged centroid is the mean weighted by size.  Outliers stay outliers.
+    each other are merged, most similar pairs first, never below the target.  If
+    rounding leaves no such pair, the most similar pair of all is merged, so
+    every round ends with fewer topics.  The merged centroid is the mean
+    weighted by size.  Outliers stay outliers; centroids that are not finite
+    numbers are an error.
     """
     if nr_topics < 1:
         raise ValueError("nr_topics must be at least 1")
@@ -188,9 +216,11 @@ def reduce_topics(centroids: DataFrame, nr_topics: int) -> DataFrame:
     mapping = live.select("topic_id", F.col("topic_id").alias("merged_topic"))
     remaining = live.count()
     while remaining > nr_topics:
-        chosen = nearest_centroid(
-            live, live.select("topic_id", F.col("embedding").alias("centroid")), exclude="topic_id"
-        ).select("topic_id", "nearest_topic", "similarity")
+        chosen = materialise(
+            nearest_centroid(
+                live, live.select("topic_id", F.col("embedding").alias("centroid")), exclude="topic_id"
+            ).select("topic_id", "nearest_topic", "similarity")
+        )
         back = chosen.select(F.col("topic_id").alias("nearest_topic"), F.col("nearest_topic").alias("__back"))
         pairs = (
             chosen.join(back, "nearest_topic")
@@ -200,6 +230,10 @@ def reduce_topics(centroids: DataFrame, nr_topics: int) -> DataFrame:
             .select(F.col("nearest_topic").alias("topic_id"), F.col("topic_id").alias("__into"))
         )
         pairs = materialise(pairs)
+        if pairs.isEmpty():
+            low, high = F.least("topic_id", "nearest_topic"), F.greatest("topic_id", "nearest_topic")
+            closest = chosen.select("similarity", low.alias("__into"), high.alias("topic_id"))
+            pairs = materialise(closest.orderBy(F.col("similarity").desc(), "__into", "topic_id").limit(1).drop("similarity"))
         target = F.coalesce("__into", "topic_id")
         moved = live.join(pairs, "topic_id", "left").withColumn("topic_id", target)
         weighted = F.transform("embedding", lambda x: x * F.col("n_units"))
@@ -216,16 +250,17 @@ def reduce_topics(centroids: DataFrame, nr_topics: int) -> DataFrame:
                 "topic_id", F.coalesce("__into", "merged_topic").alias("merged_topic")
             )
         )
-        remaining = live.count()
+        before, remaining = remaining, live.count()
+        if remaining >= before:
+            raise RuntimeError("merging topics made no progress")
     return mapping.unionByName(outliers)
 
 
 def rank_topics(assignments: DataFrame) -> DataFrame:
     """Renumber topics 0, 1, ... from the largest to the smallest; -1 stays."""
     sizes = assignments.where(F.col("topic_id") != OUTLIER).groupBy("topic_id").count()
-    ranks = sizes.select(
-        "topic_id", (F.row_number().over(Window.orderBy(F.col("count").desc(), "topic_id")) - 1).alias("__rank")
-    )
+    largest_first = sizes.select("topic_id", (-F.col("count")).alias("__back"))
+    ranks = with_row_id(largest_first, ["__back", "topic_id"]).select("topic_id", F.col("source_row_id").alias("__rank"))
     return assignments.join(ranks, "topic_id", "left").select(
         "unit_id", F.coalesce("__rank", F.lit(OUTLIER)).cast("int").alias("topic_id")
     )

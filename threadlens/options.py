@@ -16,7 +16,7 @@ class MessageOptions:
     trivial_messages: tuple[str, ...] = ("ок", "да", "нет", "спасибо", "понял")
     deduplicate: bool = True
     build_modeling_text: bool = True
-    modeling_max_tokens: int | None = 400
+    modeling_max_tokens: int | None = None
     modeling_strip_stopwords: bool = True
     flags: Mapping[str, str] = field(default_factory=lambda: dict(fixed.DOMAIN_FLAGS))
 
@@ -26,10 +26,12 @@ class UnitOptions:
     mode: str = "merged_messages"
     max_messages: int = 2
     max_gap_minutes: int = 15
-    # (chat, user) groups above this many messages are cut into slices and scanned in parallel.
-    hot_group_rows: int = 2_000_000
-    # Rows one slice of a hot group holds at most, about.
-    slice_rows: int = 500_000
+    # (chat, user) groups above either are cut into slices and scanned in parallel.
+    hot_group_rows: int = 500_000
+    hot_group_bytes: int = 256 << 20
+    # Rows and bytes of text one slice of a hot group holds at most, about.
+    slice_rows: int = 200_000
+    slice_bytes: int = 64 << 20
 
 
 @dataclass(frozen=True)
@@ -38,7 +40,9 @@ class EmbeddingOptions:
     model: str = "hashing-64"
     batch_size: int = 64
     texts_per_task: int = 50_000
-    max_text_chars: int | None = 12000
+    # Texts embedded between two commits of the cache: what a lost job costs at most.
+    texts_per_wave: int = 5_000_000
+    max_text_chars: int | None = None
     strip_null_bytes: bool = True
     # Anything else that changes the vectors (e.g. their width) belongs to the cache key.
     provider_params: tuple[str, ...] = ()

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from functools import partial, reduce
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed
@@ -17,14 +17,14 @@ from ..operators import density, embed, enrich, ingest, messages, metrics, repor
 from ..options import EmbeddingOptions, EnrichmentOptions, MessageOptions, ReportOptions, TopicOptions, UnitOptions
 from ..session import ensure_checkpoint_dir, materialise
 from ..sources.adapters import WORD_FLAGS, dialogs, labelled_vectors, language_topics, raw_export, table
-from ..sources.tables import read_csv, spread, write_table
+from ..sources.tables import read_csv, write_table
 from . import check_sql as q
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 CHECKS: dict[str, str] = {}
 
-MESSAGES = MessageOptions(min_chars=100, flags=WORD_FLAGS)
+MESSAGES = MessageOptions(flags=WORD_FLAGS)
 FLAGS = tuple(WORD_FLAGS)
 
 
@@ -103,7 +103,7 @@ def all_texts(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, name).selectExpr(f"'{name}' AS source", f"{key} AS id", f"{text} AS text")
         for name, key, text in sources
     ]
-    return spread(reduce(DataFrame.unionByName, parts))
+    return reduce(DataFrame.unionByName, parts)
 
 
 ALL_TEXTS = """texts AS (
@@ -194,6 +194,13 @@ def modeling_text(spark, folder):
     return all_texts(spark, folder).select("source", "id", tx.modeling_text(clean).alias("modeling"))
 
 
+@query(f"WITH {ALL_TEXTS}, c AS (SELECT source, id, {q.clean('text')} AS t FROM texts) SELECT source, id, {q.modeling('t', 400)} AS modeling FROM c")
+def modeling_text_limited(spark, folder):
+    """The token limit, which callers of models with a short context set."""
+    clean = tx.clean_text(F.col("text"))
+    return all_texts(spark, folder).select("source", "id", tx.modeling_text(clean, max_tokens=400).alias("modeling"))
+
+
 @query(
     f"""WITH {ALL_TEXTS}, t AS (SELECT source, unnest({q.keywords("text")}) AS token FROM texts)
 SELECT source, token, count(*) AS n FROM t GROUP BY ALL"""
@@ -210,13 +217,20 @@ def text_hash(spark, folder):
 
 @query(
     f"""WITH {ALL_TEXTS} SELECT source, id, left(text, 500) AS prepared,
-sha1('hashing::hashing-64::500::True::' || left(text, 500)) AS text_hash FROM texts"""
+sha1('hashing::hashing-64::500::True::' || left(text, 500)) AS limited_hash,
+sha1('hashing::hashing-64::None::True::' || text) AS text_hash FROM texts"""
 )
 def embedding_cache_key(spark, folder):
-    o = EmbeddingOptions(max_text_chars=500)
-    prepared = tx.embedding_input(F.col("text"), o.max_text_chars, o.strip_null_bytes)
-    keyed = all_texts(spark, folder).select("source", "id", prepared.alias("prepared"))
-    return keyed.withColumn("text_hash", tx.embedding_key(F.col("prepared"), *o.identity))
+    """Keys of the whole texts, and of the same texts for a model that reads 500 characters."""
+    whole, limited = EmbeddingOptions(), EmbeddingOptions(max_text_chars=500)
+    cut, full = (tx.embedding_input(F.col("text"), o.max_text_chars, o.strip_null_bytes) for o in (limited, whole))
+    return all_texts(spark, folder).select(
+        "source",
+        "id",
+        cut.alias("prepared"),
+        tx.embedding_key(cut, *limited.identity).alias("limited_hash"),
+        tx.embedding_key(full, *whole.identity).alias("text_hash"),
+    )
 
 
 @query(
@@ -359,7 +373,7 @@ DOC_HASH = f"""WITH {q.hash_cte("documents", "doc_id", "text")} SELECT doc_id, p
 
 @query(DOC_HASH)
 def hash_embeddings(spark, folder):
-    docs = spread(table(spark, folder, "documents").select("doc_id", "text"))
+    docs = table(spark, folder, "documents").select("doc_id", "text")
     docs = docs.select("doc_id", hash_embedding(F.col("text")).alias("embedding"))
     return exploded(docs, "doc_id")
 
@@ -384,7 +398,7 @@ def embed_documents_cached(spark, folder):
 
 
 @query(
-    """WITH t AS (SELECT sha1('hashing::hashing-64::12000::True::' || left(text, 12000)) AS text_hash, left(text, 12000) AS p, source FROM documents),
+    """WITH t AS (SELECT sha1('hashing::hashing-64::None::True::' || text) AS text_hash, text AS p, source FROM documents),
 known AS (SELECT DISTINCT text_hash FROM t WHERE source IN ('src0', 'src1'))
 SELECT text_hash, any_value(p) AS prepared FROM t WHERE text_hash NOT IN (SELECT text_hash FROM known) GROUP BY text_hash"""
 )
@@ -396,8 +410,8 @@ def embedding_cache_misses(spark, folder):
 
 
 @query(
-    """SELECT DISTINCT sha1('hashing::hashing-64::12000::True::' || left(text, 12000)) AS text_hash,
-contains(left(text, 12000), 'license') AS rejected FROM documents"""
+    """SELECT DISTINCT sha1('hashing::hashing-64::None::True::' || text) AS text_hash,
+contains(text, 'license') AS rejected FROM documents"""
 )
 def embedding_rejects(spark, folder):
     """A provider that refuses whole batches: only the texts at fault end up rejected."""
@@ -410,7 +424,7 @@ def embedding_rejects(spark, folder):
 
         return provider
 
-    docs = spread(table(spark, folder, "documents").select(F.col("doc_id").alias("unit_id"), "text"))
+    docs = table(spark, folder, "documents").select(F.col("doc_id").alias("unit_id"), "text")
     distinct = embed.prepare(docs).groupBy("text_hash").agg(F.first("prepared").alias("prepared"))
     found = embed.embed(distinct, factory, 16, on_error="record")
     return found.select("text_hash", (F.col("error").isNotNull() & F.col("embedding").isNull()).alias("rejected"))
@@ -458,7 +472,7 @@ row_number() OVER (PARTITION BY topic_id ORDER BY weight DESC, term)::INTEGER AS
 )
 def topic_terms(spark, folder):
     docs = language_topics(spark, folder)
-    weights = terms.term_weights(terms.term_counts(docs, "text", 1, 2), 0.5, docs.count())
+    weights = terms.term_weights(terms.term_counts(docs, "text", 1, 2), 0.5, docs.select("unit_id").count())
     return rounded(terms.top_terms(weights, 20))
 
 
@@ -511,25 +525,22 @@ def topic_reduction(spark, folder):
 
 @query()
 def reduced_vectors(spark, folder):
-    docs = spread(table(spark, folder, "documents").select("doc_id", "text"))
+    docs = table(spark, folder, "documents").select("doc_id", "text")
     docs = docs.select("doc_id", hash_embedding(F.col("text")).alias("embedding"))
     return density.reduce_dimensions(docs, 5).select("doc_id", F.posexplode("reduced").alias("pos", "x"))
 
 
 def document_density(spark, folder) -> DataFrame:
-    docs = spread(table(spark, folder, "documents").select(F.col("doc_id").alias("unit_id"), "lang", "text"))
+    docs = table(spark, folder, "documents").select(F.col("doc_id").alias("unit_id"), "lang", "text")
     docs = docs.select("unit_id", "lang", hash_embedding(F.col("text")).alias("embedding"))
     return density.density_topics(docs, TopicOptions(backend="density"))
 
 
-@query()
-def density_topics(spark, folder):
-    return document_density(spark, folder).select("unit_id", "lang", "topic_id")
-
-
-@query(
-    """WITH RECURSIVE cells AS (
-  SELECT floor(embedding[1] / 0.02)::BIGINT AS x, floor(embedding[2] / 0.02)::BIGINT AS y, count(*) AS n FROM embeddings GROUP BY ALL
+DENSITY = """WITH RECURSIVE points AS (
+  SELECT vec_id, floor(round(list_sum(embedding[1:32]::DOUBLE[]), 9) / 0.2)::BIGINT AS x,
+    floor(round(list_sum(embedding[33:]::DOUBLE[]), 9) / 0.2)::BIGINT AS y FROM embeddings
+), cells AS (
+  SELECT x, y, count(*) AS n FROM points GROUP BY ALL
 ), dense AS (SELECT * FROM cells WHERE n >= 3),
 steps AS (
   SELECT a.x, a.y, b.x AS bx, b.y AS by, b.n AS bn FROM cells a JOIN dense b
@@ -543,14 +554,23 @@ border AS (
   SELECT s.x, s.y, c.c, cells.n FROM steps s JOIN comp c ON c.x = s.bx AND c.y = s.by JOIN cells ON cells.x = s.x AND cells.y = s.y
   WHERE cells.n < 3 QUALIFY row_number() OVER (PARTITION BY s.x, s.y ORDER BY s.bn DESC, c.c) = 1
 ), members AS (SELECT c.x, c.y, c.c, d.n FROM comp c JOIN dense d USING (x, y) UNION ALL SELECT * FROM border),
-sizes AS (SELECT c, sum(n)::BIGINT AS size, count(*) AS n_cells FROM members GROUP BY c)
-SELECT size, n_cells FROM sizes WHERE size >= 10"""
-)
+sizes AS (SELECT c, sum(n)::BIGINT AS size, count(*) AS n_cells FROM members GROUP BY c)"""
+
+
+def halves(spark: SparkSession, folder: str) -> DataFrame:
+    """The vectors' two half sums, a projection that uses every coordinate, and the grid cell they fall into."""
+    def total(begin: int) -> Column:
+        part = F.slice(F.col("embedding").cast("array<double>"), begin, 32)
+        return F.round(F.aggregate(part, F.lit(0.0), lambda a, x: a + x), 9)
+
+    points = table(spark, folder, "embeddings").select(F.col("vec_id").alias("unit_id"), F.array(total(1), total(33)).alias("reduced"))
+    return points.withColumn("cell", density.grid_cell(F.col("reduced"), 0.2))
+
+
+@query(f"{DENSITY} SELECT size, n_cells FROM sizes WHERE size >= 10")
 def density_cluster_sizes(spark, folder):
-    """Grid clustering of the first two coordinates; sizes in points and cells."""
-    reduced = F.slice(F.col("embedding").cast("array<double>"), 1, 2)
-    vectors = table(spark, folder, "embeddings").select(density.grid_cell(reduced, 0.02).alias("cell"))
-    cells = materialise(vectors.groupBy("cell").agg(F.count(F.lit(1)).alias("n")))
+    """Grid clustering of the half sums; sizes in points and cells."""
+    cells = materialise(halves(spark, folder).groupBy("cell").agg(F.count(F.lit(1)).alias("n")))
     found = density.cell_topics(cells, 2, 3, 10)
     return (
         found.join(cells, "cell")
@@ -560,6 +580,17 @@ def density_cluster_sizes(spark, folder):
     )
 
 
+@query(
+    f"""{DENSITY}, numbered AS (SELECT c, row_number() OVER (ORDER BY size DESC, c) - 1 AS t FROM sizes WHERE size >= 10)
+SELECT vec_id AS unit_id, coalesce(t, -1)::INTEGER AS topic_id
+FROM points p LEFT JOIN members m ON m.x = p.x AND m.y = p.y LEFT JOIN numbered USING (c)"""
+)
+def density_topics(spark, folder):
+    """Density topics of the half sums: topic of every vector, outliers -1."""
+    placed = halves(spark, folder)
+    return density.assign_cells(placed, 2, 3, 10).select("unit_id", F.col("topic_id").cast("int").alias("topic_id"))
+
+
 # --- metrics -------------------------------------------------------------------------
 
 
@@ -689,7 +720,7 @@ def enrichment_requests(spark, folder):
 @query(f"{REQUESTS} SELECT topic_id, {MOCK_TITLE} AS topic_title, {MOCK} FROM requests")
 def mock_enrichment(spark, folder):
     summary, examples = requests_of(spark, folder)
-    found = enrich.enrich_topics(summary, examples, enrich.mock_provider, EnrichmentOptions(max_examples_per_topic=2))
+    found = enrich.enrich_topics(summary, examples, options=EnrichmentOptions(max_examples_per_topic=2))
     return found.withColumn("topic_id", F.col("topic_id").cast("int"))
 
 
@@ -716,12 +747,12 @@ def enrichment_fallback(spark, folder):
     """A provider that refuses every second topic; the others are answered."""
 
     def factory():
-        reply = enrich.mock_provider()
-
         def choosy(payload):
-            if payload["topic_id"] % 2:
+            topic, first = payload["topic_id"], payload["topic_keywords"].split(",")[0]
+            if topic % 2:
                 raise TimeoutError("no answer")
-            return reply(payload)
+            said = {name: text.format(topic, len(payload["examples"])) for name, text in fixed.MOCK_TEXTS.items()}
+            return {"topic_title": first.capitalize(), **said}
 
         return choosy
 

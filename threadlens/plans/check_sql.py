@@ -73,14 +73,15 @@ def prepared(x: str) -> str:
 TOKEN = "[A-Za-zА-Яа-я][A-Za-zА-Яа-я0-9_+#.-]{1,}"
 
 
-def modeling(x: str, cap: int = 400) -> str:
+def modeling(x: str, cap: int | None = None) -> str:
     """Modelling text of cleaned text."""
+    cut = f"[1:{cap}]" if cap else ""
     tokens = (
         f"list_filter(list_transform(regexp_extract_all({prepared(f'lower({x})')}, '{TOKEN}'), "
         f"lambda t: trim(t, '._-')), "
-        f"lambda t: length(t) >= 2 AND NOT list_contains({text_list(fixed.MODELING_STOPWORDS)}, t))[1:{cap}]"
+        f"lambda t: length(t) >= 2 AND NOT list_contains({text_list(fixed.MODELING_STOPWORDS)}, t)){cut}"
     )
-    fallback = f"regexp_extract_all(lower({x}), '{TOKEN}')[1:{cap}]"
+    fallback = f"regexp_extract_all(lower({x}), '{TOKEN}'){cut}"
     return (
         f"coalesce(nullif(array_to_string({tokens}, ' '), ''), nullif(array_to_string({fallback}, ' '), ''), 'empty')"
     )
@@ -119,7 +120,7 @@ KEPT = f"""{DIALOGS}, cleaned AS (
   FROM dialogs WHERE lower(role) = 'user'
 ), kept AS (
   SELECT * FROM cleaned
-  WHERE length(message) >= 100 AND lower(message) NOT IN ('ок', 'да', 'нет', 'спасибо', 'понял')
+  WHERE length(message) >= 10 AND lower(message) NOT IN ('ок', 'да', 'нет', 'спасибо', 'понял')
   QUALIFY row_number() OVER (PARTITION BY chat_uuid, timestamp, "user", message ORDER BY source_row_id) = 1
 )"""
 

@@ -40,7 +40,7 @@ class TopicRun:
     enrichment: EnrichmentOptions = field(default_factory=EnrichmentOptions)
     report: ReportOptions = field(default_factory=ReportOptions)
     embed_factory: embed.ProviderFactory = HashProvider
-    enrich_factory: enrich.EnrichFactory = enrich.mock_provider
+    enrich_factory: enrich.EnrichFactory | None = None
 
     # --- tables -----------------------------------------------------------------
 
@@ -169,7 +169,7 @@ class TopicRun:
             "figure_growth": metrics.growth_scores(trends, self.report.growth_periods),
         }
         for name, table in tables.items():
-            write_table(table, self.path(f"published/{name}"), "csv", single_file=True)
+            write_table(table, self.path(f"published/{name}"), "csv")
         lines = report.report_lines(summary, trends, examples, quality, self.report)
         write_report(lines, self.path("published/report"))
         return tables

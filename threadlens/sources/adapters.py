@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import spread
-
 # Flag registry of words that do occur in the test texts; keeps the usual flag names.
 WORD_FLAGS = {
     "has_code": r"\bthe\b",
@@ -79,4 +77,4 @@ def language_topics(spark: SparkSession, folder: str, outlier_source: str | None
     if outlier_source is not None:
         code = F.when(F.col("source") == outlier_source, F.lit(-1)).otherwise(code)
     docs = table(spark, folder, "documents").select(F.col("doc_id").alias("unit_id"), code.alias("topic_id"), "text")
-    return spread(docs)
+    return docs

@@ -6,21 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-# A scan this small per core is worth an exchange that gives every core a share.
-SPREAD_BYTES_PER_CORE = 32 << 20
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on an input that sits in few row groups or in one multi-line file.
-
-    Only inputs that are small for the cluster are moved; anything larger has
-    enough splits of its own and is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if size < cores * SPREAD_BYTES_PER_CORE else df
-
-
 # Encodings the CSV reader takes without being asked to accept others.
 NATIVE_ENCODINGS = ("iso-8859-1", "us-ascii", "utf-16", "utf-16be", "utf-16le", "utf-32", "utf-8")
 
@@ -30,19 +15,23 @@ def csv_header(spark: SparkSession, path: str, encoding: str = "utf-8") -> list[
     return spark.read.option("header", True).option("escape", '"').option("encoding", encoding).csv(path).columns
 
 
-def read_csv(spark: SparkSession, path: str, encoding: str = "utf-8", columns: list[str] | None = None) -> DataFrame:
-    """CSV export with every column as text; empty fields are null, quoted fields may span lines.
+def read_csv(
+    spark: SparkSession, path: str, encoding: str = "utf-8", columns: list[str] | None = None, multi_line: bool = True
+) -> DataFrame:
+    """CSV export with every column as text; empty fields are null.
 
-    Types are never inferred: that would read the data twice and guess.
+    Types are never inferred: that would read the data twice and guess.  With
+    ``multi_line`` quoted fields may hold line breaks, and a file is one task;
+    without it a large file is split, and a line break ends a row.
     """
-    if encoding.lower() not in NATIVE_ENCODINGS:
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    if encoding.lower() not in NATIVE_ENCODINGS and spark.conf.get("spark.sql.legacy.javaCharsets") != "true":
+        raise ValueError(f"for {encoding} set spark.sql.legacy.javaCharsets to true in the session")
     names = columns or csv_header(spark, path, encoding)
     schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
     return (
         spark.read.schema(schema)
         .option("header", True)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("escape", '"')
         .option("encoding", encoding)
         .csv(path)
