@@ -118,3 +118,18 @@ def test_unknown_settings_are_refused(spark, raw, tmp_path):
     job.embed()
     with pytest.raises(ValueError, match="magic"):
         job.assign_topics()
+
+
+def test_rejects_and_stored_counters(spark, tmp_path):
+    rows = [*ROWS[:3], ("some day", "nadia", "room-a", "Night shift", "user", "no time"), ("2026-05-18T22:30:00", "omar", " ", "x", "user", "no room")]
+    raw = spark.createDataFrame([tuple(r) for r in rows], ", ".join(f"`{h}` string" for h in HEADER))
+    job = run(spark, tmp_path)
+    job.ingest(raw, on_error="quarantine")
+    assert sorted(r.reason for r in job.read("ingest_rejects").collect()) == ["chat_uuid", "timestamp"]
+    assert job.read("raw_normalized").count() == 3 and job._quality().first().total_rows == 3
+    assert run(spark, tmp_path / "none")._quality() is None
+
+
+def test_run_log_holds_numbers_of_the_texts(done):
+    log = {r.table: r.rows for r in done.read("run_log").collect()}
+    assert log["vector_width"] == 32 and log["sanitized_texts"] == 0 and log["truncated_texts"] == 0

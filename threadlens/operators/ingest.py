@@ -130,15 +130,19 @@ def quality_report(canonical: DataFrame) -> DataFrame:
     )
 
 
-def ingest(
+def canonical_rows(
     raw: DataFrame,
     mapping: Mapping[str, str] = fixed.EXPORT_HEADER,
     order_by: Sequence[str] = (),
     formats: Sequence[str] = TIMESTAMP_FORMATS,
-    on_error: str = "raise",
 ) -> DataFrame:
-    """Raw export -> canonical table.  A ``source_row_id`` already present is kept."""
+    """Raw export -> canonical table, not yet validated.  A ``source_row_id`` already present is kept."""
     named = project_columns(raw, mapping)
     if "source_row_id" not in named.columns:
         named = with_row_id(named, order_by)
-    return validate(normalise(named, formats), on_error)
+    return normalise(named, formats)
+
+
+def ingest(raw: DataFrame, *args, on_error: str = "raise", **options) -> DataFrame:
+    """:func:`canonical_rows`, validated."""
+    return validate(canonical_rows(raw, *args, **options), on_error)

@@ -197,23 +197,50 @@ def _merge(segmented: DataFrame, flags: Sequence[str]) -> DataFrame:
 
 
 GROUP = ("chat_uuid", "user")
-# Below this many rows a list of group keys is shipped to all tasks.
-BROADCAST_ROWS = 1_000_000
+# Up to this size a list of group keys is shipped to all tasks.
+BROADCAST_BYTES = 64 << 20
 
 
-def hot_groups(rows: DataFrame, limit: int) -> tuple[DataFrame | None, int]:
-    """(chat, user) groups above ``limit`` rows, and their rows in total.
+def hot_groups(
+    rows: DataFrame, group: Sequence[str], limit_rows: int, limit_bytes: int, text: str | None
+) -> tuple[DataFrame | None, int, int]:
+    """Groups above either limit, and their rows and bytes of text in total.
 
-    Reads two or three narrow columns and combines before the shuffle.  At most
-    rows / limit groups can be hot; the list is written out and its size checked.
+    Reads the group, and the length of the text, and combines before the
+    shuffle; the list is written out and its size checked.
     """
-    counted = rows.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit)
-    hot = materialise(counted)
-    size = hot.agg(F.count(F.lit(1)).alias("groups"), F.sum("n").alias("rows")).first()
-    if not size.groups:
-        return None, 0
-    keys = hot.select(*GROUP)
-    return (F.broadcast(keys) if size.groups <= BROADCAST_ROWS else keys), size.rows
+    size = F.sum(F.coalesce(F.octet_length(text), F.lit(0))) if text else F.lit(0)
+    counted = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("n"), size.cast("bigint").alias("__bytes"))
+    hot = materialise(counted.where((F.col("n") > limit_rows) | (F.col("__bytes") > limit_bytes)))
+    width = F.sum(sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in group), F.lit(16)))
+    found = hot.agg(F.sum("n").alias("rows"), F.sum("__bytes").alias("bytes"), width.alias("width")).first()
+    if not found.rows:
+        return None, 0, 0
+    keys = hot.select(*group)
+    return (F.broadcast(keys) if found.width <= BROADCAST_BYTES else keys), found.rows, found.bytes
+
+
+def segment_all(
+    df: DataFrame,
+    group: Sequence[str],
+    time: str,
+    row_id: str,
+    max_gap_minutes: int,
+    max_rows: int,
+    options: UnitOptions = UnitOptions(),
+    text: str | None = None,
+) -> DataFrame:
+    """:func:`segment` for groups of any size: those above the limits of ``options`` go in slices."""
+    keys, rows, size = hot_groups(df, group, options.hot_group_rows, options.hot_group_bytes, text)
+    limits = (group, time, row_id, max_gap_minutes, max_rows)
+    if keys is None:
+        return segment(df, *limits)
+    hot, rest = df.join(keys, list(group), "left_semi"), df.join(keys, list(group), "left_anti")
+    return segment(rest, *limits).unionByName(segment_sliced(hot, *limits, slice_count(rows, size, options)))
+
+
+def slice_count(rows: int, size: int, options: UnitOptions) -> int:
+    return max(2, math.ceil(rows / options.slice_rows), math.ceil(size / options.slice_bytes))
 
 
 def _merged(
@@ -226,8 +253,8 @@ def _merged(
 ) -> DataFrame:
     """``clean``, place by (chat, user), ``distinct``, segments, ``features``, one row per segment.
 
-    One exchange serves all of it.  Groups above ``hot_group_rows`` leave this
-    plan: they are cut into slices of about ``slice_rows`` rows instead.
+    One exchange serves all of it.  Groups above ``hot_group_rows`` or
+    ``hot_group_bytes`` leave this plan: they are cut into slices instead.
     """
     limits = (options.max_gap_minutes, options.max_messages)
     order = (GROUP, "timestamp", "source_row_id")
@@ -236,11 +263,11 @@ def _merged(
         placed = clean(part).repartition(*GROUP)
         return _merge(features(segment(distinct(placed), *order, *limits)), flags)
 
-    keys, hot_rows = hot_groups(rows, options.hot_group_rows)
+    keys, hot_rows, hot_bytes = hot_groups(rows, GROUP, options.hot_group_rows, options.hot_group_bytes, "message")
     if keys is None:
         return plain(rows)
     hot = rows.join(keys, list(GROUP), "left_semi")
-    slices = max(2, math.ceil(hot_rows / options.slice_rows))
+    slices = slice_count(hot_rows, hot_bytes, options)
     sliced = _merge(features(segment_sliced(distinct(clean(hot)), *order, *limits, slices)), flags)
     return plain(rows.join(keys, list(GROUP), "left_anti")).unionByName(sliced)
 

@@ -173,6 +173,39 @@ def csv_round_trip(spark, folder):
     return read_csv(spark, path)
 
 
+@query("SELECT doc_id, text, lang, source, n_chars FROM documents")
+def parquet_round_trip(spark, folder):
+    path = shared_path(spark, "parquet")
+    write_table(table(spark, folder, "documents"), path)
+    return spark.read.parquet(path)
+
+
+@query(
+    f"""WITH {q.RAW} SELECT count(*) AS total_rows, count(*) FILTER (role = 'user') AS user_rows,
+count(*) FILTER (role = 'assistant') AS assistant_rows, count(*) FILTER ({q.strip("message")} = '') AS empty_message_rows,
+count(DISTINCT "user") AS unique_users, count(DISTINCT chat_uuid) AS unique_chats FROM canonical"""
+)
+def stored_quality(spark, folder):
+    """The counters as they are stored for the report."""
+    path = shared_path(spark, "quality")
+    report_row = ingest.quality_report(ingest.normalise(ingest.project_columns(raw_export(spark, folder))))
+    write_table(report_row, path, "json", single_file=True)
+    return spark.read.json(path)
+
+
+@query(
+    """SELECT nullif(turn % 3, 0)::INTEGER AS topic_id, count(*) AS n_units, count(DISTINCT role) AS n_users,
+count(DISTINCT conv_id) AS n_chats FROM conversations GROUP BY 1"""
+)
+def null_topic_group(spark, folder):
+    """Rows without a topic are a group of their own."""
+    topic = F.expr("CAST(nullif(turn % 3, 0) AS INT)").alias("topic_id")
+    rows = table(spark, folder, "conversations").select(
+        topic, F.col("role").alias("user"), F.col("conv_id").alias("chat_uuid"), F.length("text").alias("text_len_chars")
+    )
+    return metrics.topic_aggregates(rows, {}).select("topic_id", "n_units", "n_users", "n_chats")
+
+
 # --- text functions --------------------------------------------------------------
 
 
@@ -243,6 +276,17 @@ def embedding_counters(spark, folder):
     return embed.preparation_counters(docs.select(text.alias("text")), EmbeddingOptions(max_text_chars=1500))
 
 
+@query(
+    """SELECT 'd' || doc_id AS unit_id, (source <> 'src2')::INT::BIGINT AS n_units,
+(CASE WHEN source = 'src0' THEN 0 WHEN source = 'src1' THEN 2 ELSE 1 END)::BIGINT AS n_vectors FROM documents WHERE source IN ('src0', 'src1', 'src2')"""
+)
+def alignment_problems(spark, folder):
+    """Units without a vector, with two, and vectors without a unit."""
+    docs = table(spark, folder, "documents").select(F.concat(F.lit("d"), "doc_id").alias("unit_id"), "source")
+    vectors = docs.where("source <> 'src0'").unionByName(docs.where("source = 'src1'"))
+    return embed.alignment_problems(docs.where("source <> 'src2'"), vectors)
+
+
 # --- messages ---------------------------------------------------------------------
 
 
@@ -355,7 +399,15 @@ SELECT event_id, {group}, segment_session,
 @query(segments_sql("user_id", 600, 3))
 def event_segments(spark, folder):
     events = table(spark, folder, "events").select("event_id", "user_id", "ts")
-    return units.segment(events, ["user_id"], "ts", "event_id", 600, 3).drop("ts")
+    return units.segment_all(events, ["user_id"], "ts", "event_id", 600, 3).drop("ts")
+
+
+@query(segments_sql("user_id", 600, 3))
+def event_segments_hot(spark, folder):
+    """The same where most groups count as hot."""
+    events = table(spark, folder, "events").select("event_id", "user_id", "ts")
+    options = UnitOptions(hot_group_rows=10, slice_rows=500)
+    return units.segment_all(events, ["user_id"], "ts", "event_id", 600, 3, options).drop("ts")
 
 
 @query(segments_sql("event_type", 5, 7))
@@ -518,7 +570,27 @@ def outlier_reassignment_by_terms(spark, folder):
     return topics.reassign_outliers_by_terms(docs, weights, "text")
 
 
-@query()
+def reduction_sql(target: int, rounds: int) -> str:
+    """Merging of mutually nearest topics, round by round; each round merges a pair at least."""
+    parts = [
+        f"""WITH {q.vector_topics_cte()}, sizes AS (SELECT topic_id, count(*) AS n FROM vectors GROUP BY 1),
+c0 AS MATERIALIZED (SELECT topic_id AS t, pos, c AS x, n FROM centroids JOIN sizes USING (topic_id)),
+m0 AS MATERIALIZED (SELECT DISTINCT t AS topic_id, t AS merged_topic FROM c0)"""
+    ]
+    for i in range(rounds):
+        parts.append(
+            f"""s{i} AS (SELECT a.t, b.t AS o, round(sum(a.x * b.x) / sqrt(sum(a.x * a.x) * sum(b.x * b.x)), 12) AS sim
+  FROM c{i} a JOIN c{i} b ON a.pos = b.pos AND a.t <> b.t GROUP BY ALL),
+b{i} AS MATERIALIZED (SELECT * FROM s{i} QUALIFY row_number() OVER (PARTITION BY t ORDER BY sim DESC, o) = 1),
+p{i} AS MATERIALIZED (SELECT p.o AS t, p.t AS into_t FROM b{i} p JOIN b{i} r ON r.t = p.o AND r.o = p.t WHERE p.t < p.o
+  QUALIFY row_number() OVER (ORDER BY p.sim DESC, p.t) <= (SELECT count(DISTINCT t) FROM c{i}) - {target}),
+c{i + 1} AS MATERIALIZED (SELECT coalesce(into_t, t) AS t, pos, sum(n * x) / sum(n) AS x, sum(n) AS n FROM c{i} LEFT JOIN p{i} USING (t) GROUP BY ALL),
+m{i + 1} AS MATERIALIZED (SELECT topic_id, coalesce(into_t, merged_topic) AS merged_topic FROM m{i} LEFT JOIN p{i} ON t = merged_topic)"""
+        )
+    return ", ".join(parts) + f" SELECT topic_id, merged_topic FROM m{rounds}"
+
+
+@query(reduction_sql(4, 6))
 def topic_reduction(spark, folder):
     return topics.reduce_topics(topics.topic_centroids(labelled_vectors(spark, folder)), 4)
 
@@ -724,6 +796,29 @@ def mock_enrichment(spark, folder):
     return found.withColumn("topic_id", F.col("topic_id").cast("int"))
 
 
+@query(f"{REQUESTS} SELECT topic_id, {MOCK_TITLE} AS topic_title, {MOCK} FROM requests")
+def enrichment_cached(spark, folder):
+    """Answers of a provider that is gone when they are asked for again."""
+
+    def factory(alive):
+        def build():
+            def provider(payload):
+                if not alive:
+                    raise ConnectionError("gone")
+                said = {name: text.format(payload["topic_id"], len(payload["examples"])) for name, text in fixed.MOCK_TEXTS.items()}
+                return {"topic_title": payload["topic_keywords"].split(",")[0].capitalize(), **said}
+
+            return provider
+
+        return build
+
+    summary, examples = requests_of(spark, folder)
+    examples, options, cache = materialise(examples), EnrichmentOptions(max_examples_per_topic=2), shared_path(spark, "answers")
+    enrich.enrich_topics(summary, examples, factory(True), options, cache).count()
+    found = enrich.enrich_topics(summary, examples, factory(False), options, cache)
+    return found.withColumn("topic_id", F.col("topic_id").cast("int"))
+
+
 @query(
     f"""WITH {q.summary_cte()} SELECT topic_id, {", ".join(f"NULL::VARCHAR AS {c}" for c in fixed.ENRICHMENT_COLUMNS)} FROM summary"""
 )

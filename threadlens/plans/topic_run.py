@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,15 +55,24 @@ class TopicRun:
         """Write a stage table, counting its rows on the way, and append to the run log."""
         seen = Observation()
         write_table(df.observe(seen, F.count(F.lit(1)).alias("rows")), self.path(name))
-        entry = [(stage, name, int(seen.get["rows"]))]
-        log = self.spark.createDataFrame(entry, "stage string, table string, rows bigint")
-        log.withColumn("finished_at", F.current_timestamp()).write.mode("append").parquet(self.path("run_log"))
+        self._log(stage, {name: int(seen.get["rows"])})
         return self.read(name)
 
+    def _log(self, stage: str, numbers: Mapping[str, int]) -> None:
+        """Row counts of tables and other numbers of a stage."""
+        entries = [(stage, name, value) for name, value in numbers.items()]
+        log = self.spark.createDataFrame(entries, "stage string, table string, rows bigint")
+        log.withColumn("finished_at", F.current_timestamp()).write.mode("append").parquet(self.path("run_log"))
+
     # --- stages -----------------------------------------------------------------
 
-    def ingest(self, raw: DataFrame, mapping: Mapping[str, str] = fixed.EXPORT_HEADER, **options) -> DataFrame:
-        canonical = self._store("ingest", "raw_normalized", ingest.ingest(raw, mapping, **options))
+    def ingest(
+        self, raw: DataFrame, mapping: Mapping[str, str] = fixed.EXPORT_HEADER, on_error: str = "raise", **options
+    ) -> DataFrame:
+        rows = ingest.canonical_rows(raw, mapping, **options)
+        if on_error == "quarantine":
+            self._store("ingest", "ingest_rejects", ingest.rejects(rows))
+        canonical = self._store("ingest", "raw_normalized", ingest.validate(rows, on_error))
         write_table(ingest.quality_report(canonical), self.path("ingest_quality"), "json", single_file=True)
         return canonical
 
@@ -81,7 +91,14 @@ class TopicRun:
         vectors = embed.cached_embeddings(
             self.read("units"), self.path("embedding_cache"), self.embed_factory, self.embeddings
         )
-        return self._store("embed", "embeddings", vectors)
+        stored = self._store("embed", "embeddings", vectors)
+        texts = embed.preparation_counters(self.read("units"), self.embeddings).first()
+        width = stored.select(F.size("embedding").alias("width")).first()
+        self._log(
+            "embed",
+            {"sanitized_texts": texts.sanitized, "truncated_texts": texts.truncated, "vector_width": width.width if width else 0},
+        )
+        return stored
 
     def assign_topics(self) -> DataFrame:
         built, vectors, o = self.read("units"), self.read("embeddings"), self.topics
@@ -156,8 +173,18 @@ class TopicRun:
         )
         return self._store("enrich", "enrichment", result)
 
+    def _quality(self) -> DataFrame | None:
+        """The counters that the ingest stage stored, if it ran in this folder."""
+        try:
+            return self.spark.read.json(self.path("ingest_quality"))
+        except AnalysisException as error:
+            if "PATH_NOT_FOUND" in (error.getCondition() or ""):
+                return None
+            raise
+
     def publish(self, quality: DataFrame | None = None) -> dict[str, DataFrame]:
         examples, trends = self.read("examples"), self.read("trends")
+        quality = self._quality() if quality is None else quality
         enrichment = embed.read_or_empty(self.spark, self.path("enrichment"), enrich.RESULT_SCHEMA)
         summary = self._store("report", "summary", report.final_summary(self.read("summary_base"), enrichment))
         tables = {
