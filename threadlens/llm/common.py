@@ -33,6 +33,20 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Ids that a filter may send to every task (about 100 MB); longer lists are joined by an exchange.
+MAX_SENT = 4_000_000
+
+
+def without(docs: DataFrame, ids: DataFrame, column: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` whose ``column`` is none of the written ``ids`` (one column of that name), null like any value.
+
+    The ids are counted: a short list goes to every task, and the texts stay where they are.
+    """
+    listed = ids.select(F.col(column).alias("__id"))
+    listed = F.broadcast(listed) if ids.count() <= MAX_SENT else listed
+    return docs.join(listed, F.col(column).eqNullSafe(F.col("__id")), "left_anti")
+
+
 def filesystem(uri: str) -> tuple[fs.FileSystem, str]:
     """The file system and path of a shared folder, the same on driver and executors."""
     return fs.FileSystem.from_uri("file://" + uri.removeprefix("file:") if uri.startswith("file:/") and not uri.startswith("file://") else uri)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import LOWER, blocks, byte_class, grams, hash_words, owners, staged, utf8, word_spans
+from .common import LOWER, blocks, byte_class, grams, hash_words, owners, staged, utf8, without, word_spans
 
 SPAN, GRAM = 10, 5
 #: Bits of the filter that documents' fingerprints pass before they leave a task: its size (4 MB) is fixed, whatever the benchmark's.
@@ -207,5 +207,5 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose doc_id has no hit; columns as given.  Rows without a doc_id share one verdict."""
     rows, hits = find_hits(docs, items)
-    bad = rows.join(hits.select("row").distinct(), "row", "left_semi").select(F.col("doc_id").alias("bad_id")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("bad_id")), "left_anti")
+    bad = rows.join(hits.select("row").distinct(), "row", "left_semi").select("doc_id").distinct()
+    return without(docs, staged(bad, "contaminated"))

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import staged, without
 from .graph import components
 
 BITS = 64
@@ -268,5 +268,11 @@ def keep_first(docs: DataFrame, **options: int) -> DataFrame:
     Of repeated rows of one doc_id one stays; rows without a doc_id cannot be told apart and go.
     """
     found = near_duplicates(docs, **options)
-    first = found.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+    ids = staged(found.groupBy("doc_id").agg(F.min("component_id").alias("first"), F.count("*").alias("rows")), "ids")
+    kept = without(docs, staged(ids.where("doc_id IS NULL OR doc_id <> first").select("doc_id"), "dropped"))
+    repeated = staged(ids.where("rows > 1 AND doc_id = first").select("doc_id"), "repeated")
+    if repeated.isEmpty():
+        return kept
+    # Only rows of repeated ids have to meet.
+    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+    return without(kept, repeated).unionByName(once)
