@@ -31,21 +31,24 @@ SHARD_MAGIC, INDEX_MAGIC = b"IDSHARD1", b"MPHINDX1"
 #: Size at which a shard is closed, keys of an index bucket (about), and places for each key on a level.
 SHARD_BYTES, BUCKET_KEYS, GAMMA = 64 << 20, 1 << 18, 2.0
 END_ID = 0
-#: Pieces of text whose ids a task remembers.
-REMEMBERED = 500_000
+#: Pieces of text whose ids a task remembers at least; at most twice as many.
+REMEMBERED = 150_000
 SLOT = np.dtype([("mark", "<u8"), ("part", "<u4"), ("shard", "<u4"), ("offset", "<u8"), ("n", "<u8"), ("start", "<u8")])
 TWO_SPACES = re.compile(r"\s\s")
+#: Punctuation that is cut off behind letters.
+CLOSING = ".,;:!?)]}>#$%&*|\"-"
 
 
 # --- tokenizer ------------------------------------------------------------------------
 
 
 class Encoder:
-    """Ids of whole texts, as the tokenizer gives them, through the ids of their pieces between single blanks.
+    """Ids of whole texts, as the tokenizer gives them, through the ids of their pieces between white space.
 
-    A byte-level pre-tokenizer never joins anything over a blank that stands alone between two texts without white
-    space at their ends, so these pieces are encoded once and remembered.  Texts with two white space characters in a row or
-    with an added token's string, and all texts of other kinds of tokenizers, are encoded as a whole.
+    A byte-level pre-tokenizer never joins anything over a blank or line break that stands alone, and takes the blank
+    to what is behind it, so these pieces are encoded once and remembered; neither does it join letters with the
+    punctuation behind them.  Texts with two white space characters in a row or with an added token's string, and all
+    texts of other kinds of tokenizers, are encoded as a whole.
     """
 
     def __init__(self, config: str):
@@ -53,37 +56,94 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(config)
-        self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
+        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.width = 2 if size <= 1 << 16 else 4
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         kind = self.tokenizer.pre_tokenizer
         self.by_piece = self.tokenizer.normalizer is None and type(kind).__name__ == "ByteLevel" and kind.use_regex and not kind.add_prefix_space
-        self.known: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})  # pieces at the start of a text, and behind a blank
+        if self.by_piece:
+            vocabulary = self.tokenizer.get_vocab()
+            marks = {c: self.tokenizer.encode(c, add_special_tokens=False).tokens[:1] for c in " \n"}
+            # Tokens that begin with a blank, and those that begin with a line break.
+            self.opens = {c: np.zeros(size, bool) for c in " \n"}
+            for c, mark in marks.items():
+                self.opens[c][[i for t, i in vocabulary.items() if mark and t.startswith(mark[0])]] = True
+            self.line_break = self._ids(["\n"])[0]
+        # Pieces at the start of a line and behind a blank, each as (recent, older).
+        self.known: dict[str, list[dict[str, bytes]]] = {"\n": [{}, {}], " ": [{}, {}]}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, f"<u{self.width}").tobytes() for e in found]
 
-    def _learn(self, pieces: set[str], known: dict[str, bytes], lead: str) -> None:
-        if len(known) > REMEMBERED:
-            known.clear()
-        new = [p for p in pieces if p not in known]
-        known.update(zip(new, self._ids([lead + p for p in new]), strict=True))
+    def _encoded(self, pieces: list[str], lead: str) -> dict[str, bytes]:
+        """Ids of pieces that follow a blank or a line break: one text of all, cut at the tokens that begin with it."""
+        plain = [p for p in pieces if p and not p[0].isspace() and not p[-1].isspace()]
+        ids = self._ids([lead + lead.join(plain)])[0] if plain else b""
+        at = np.flatnonzero(self.opens[lead][np.frombuffer(ids, f"<u{self.width}")])
+        if len(at) != len(plain):
+            plain, at = [], at[:0]
+        cuts = [*(self.width * at).tolist(), len(ids)]
+        # A line break is a token of its own and told apart from what is behind it; a blank belongs to the piece.
+        own = 0 if lead == " " else len(self.line_break)
+        found = {p: ids[a + own : b] for p, a, b in zip(plain, cuts[:-1], cuts[1:], strict=True)} if plain else {}
+        rest = [p for p in pieces if p not in found]
+        return found | dict(zip(rest, self._ids([" " + p if lead == " " else p for p in rest]), strict=True))
+
+    def _recent(self, lead: str) -> dict[str, bytes]:
+        """What was met lately; a full memory becomes the older one."""
+        if len(self.known[lead][0]) > REMEMBERED:
+            self.known[lead] = [{}, self.known[lead][0]]
+        return self.known[lead][0]
+
+    def _learn(self, pieces: set[str], lead: str) -> None:
+        """Add pieces to what was met lately: from the older memory, from letters and punctuation apart, or encoded."""
+        recent, older = self.known[lead]
+        cut = {p: len(p.rstrip(CLOSING)) for p in pieces if p not in older}
+        apart = {p: (p[:n], p[n:]) for p, n in cut.items() if 0 < n < len(p) and p[:n].isalpha()}
+        words = {w for w, _ in apart.values()} | (cut.keys() - apart.keys())
+        new = [w for w in words if w not in recent and w not in older]
+        fresh = self._encoded(new, lead)
+        closing = self.known["\n"][0]
+        ends = [e for e in {e for _, e in apart.values()} if e not in closing]
+        closing.update(zip(ends, self._ids(ends), strict=True))
+        recent.update(fresh)
+        recent.update((p, older[p]) for p in pieces if p in older)
+        for p, (word, end) in apart.items():
+            recent[p] = (recent.get(word) or older[word]) + closing[end]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian ids of each text, without an end id."""
         out: list[bytes | None] = [None] * len(texts)
-        split = {}
+        starts, later = self._recent("\n"), self._recent(" ")
+        lines: list[tuple[str, list[str], list[bytes | None]]] = []
+        of: dict[int, tuple[int, int]] = {}
+        missing: dict[str, set[str]] = {"\n": set(), " ": set()}
         for i, t in enumerate(texts):
-            if self.by_piece and not TWO_SPACES.search(t) and not any(a in t for a in self.added):
-                split[i] = t.split(" ")
-        first, later = self.known
-        self._learn({p[0] for p in split.values()}, first, "")
-        self._learn({x for p in split.values() for x in p[1:]}, later, " ")
-        whole = [i for i in range(len(texts)) if i not in split]
+            if not self.by_piece or TWO_SPACES.search(t) or any(a in t for a in self.added):
+                continue
+            begin = len(lines)
+            for line in t.split("\n"):
+                head, *rest = line.split(" ")
+                got = list(map(later.get, rest))
+                if None in got:
+                    missing[" "].update([p for p, ids in zip(rest, got, strict=True) if ids is None])
+                if head not in starts:
+                    missing["\n"].add(head)
+                lines.append((head, rest, got))
+            of[i] = (begin, len(lines))
+        for lead, pieces in missing.items():
+            self._learn(pieces, lead)
+        whole = [i for i in range(len(texts)) if i not in of]
         for i, ids in zip(whole, self._ids([texts[i] for i in whole]), strict=True):
             out[i] = ids
-        for i, p in split.items():
-            out[i] = first[p[0]] + b"".join([later[x] for x in p[1:]])
+        for i, (begin, end) in of.items():
+            said = []
+            for head, rest, got in lines[begin:end]:
+                if None in got:
+                    got = [later[p] if ids is None else ids for p, ids in zip(rest, got, strict=True)]
+                said.append(starts[head] + b"".join(got))
+            out[i] = self.line_break.join(said)
         return out
 
 
