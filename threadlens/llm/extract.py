@@ -196,12 +196,11 @@ def extract(pages: DataFrame, trees: boosting.Trees) -> DataFrame:
     Null and empty html has the empty text; repeated rows are read each; trees that learned from no pages keep all
     text outside of scripts, styles and forms' fields.
     """
-    sent = pages.sparkSession.sparkContext.broadcast(trees)
     kinds = [f"{c} {pages.schema[c].dataType.simpleString()}" for c in ("page_id", "url")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches, "html"):
-            texts = main_texts([dom.read(h) for h in batch["html"].to_pylist()], sent.value)
+            texts = main_texts([dom.read(h) for h in batch["html"].to_pylist()], trees)
             columns = [batch["page_id"], batch["url"], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, ["page_id", "url", "text", "n_chars"])
 

@@ -158,10 +158,9 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     Repeated rows are judged each.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, names, score in _labelled(batches, sent.value):
+        for batch, names, score in _labelled(batches, model):
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(names, pa.string()), pa.array(score)], ["doc_id", "lang_pred", "score"])
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
@@ -169,10 +168,9 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
 def accepted(docs: DataFrame, model: Model, least: float) -> DataFrame:
     """The rows of ``docs`` whose text has a language with a score of ``least`` or more; columns as given."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, names, score in _labelled(batches, sent.value):
+        for batch, names, score in _labelled(batches, model):
             yield batch.filter(pa.array([n != UNKNOWN and s >= least for n, s in zip(names, score.tolist(), strict=True)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

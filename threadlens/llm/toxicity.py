@@ -220,10 +220,12 @@ def learn(docs: DataFrame, labels: DataFrame) -> Lexicon:
         if g >= MIN_G2 and len(weights) < MAX_TERMS and not _told(term, weights, odds(*counts[term])):
             weights[term] = odds(*counts[term])
     lexicon = Lexicon(weights)
-    sent = spark.sparkContext.broadcast(lexicon)
+    made: list = []  # the automaton, built once in each task
 
     def phrases(text: str) -> set[tuple[str, str]]:
-        return {p for b, w, a in matches(text, _automaton(sent.value), sent.value.weights) for p in ((b, w), (w, a)) if all(p)}
+        if not made:
+            made.append(lexicon.automaton())
+        return {p for b, w, a in matches(text, made[0], lexicon.weights) for p in ((b, w), (w, a)) if all(p)}
 
     harmless = _tally(rows, phrases, "first string, second string").where(f"clean >= {MIN_CLEAN}")
     harmless = harmless.orderBy(F.desc("clean"), "first", "second").limit(MAX_CANDIDATES).collect()
@@ -233,28 +235,17 @@ def learn(docs: DataFrame, labels: DataFrame) -> Lexicon:
     return lexicon
 
 
-_made: dict[int, tuple[Lexicon, ahocorasick.Automaton | None]] = {}
-
-
-def _automaton(lexicon: Lexicon) -> ahocorasick.Automaton | None:
-    """The automaton of a lexicon, built once in each worker."""
-    if id(lexicon) not in _made:
-        _made.clear()
-        _made[id(lexicon)] = (lexicon, lexicon.automaton())
-    return _made[id(lexicon)][1]
-
-
 # --- scoring --------------------------------------------------------------------------
 
 
 def _weighed(rows: DataFrame, lexicon: Lexicon, keep: str) -> DataFrame:
     """``total``, ``density`` and ``n_matches`` of each row beside its column ``keep``."""
-    sent, name = rows.sparkSession.sparkContext.broadcast(lexicon), keep.split()[0]
+    name = keep.split()[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = sent.value.automaton()
+        automaton = lexicon.automaton()
         for batch in batches:
-            found = [weigh(t.as_py(), sent.value, automaton) for t in batch["text"]]
+            found = [weigh(t.as_py(), lexicon, automaton) for t in batch["text"]]
             columns = [pa.array([f[i] for f in found], kind) for i, kind in enumerate((pa.float64(), pa.float64(), pa.int64()))]
             yield pa.RecordBatch.from_arrays([batch[name], *columns], [name, "total", "density", "n_matches"])
 
