@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 from collections import Counter
 from dataclasses import dataclass, field
-from functools import lru_cache
 from html import unescape
 
 import numpy as np
@@ -46,14 +45,21 @@ SPACE = re.compile(r"\s+")
 END = re.compile(r"[\"'>]")
 
 
-@lru_cache(maxsize=20_000)
+_met: dict[str, tuple[int, int]] = {}
+
+
 def attribute_words(said: str) -> tuple[int, int]:
-    """How many words of class, id, role and the like speak for and against main text."""
+    """How many words of class, id, role and the like speak for and against main text; remembered, as they recur."""
+    if said in _met:
+        return _met[said]
     good = bad = 0
     for name, value in ATTRIBUTE.findall(said):
         if name.lower() in ("class", "id", "role", "itemprop", "aria-label", "name"):
             words = {w.lower() for w in PIECES.findall(unescape(value))}
             good, bad = good + len(words & CONTENT_WORDS), bad + len(words & NOISE_WORDS)
+    if len(_met) > 20_000:
+        _met.clear()
+    _met[said] = (good, bad)
     return good, bad
 
 
