@@ -25,7 +25,7 @@ def test_checks_belong_to_queries():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.catalog.QUERIES))
 def test_query(spark, con, name):
     df = entry.queries()[name](spark, FOLDER)
     sql = entry.oracle_sql().get(name)
