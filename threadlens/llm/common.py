@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 #: Bytes of text that a task turns into arrays at once; one longer text stands alone.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 
 
 def shared_path(spark: SparkSession, name: str) -> str:

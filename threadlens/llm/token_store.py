@@ -32,7 +32,7 @@ SHARD_MAGIC, INDEX_MAGIC = b"IDSHARD1", b"MPHINDX1"
 SHARD_BYTES, BUCKET_KEYS, GAMMA = 64 << 20, 1 << 18, 2.0
 END_ID = 0
 #: Pieces of text whose ids a task remembers at least; at most twice as many.
-REMEMBERED = 150_000
+REMEMBERED = 100_000
 SLOT = np.dtype([("mark", "<u8"), ("part", "<u4"), ("shard", "<u4"), ("offset", "<u8"), ("n", "<u8"), ("start", "<u8")])
 TWO_SPACES = re.compile(r"\s\s")
 #: Punctuation that is cut off behind letters.
