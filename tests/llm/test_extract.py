@@ -60,6 +60,25 @@ def test_trees_and_blocks():
         assert end > i and all(page.parents[j] >= i for j in range(i + 1, end))
 
 
+@pytest.mark.parametrize(
+    ("html", "want"),
+    [
+        ("<html><head><title>T</title><meta charset=x><body><p>a</p></html>", "a"),
+        ("<head><link rel=x><p>a</p>", "a"),
+        ("<head><title>T</title>\n a", "a"),
+        ("<head><style>x</style><noscript>n</noscript></head><p>a</p>", "a"),
+        ("<p>a</p><noscript><p>b</p>", "a\n\nb"),
+        ("<p>a</p><iframe src=x><p>b</p><template><p>c</p><IFRAME>", "a\n\nb\n\nc"),
+        ("<p>a</p><noscript>n</noscript><p>b</p><script>x<p>c</p>", "a\n\nb"),
+    ],
+)
+def test_open_heads_and_raw_elements_without_an_end(trees, html, want):
+    page = dom.read(html)
+    assert dom.joined(page, ~dom.silent(page)) == want
+    if "<p>a" in html:
+        assert PROSE[0] in extract.main_texts([dom.read(html.replace("<p>a", f"<p>{PROSE[0]}"))], trees)[0]
+
+
 @pytest.mark.parametrize("seed", range(20))
 def test_decoding_like_brute_force(seed):
     rng = random.Random(seed)

@@ -17,6 +17,10 @@ BLOCK = frozenset(
 )
 SILENT = frozenset("script style noscript template iframe object embed canvas svg math audio video head title textarea select button datalist".split())
 RAW = frozenset("script style textarea title iframe noscript template".split())
+#: Raw elements that take the rest of the page if they have no end; after any other one without an end the page goes on.
+ENDLESS = frozenset("script style textarea title".split())
+#: What can stand in a head; any other element, and text, ends an open head.
+HEAD = frozenset("html head base basefont bgsound link meta title style script noscript template noframes".split())
 CLOSES = {  # an opening tag ends the nearest of these, unless one of the fences lies between
     "li": (("li",), ("ul", "ol", "menu")),
     "dt": (("dt", "dd"), ("dl",)),
@@ -85,6 +89,7 @@ class _Reader:
         self.stack: list[int] = []
         self.open: Counter[str] = Counter()
         self.last = {q: html.rfind(q) for q in "\"'"}
+        self.endless: set[str] = set()
         self._start("#page", "")
 
     def _add(self, tag: str, words: tuple[int, int], text: str) -> int:
@@ -173,7 +178,12 @@ class _Reader:
                     continue
                 if name in RAW:
                     low = low if low is not None else html.lower()
+                    if name in self.endless:
+                        continue
                     stop = low.find(f"</{name}", at) if len(low) == len(html) else html.find(f"</{name}", at)
+                    if stop < 0 and name not in ENDLESS:
+                        self.endless.add(name)  # no later one has an end either
+                        continue
                     after = html.find(">", stop) if stop >= 0 else -1
                     at = after + 1 if after >= 0 else len(html)
                     continue
@@ -182,7 +192,14 @@ class _Reader:
             self._pop()
         return self.page
 
+    def _end_head(self) -> None:
+        """End an open head and what stands open in it."""
+        if self.open["head"]:
+            self._close(("head",), frozenset())
+
     def _open_tag(self, name: str, inner: str) -> None:
+        if name not in HEAD:
+            self._end_head()
         if name in CLOSES:
             self._close(*CLOSES[name])
         if name in BLOCK and name not in ("body", "html"):
@@ -203,6 +220,8 @@ class _Reader:
 
     def _text(self, raw: str) -> None:
         text = unescape(raw) if "&" in raw else raw
+        if self.open["head"] and not text.isspace():
+            self._end_head()
         top = self.stack[-1]
         if len(self.page.tags) > top + 1 and self.page.tags[-1] == TEXT and self.page.parents[-1] == top and self.page.blocks[-1] == self.block:
             self.page.texts[-1] += text
