@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from threadlens.llm import decontaminate, language, mixing, near_copies, token_store
+from threadlens.llm import decontaminate, language, mixing, simhash, token_store
 from threadlens.llm.common import held_out, staged
 from threadlens.llm.queries import DOMAIN, WEIGHTS, table, tokenizer_path
 
@@ -24,8 +24,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of texts whose 5-word shingles are similar by 0.8 or more the document of the smallest id stays."""
-    return near_copies.keep_first(docs)
+    """Of each group of documents whose fingerprints of 3-word shingles link at two bits the one of the smallest id stays."""
+    return simhash.keep_first(docs, distance=2, shingle=3)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
