@@ -63,12 +63,12 @@ def test_like_brute_force(spark, seed):
             cut = item.split(" ")[rng.randrange(3) : len(item) - rng.randrange(3)]
             pieces += [", ".join(cut).upper() if rng.random() < 0.3 else "\n".join(cut), text(rng.randrange(9))]
         docs.append((d, " ".join(pieces)))
-    docs += [(3, docs[3][1]), (None, items[0][1]), (90, ""), (91, None), (92, "--"), (93, "w " * 5000 + items[0][1])]
+    docs += [(3, docs[3][1]), (None, items[0][1]), (None, "a clean text"), (None, "a clean text"), (5, "a clean text under another's id"), (5, items[0][1]), (90, ""), (91, None), (92, "--"), (93, "w " * 5000 + items[0][1])]
     frame, found = got(spark, docs, items)
     assert found == slow(docs, items)
     kept = dc.drop_contaminated(frame, spark.createDataFrame(items, "item_id bigint, text string"))
-    bad = {r[0] for r in slow(docs, items) if r[5]}
-    assert kept.columns == frame.columns and sorted(map(str, (r.doc_id for r in kept.collect()))) == sorted(str(d) for d, _ in docs if d not in bad)
+    clean = [(d, t) for d, t in docs if not slow([(d, t)], items)[0][5]]
+    assert kept.columns == frame.columns and sorted(map(str, ((r.doc_id, r.text) for r in kept.collect()))) == sorted(map(str, clean))
 
 
 def test_empty_tables(spark):

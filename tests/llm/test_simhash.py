@@ -102,9 +102,20 @@ def test_near_duplicates(spark):
     assert got == want
     kept = simhash.keep_first(docs)
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [3, 4, 8, 11]
+    assert simhash.keep_first(docs.limit(0)).count() == 0
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_rows_that_share_an_id_are_told_apart(spark):
+    rows = [(2, "one clean text of its own", "a"), (2, "another text about boats", "b"), (7, "another text about boats", "c"), (7, "the sea is wide", "d"),
+            (None, "the sea is wide", "e"), (None, "nobody knows me", "f"), (None, "nobody knows me", "f"), (None, "nor me at all", "g"), (9, None, "h"), (9, "", "i")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, `row` string").withColumn("fp", F.lit("x")).withColumn("root", F.lit(1)).withColumn("__id", F.lit(2))
+    kept = simhash.keep_first(docs)
+    assert kept.columns == docs.columns
+    got = sorted(r.row for r in kept.collect())
+    assert got in (["a", "b", "d", "f", "g", "h"], ["a", "b", "d", "f", "g", "i"])
+
+
 def test_query_on_the_given_table(spark):
     from conftest import FOLDER
     from threadlens.llm.queries import QUERIES

@@ -44,7 +44,7 @@ def without(docs: DataFrame, ids: DataFrame, column: str = "doc_id") -> DataFram
     """
     listed = ids.select(F.col(column).alias("__id"))
     listed = F.broadcast(listed) if ids.count() <= MAX_SENT else listed
-    return docs.join(listed, F.col(column).eqNullSafe(F.col("__id")), "left_anti")
+    return docs.join(listed, docs[column].eqNullSafe(listed["__id"]), "left_anti")
 
 
 def filesystem(uri: str) -> tuple[fs.FileSystem, str]:

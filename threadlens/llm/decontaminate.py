@@ -205,7 +205,21 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id has no hit; columns as given.  Rows without a doc_id share one verdict."""
+    """The rows of ``docs`` without a hit; columns as given.
+
+    Verdicts are by row.  Where rows that share a doc_id (or have none) differ in theirs, these rows alone are written with
+    a number of their own and looked through again.
+    """
     rows, hits = find_hits(docs, items)
-    bad = rows.join(hits.select("row").distinct(), "row", "left_semi").select("doc_id").distinct()
-    return without(docs, staged(bad, "contaminated"))
+    hit = hits.select(F.col("row").alias("at")).distinct()
+    ids = rows.join(hit, F.col("row") == F.col("at"), "left").groupBy("doc_id").agg(F.count("*").alias("rows"), F.count("at").alias("bad"))
+    ids = staged(ids.where("bad > 0"), "contaminated")
+    kept = without(docs, ids.select("doc_id"))
+    mixed = staged(ids.where("bad < rows").select(F.col("doc_id").alias("__id")), "mixed")
+    if mixed.isEmpty():
+        return kept
+    met = docs.join(mixed, docs["doc_id"].eqNullSafe(mixed["__id"]), "left_semi")
+    numbered = staged(met.select(F.monotonically_increasing_id().alias("doc_id"), "text", F.struct("*").alias("row")), "numbered")
+    rows, hits = find_hits(numbered.select("doc_id", "text"), items)
+    bad = staged(rows.join(hits.select("row").distinct(), "row", "left_semi").select("doc_id"), "contaminated")
+    return kept.unionByName(without(numbered, bad).select("row.*"))

@@ -17,6 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .common import staged, without
 from .graph import components
@@ -246,33 +247,54 @@ def flip_links(fps: DataFrame) -> DataFrame:
     return stars.where("a <> b").distinct()
 
 
-def near_duplicates(docs: DataFrame, distance: int = DISTANCE, bucket: int = BUCKET, shingle: int = 3) -> DataFrame:
-    """(doc_id, fingerprint, component_id) for every row of ``docs`` (doc_id, text).
+def grouped(docs: DataFrame, distance: int = DISTANCE, bucket: int = BUCKET, shingle: int = 3) -> tuple[DataFrame, DataFrame]:
+    """Written tables (doc_id, fp) of every row and (fp, root, component_id) of every fingerprint.
 
-    ``component_id`` is the smallest doc_id reachable over links of at most ``distance`` differing bits.  Null and empty
-    texts have fingerprint zero and link like others; repeated rows are returned as often as they come; rows without a
-    doc_id are linked but never name a component (null if no other row does).
+    ``root`` tells components apart; ``component_id`` is the smallest doc_id of one, null if no row of it has an id.
     """
     own = staged(fingerprints(docs, shingle), "fingerprints")
     distinct = staged(own.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
     reached = staged(components(links(distinct, distance, bucket)), "reached").withColumnRenamed("node", "fp")
     firsts = reached.join(distinct, "fp").groupBy("root").agg(F.min("first").alias("named"))
-    named = distinct.join(reached.join(firsts, "root").select("fp", "named"), "fp", "left")
-    named = staged(named.select("fp", F.coalesce("named", "first").alias("component_id")), "named")
+    named = distinct.join(reached.join(firsts, "root"), "fp", "left")
+    return own, staged(named.select("fp", F.coalesce("root", "fp").alias("root"), F.coalesce("named", "first").alias("component_id")), "named")
+
+
+def near_duplicates(docs: DataFrame, distance: int = DISTANCE, bucket: int = BUCKET, shingle: int = 3) -> DataFrame:
+    """(doc_id, fingerprint, component_id) for every row of ``docs`` (doc_id, text).
+
+    ``component_id`` is the smallest doc_id reachable over links of at most ``distance`` differing bits.  Null and empty
+    texts have fingerprint zero and link like others; repeated rows are returned as often as they come; rows without a
+    doc_id are linked but never name a component (null if no other row does).  Ids are whole numbers: an id that cannot
+    be cast to one is an error.
+    """
+    own, named = grouped(docs, distance, bucket, shingle)
     return own.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_first(docs: DataFrame, **options: int) -> DataFrame:
-    """The rows of ``docs`` that name their component: one row of each group, columns as given.
+def keep_first(docs: DataFrame, distance: int = DISTANCE, bucket: int = BUCKET, shingle: int = 3) -> DataFrame:
+    """One row of each component of ``docs`` (doc_id, text): one with the smallest doc_id in it; columns as given.
 
-    Of repeated rows of one doc_id one stays; rows without a doc_id cannot be told apart and go.
+    Verdicts are by row: of rows that share a doc_id, those in a component that the id names are told apart by their
+    fingerprints and one of each such component stays, so a unique text under a repeated id stays too.  Of a component
+    without any id one row stays.  Null and empty texts are one component.
     """
-    found = near_duplicates(docs, **options)
-    ids = staged(found.groupBy("doc_id").agg(F.min("component_id").alias("first"), F.count("*").alias("rows")), "ids")
-    kept = without(docs, staged(ids.where("doc_id IS NULL OR doc_id <> first").select("doc_id"), "dropped"))
-    repeated = staged(ids.where("rows > 1 AND doc_id = first").select("doc_id"), "repeated")
-    if repeated.isEmpty():
+    own, named = grouped(docs, distance, bucket, shingle)
+    names = F.expr("doc_id <=> component_id")
+    ids = staged(own.join(named, "fp").groupBy("doc_id").agg(F.count("*").alias("rows"), F.bool_or(names).alias("names")), "ids")
+    kept = without(docs, staged(ids.where("NOT names OR rows > 1 OR doc_id IS NULL").select("doc_id"), "leaving"))
+    shared = staged(ids.where("names AND (rows > 1 OR doc_id IS NULL)").select(F.col("doc_id").alias("__id")), "shared")
+    if shared.isEmpty():
         return kept
-    # Only rows of repeated ids have to meet.
-    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
-    return without(kept, repeated).unionByName(once)
+    # Only rows of shared ids have to meet, as (fingerprint, whole row).
+    met = docs.join(shared, docs["doc_id"].eqNullSafe(shared["__id"]), "left_semi")
+    kinds = met.select(F.struct("*").alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = np.fromiter((fingerprint(t.as_py(), shingle) for t in batch["text"]), np.uint64, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([batch["row"], batch["doc_id"], pa.array(found.view(np.int64))], ["row", "doc_id", "fp"])
+
+    marked = kinds.mapInArrow(mark, StructType([kinds.schema["row"], kinds.schema["doc_id"], StructField("fp", LongType())]))
+    once = marked.join(named, "fp").where(names).dropDuplicates(["root"]).select("row.*")
+    return kept.unionByName(once)
