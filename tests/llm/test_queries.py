@@ -13,4 +13,4 @@ def test_query_against_sql(spark, name):
 
 def test_names_and_columns():
     numbers = [int(name[2:].split("_")[0]) for name in QUERIES]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))

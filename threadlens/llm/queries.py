@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, extract, language, lm, mixing, quality, secret_scan, simhash, token_store, toxicity
+from . import decontaminate, extract, hard_negatives, language, lm, mixing, quality, runs, secret_scan, sharding, simhash, token_store, toxicity
 from .common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -149,3 +150,35 @@ def op5_lm(spark: SparkSession, folder: str) -> DataFrame:
 def op3_html(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages")
     return extract.extract(pages, extract.learn(pages))
+
+
+@query(
+    """
+    WITH v AS (SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e
+               FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+    s AS (SELECT a.r AS anchor, a.vec_id AS anchor_id, v.r AS r, v.vec_id AS vec_id, v.label = a.label AS same, CAST(list_inner_product(a.e, v.e) AS BIGINT) AS score
+          FROM v AS a CROSS JOIN v WHERE a.vec_id % 100 = 0 AND a.r <> v.r),
+    p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id NULLS LAST, r) <= 5),
+    n AS (SELECT p.anchor_id, p.vec_id AS positive_id, CAST(row_number() OVER (PARTITION BY p.anchor, p.r ORDER BY s.score DESC, s.vec_id NULLS LAST, s.r) AS INT) AS rank,
+              s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+          FROM p JOIN s ON s.anchor = p.anchor AND NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score)
+    SELECT * FROM n WHERE rank <= 5
+    """
+)
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END").alias("label")
+    # Unlike floor of a double, which is a whole number, infinity stays what it is and is sorted out by the operator.
+    whole = "transform(embedding, x -> CASE WHEN isnan(x) OR abs(x) = double('infinity') THEN x ELSE CAST(floor(256 * CAST(x AS double)) AS double) END)"
+    vectors = table(spark, folder, "embeddings").select("vec_id", label, F.expr(whole).alias("embedding"))
+    return hard_negatives.mine(vectors, "vec_id % 100 = 0", n_positives=5, n_negatives=5, share=(80, 100))
+
+
+@query()
+def op12_shards(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.assign(table(spark, folder, "documents"), 24)
+
+
+@query()
+def op13_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return runs.digests(runs.periodic_runs(runs.planted(table(spark, folder, "documents"))))
