@@ -99,7 +99,7 @@ def test_a_stage_can_be_repeated_alone(done):
 @pytest.mark.parametrize("strategy", ["embeddings", "c-tf-idf"])
 def test_density_backend(spark, raw, tmp_path, strategy):
     job = run(
-        spark, tmp_path, backend="density", components=2, cell_width=0.4, min_samples=1, min_cluster_size=2, nr_topics=2,
+        spark, tmp_path, backend="density", clustering="grid", components=2, cell_width=0.4, min_samples=1, min_cluster_size=2, nr_topics=2,
         reduce_outliers_strategy=strategy,
     )
     tables = job.run(raw)

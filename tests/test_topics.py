@@ -276,7 +276,7 @@ def test_density_topics_find_separate_clouds_and_outliers(spark):
     rows = [(i, [float(x) for x in centers[i % 3] * 3 + rng.normal(scale=0.05, size=8)]) for i in range(300)]
     rows += [(300 + i, [float(x) for x in -np.eye(8)[5 + i % 3]]) for i in range(3)]
     df = spark.createDataFrame(rows, "unit_id bigint, embedding array<float>")
-    o = TopicOptions(backend="density", components=3, cell_width=0.15, min_cluster_size=20)
+    o = TopicOptions(backend="density", clustering="grid", components=3, cell_width=0.15, min_cluster_size=20)
     got = {r.unit_id: r.topic_id for r in density.density_topics(df, o).collect()}
     clouds = [{got[i] for i in range(c, 300, 3)} for c in range(3)]
     assert sorted(map(tuple, clouds)) == [(0,), (1,), (2,)]

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..options import TopicOptions
-from ..session import materialise
+from ..session import materialise, written
 from .ingest import with_row_id
 from .messages import keep_first
 from .topics import OUTLIER
@@ -105,9 +105,21 @@ def cell_topics(cells: DataFrame, components: int, min_samples: int, min_cluster
 
 
 def density_topics(vectors: DataFrame, options: TopicOptions = TopicOptions()) -> DataFrame:
-    """Adds ``topic_id`` (-1 for outliers) to (unit_id, embedding) rows."""
+    """Adds ``topic_id`` (-1 for outliers) to (unit_id, embedding) rows.
+
+    ``options.clustering`` is ``varying`` (clusters of any density, see ``varying.py``) or ``grid`` (touching cells of one
+    width, which also come back as ``cell``).
+    """
     # Fitting reads the vectors once more, so an embedding computed on the fly is written out first.
-    reduced = reduce_dimensions(materialise(vectors), options.components)
+    reduced = reduce_dimensions(written(vectors, "vectors"), options.components)
+    if options.clustering == "varying":
+        from .varying import varying_topics  # it uses this module's components
+
+        reduced = written(reduced, "reduced")
+        found = varying_topics(reduced, "reduced", options.min_samples, options.min_cluster_size)
+        return reduced.join(found, "unit_id").select(*vectors.columns, "reduced", "topic_id")
+    if options.clustering != "grid":
+        raise ValueError(f"unknown clustering: {options.clustering}")
     placed = reduced.withColumn("cell", grid_cell(F.col("reduced"), options.cell_width))
     found = assign_cells(placed, options.components, options.min_samples, options.min_cluster_size)
     return found.select(*vectors.columns, "reduced", "cell", "topic_id")

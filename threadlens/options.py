@@ -56,6 +56,8 @@ class EmbeddingOptions:
 class TopicOptions:
     backend: str = "simple"  # or "density"
     components: int = 5
+    # How the density backend finds topics: "varying" (any density) or "grid" (cells of one width).
+    clustering: str = "varying"
     cell_width: float = 0.15
     min_cluster_size: int = 20
     min_samples: int = 5

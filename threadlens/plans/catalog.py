@@ -602,10 +602,23 @@ def reduced_vectors(spark, folder):
     return density.reduce_dimensions(docs, 5).select("doc_id", F.posexplode("reduced").alias("pos", "x"))
 
 
-def document_density(spark, folder) -> DataFrame:
-    docs = table(spark, folder, "documents").select(F.col("doc_id").alias("unit_id"), "lang", "text")
-    docs = docs.select("unit_id", "lang", hash_embedding(F.col("text")).alias("embedding"))
-    return density.density_topics(docs, TopicOptions(backend="density"))
+def document_density(spark, folder, clustering: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select(F.col("doc_id").alias("unit_id"), "text")
+    docs = docs.select("unit_id", hash_embedding(F.col("text")).alias("embedding"))
+    found = density.density_topics(docs, TopicOptions(backend="density", clustering=clustering))
+    return found.select("unit_id", F.col("topic_id").cast("int").alias("topic_id"))
+
+
+@query()
+def density_topics(spark, folder):
+    """Documents embedded, reduced and clustered on a grid; held by tests on known clouds."""
+    return document_density(spark, folder, "grid")
+
+
+@query()
+def varying_topics(spark, folder):
+    """Documents embedded, reduced and clustered by varying density; held by a brute-force test."""
+    return document_density(spark, folder, "varying")
 
 
 DENSITY = """WITH RECURSIVE points AS (
@@ -657,7 +670,7 @@ def density_cluster_sizes(spark, folder):
 SELECT vec_id AS unit_id, coalesce(t, -1)::INTEGER AS topic_id
 FROM points p LEFT JOIN members m ON m.x = p.x AND m.y = p.y LEFT JOIN numbered USING (c)"""
 )
-def density_topics(spark, folder):
+def grid_topics(spark, folder):
     """Density topics of the half sums: topic of every vector, outliers -1."""
     placed = halves(spark, folder)
     return density.assign_cells(placed, 2, 3, 10).select("unit_id", F.col("topic_id").cast("int").alias("topic_id"))
