@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from uuid import uuid4
 
@@ -62,13 +63,22 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def blocks(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cut batches so that each holds about ``BLOCK_BYTES`` of text at most."""
+def release() -> None:
+    """Give memory that this worker's earlier tasks have freed back to the system, where the C library can do that."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def blocks(batches: Iterator[pa.RecordBatch], text: str = "text", size: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that each holds about ``size`` bytes of text at most; workers live on, so each task tidies up first."""
+    release()
     for batch in batches:
         _, offsets = utf8(batch[text])
         begin = 0
         while begin < batch.num_rows:
-            end = max(begin + 1, int(np.searchsorted(offsets, offsets[begin] + BLOCK_BYTES, "right")) - 1)
+            end = max(begin + 1, int(np.searchsorted(offsets, offsets[begin] + size, "right")) - 1)
             yield batch.slice(begin, end - begin)
             begin = end
 
@@ -125,6 +135,13 @@ def hash_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return hashes
 
 
+def heads(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The first eight bytes of each span as a number; shorter spans are filled up with zeros."""
+    eights = np.lib.stride_tricks.sliding_window_view(np.concatenate([data, np.zeros(8, np.uint8)]), 8)
+    piece = np.ascontiguousarray(eights[np.minimum(starts, len(data))]).view("<u8")[:, 0]
+    return piece & _MASK[np.minimum(ends - starts, 8)]
+
+
 def grams(words: np.ndarray, k: int) -> np.ndarray:
     """Hashes of the ``k``-word sequences at each word; the last ``k - 1`` words begin none."""
     n = max(0, len(words) - k + 1)

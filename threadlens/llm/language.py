@@ -21,6 +21,8 @@ from .common import blocks, byte_class, hash_words, owners, utf8, word_spans
 from .gru import Network, padded
 
 #: Documents of each language learned from at most (lowest hashes of their ids), languages, and words of each language.
+#: Bytes of text that are labelled at once.
+BLOCK_BYTES = 1 << 20
 MAX_DOCUMENTS, MAX_LANGUAGES, MAX_WORDS = 300, 200, 4_000
 SIZE, ROUNDS, STEPS, BATCH, RATE, SEED = 16, 6, 300, 128, 0.02, 7
 PIECE = 24
@@ -64,7 +66,7 @@ def training_words(docs: DataFrame) -> DataFrame:
     sample = docs.select("doc_id", "lang", "text").join(F.broadcast(named.distinct()), "doc_id", "left_semi").where("lang IS NOT NULL")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in blocks(batches):
+        for batch in blocks(batches, size=BLOCK_BYTES):
             data, starts, ends, text = _words(batch)
             langs = batch["lang"].take(pa.array(text)) if len(text) else pa.array([], pa.string())
             found = pa.table({"lang": langs, "word": pa.array(_cut(data, starts, ends), pa.binary())})
@@ -132,7 +134,7 @@ class _Memory:
 def _labelled(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[tuple[pa.RecordBatch, list[str], np.ndarray]]:
     """Each batch with the language and score of its texts."""
     memory = _Memory(model.network) if model.network else None
-    for batch in blocks(batches):
+    for batch in blocks(batches, size=BLOCK_BYTES):
         n = batch.num_rows
         if memory is None:
             yield batch, [UNKNOWN] * n, np.zeros(n)

@@ -16,6 +16,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,18 +26,48 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import blocks, filesystem, mix, shared_path, staged
+from .common import blocks, byte_class, filesystem, hash_words, heads, mix, shared_path, staged
 
 SHARD_MAGIC, INDEX_MAGIC = b"IDSHARD1", b"MPHINDX1"
 #: Size at which a shard is closed, keys of an index bucket (about), and places for each key on a level.
 SHARD_BYTES, BUCKET_KEYS, GAMMA = 64 << 20, 1 << 18, 2.0
 END_ID = 0
-#: Pieces of text whose ids a task remembers at least; at most twice as many.
-REMEMBERED = 100_000
 SLOT = np.dtype([("mark", "<u8"), ("part", "<u4"), ("shard", "<u4"), ("offset", "<u8"), ("n", "<u8"), ("start", "<u8")])
 TWO_SPACES = re.compile(r"\s\s")
-#: Punctuation that is cut off behind letters.
-CLOSING = ".,;:!?)]}>#$%&*|\"-"
+#: Bytes that are white space, and first bytes of characters that may be.
+SPACE = byte_class((0x09, 0x0D), (0x1C, 0x20))
+ODD = byte_class((0xC2, 0xC2), (0xE1, 0xE3))
+#: Letters, and punctuation that is told apart from the letters before it (all but the apostrophe, which some tokenizers join).
+LETTER = byte_class((0x41, 0x5A), (0x61, 0x7A))
+CLOSES = byte_class((0x21, 0x26), (0x28, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7E))
+#: What leads a piece: the text's start, a line break, a blank, letters; and what tells their keys apart.
+TEXT, LINE, WORD, CLOSING = range(4)
+SALTS = np.array([0, 0, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
+#: Bytes of text that are cut into pieces at once.
+BLOCK_BYTES = 1 << 20
+#: Pieces that a task remembers before it begins anew (about 60 bytes each).
+REMEMBERED = 400_000
+
+
+def _split(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Pieces of all texts in their order: start, end, what leads it, and its text; texts are cut at blanks and line breaks."""
+    gaps = np.flatnonzero((data == 32) | (data == 10))
+    text = np.append(np.arange(len(offsets) - 1), np.searchsorted(offsets, gaps, "right") - 1)
+    starts = np.append(offsets[:-1], gaps + 1)
+    order = np.lexsort((starts, text))
+    starts, text = starts[order], text[order]
+    last = np.append(text[1:] != text[:-1], True)
+    ends = np.where(last, offsets[1:][text], np.append(starts[1:], 0) - 1)
+    before = np.append(data, np.uint8(0))[starts - 1]
+    lead = np.where(np.append(True, last[:-1]), TEXT, np.where(before == 32, WORD, LINE))
+    letters = np.append(np.int32(0), np.cumsum(LETTER[data], dtype=np.int32))
+    stem = np.maximum.accumulate(np.append(np.int32(0), np.where(CLOSES[data], np.int32(0), np.arange(1, len(data) + 1, dtype=np.int32))))[ends].astype(np.int64)
+    closed = (stem > starts) & (stem < ends)
+    closed[closed] = letters[stem[closed]] - letters[starts[closed]] == stem[closed] - starts[closed]
+    place = np.argsort(np.append(2 * np.arange(len(starts)), 2 * np.flatnonzero(closed) + 1))
+    ends = np.append(np.where(closed, stem, ends), ends[closed])[place]
+    starts, text = np.append(starts, stem[closed])[place], np.append(text, text[closed])[place]
+    return starts, ends, np.append(lead, np.full(int(closed.sum()), CLOSING))[place], text
 
 
 # --- tokenizer ------------------------------------------------------------------------
@@ -46,9 +77,8 @@ class Encoder:
     """Ids of whole texts, as the tokenizer gives them, through the ids of their pieces between white space.
 
     A byte-level pre-tokenizer never joins anything over a blank or line break that stands alone, and takes the blank
-    to what is behind it, so these pieces are encoded once and remembered; neither does it join letters with the
-    punctuation behind them.  Texts with two white space characters in a row or with an added token's string, and all
-    texts of other kinds of tokenizers, are encoded as a whole.
+    to what is behind it, so each distinct piece of a block of texts is encoded once.  Texts with two white space characters in
+    a row or with an added token's string, and all texts of other kinds of tokenizers, are encoded as a whole.
     """
 
     def __init__(self, config: str):
@@ -68,83 +98,114 @@ class Encoder:
             self.opens = {c: np.zeros(size, bool) for c in " \n"}
             for c, mark in marks.items():
                 self.opens[c][[i for t, i in vocabulary.items() if mark and t.startswith(mark[0])]] = True
-            self.line_break = self._ids(["\n"])[0]
-        # Pieces at the start of a line and behind a blank, each as (recent, older).
-        self.known: dict[str, list[dict[str, bytes]]] = {"\n": [{}, {}], " ": [{}, {}]}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            self.line_break = self._ids(["\n"])
+            # How a blank is written in the model's words; empty if it has none.
+            self.blank = marks[" "][0] if type(self.tokenizer.model).__name__ == "BPE" and marks[" "] and len(marks[" "][0]) == 1 else ""
+            self._forget()
+
+    def _ids(self, texts: list[str]) -> np.ndarray:
+        """Ids of all texts in a row."""
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
+        return np.fromiter(chain.from_iterable(found), f"<u{self.width}", sum(map(len, found)))
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else []
         return [np.array(e.ids, f"<u{self.width}").tobytes() for e in found]
 
-    def _encoded(self, pieces: list[str], lead: str) -> dict[str, bytes]:
-        """Ids of pieces that follow a blank or a line break: one text of all, cut at the tokens that begin with it."""
-        plain = [p for p in pieces if p and not p[0].isspace() and not p[-1].isspace()]
-        ids = self._ids([lead + lead.join(plain)])[0] if plain else b""
-        at = np.flatnonzero(self.opens[lead][np.frombuffer(ids, f"<u{self.width}")])
-        if len(at) != len(plain):
-            plain, at = [], at[:0]
-        cuts = [*(self.width * at).tolist(), len(ids)]
-        # A line break is a token of its own and told apart from what is behind it; a blank belongs to the piece.
-        own = 0 if lead == " " else len(self.line_break)
-        found = {p: ids[a + own : b] for p, a, b in zip(plain, cuts[:-1], cuts[1:], strict=True)} if plain else {}
-        rest = [p for p in pieces if p not in found]
-        return found | dict(zip(rest, self._ids([" " + p if lead == " " else p for p in rest]), strict=True))
-
-    def _recent(self, lead: str) -> dict[str, bytes]:
-        """What was met lately; a full memory becomes the older one."""
-        if len(self.known[lead][0]) > REMEMBERED:
-            self.known[lead] = [{}, self.known[lead][0]]
-        return self.known[lead][0]
-
-    def _learn(self, pieces: set[str], lead: str) -> None:
-        """Add pieces to what was met lately: from the older memory, from letters and punctuation apart, or encoded."""
-        recent, older = self.known[lead]
-        cut = {p: len(p.rstrip(CLOSING)) for p in pieces if p not in older}
-        apart = {p: (p[:n], p[n:]) for p, n in cut.items() if 0 < n < len(p) and p[:n].isalpha()}
-        words = {w for w, _ in apart.values()} | (cut.keys() - apart.keys())
-        new = [w for w in words if w not in recent and w not in older]
-        fresh = self._encoded(new, lead)
-        closing = self.known["\n"][0]
-        ends = [e for e in {e for _, e in apart.values()} if e not in closing]
-        closing.update(zip(ends, self._ids(ends), strict=True))
-        recent.update(fresh)
-        recent.update((p, older[p]) for p in pieces if p in older)
-        for p, (word, end) in apart.items():
-            recent[p] = (recent.get(word) or older[word]) + closing[end]
+    def _pieces(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lead: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct pieces that follow ``lead``, each with it, and where each piece's ids begin and end.
+
+        All pieces are one text, cut at the tokens that begin with ``lead``; pieces with white space at an end, and those
+        that follow letters (no lead), come alone.
+        """
+        odd = np.append(np.int32(0), np.cumsum(ODD[data], dtype=np.int32))
+        plain = (ends > starts) & (lead != "")
+        plain[plain] = ~SPACE[data[starts[plain]]] & ~SPACE[data[ends[plain] - 1]]
+        for i in np.flatnonzero(plain & (odd[ends] > odd[starts])):
+            piece = data[starts[i] : ends[i]].tobytes().decode()
+            plain[i] = not (piece[0].isspace() or piece[-1].isspace())
+        at = np.flatnonzero(plain)
+        sizes = ends[at] - starts[at] + 1
+        stops = np.cumsum(sizes)
+        joined = np.full(int(sizes.sum()), ord(lead or " "), np.uint8)
+        inner = np.arange(len(joined)) - np.repeat(stops - sizes, sizes)
+        joined[inner > 0] = data[(np.repeat(starts[at], sizes) + inner - 1)[inner > 0]]
+        ids = self._ids([joined.tobytes().decode()]) if len(at) else np.zeros(0, f"<u{self.width}")
+        cuts = np.flatnonzero(self.opens[lead][ids]) if len(ids) else np.zeros(0, np.int64)
+        if len(cuts) != len(at):
+            at, ids, cuts = at[:0], ids[:0], cuts[:0]
+        begin, end = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
+        begin[at], end[at] = cuts, np.append(cuts[1:], len(ids))
+        alone = np.setdiff1d(np.arange(len(starts)), at)
+        rest = [data[s:e].tobytes().decode() for s, e in zip(starts[alone], ends[alone], strict=True)]
+        found = self._whole([" " + p for p in rest] if lead == " " else rest)
+        if lead == "\n":
+            found = [self.line_break.tobytes() + f for f in found]
+        sizes = np.array([len(f) // self.width for f in found], np.int64)
+        end[alone] = len(ids) + np.cumsum(sizes)
+        begin[alone] = end[alone] - sizes
+        return np.append(ids, np.frombuffer(b"".join(found), ids.dtype)), begin, end
+
+    def _learn(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lead: np.ndarray, keys: np.ndarray, marks: np.ndarray) -> None:
+        """Encode new pieces and remember their ids, in the order of their keys."""
+        begin, size = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+        letters = np.append(np.int32(0), np.cumsum(LETTER[data], dtype=np.int32))
+        plain = (lead == WORD) & (ends > starts) & (letters[ends] - letters[starts] == ends - starts)
+        if self.blank and plain.any():
+            # Letters behind a blank are one word for the tokenizer's model.
+            tokenize, raw = self.tokenizer.model.tokenize, data.tobytes()
+            found = [[t.id for t in tokenize(self.blank + raw[a:b].decode())] for a, b in zip(starts[plain].tolist(), ends[plain].tolist(), strict=True)]
+            size[plain] = np.fromiter(map(len, found), np.int64, len(found))
+            begin[plain] = len(self.pool) + np.cumsum(size[plain]) - size[plain]
+            self.pool = np.append(self.pool, np.fromiter(chain.from_iterable(found), self.pool.dtype, int(size[plain].sum())))
+        else:
+            plain[:] = False
+        for said, kind in ((" ", (lead == WORD) & ~plain), ("\n", (lead == TEXT) | (lead == LINE)), ("", lead == CLOSING)):
+            if kind.any():
+                ids, b, e = self._pieces(data, starts[kind], ends[kind], said)
+                begin[kind], size[kind] = b + len(self.pool), e - b
+                self.pool = np.append(self.pool, ids)
+        order = np.argsort(merged := np.append(self.keys, keys))
+        self.keys, self.marks = merged[order], np.append(self.marks, marks, axis=1)[:, order]
+        self.begin, self.size = np.append(self.begin, begin)[order], np.append(self.size, size)[order]
+
+    def _forget(self) -> None:
+        self.keys, self.marks, self.pool = np.zeros(0, np.uint64), np.zeros((3, 0), np.uint64), np.zeros(0, f"<u{self.width}")
+        self.begin = self.size = np.zeros(0, np.int64)
+
+    def _by_piece(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts whose blanks and line breaks stand alone: each distinct piece between them is encoded once."""
+        raw = [t.encode() for t in texts]
+        data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
+        starts, ends, lead, text = _split(data, offsets)
+        keys = hash_words(data, starts, ends) ^ SALTS[lead]
+        # Beyond the hash, pieces are compared by length and both ends; texts with a piece that only its hash has met are encoded whole.
+        marks = np.stack([(ends - starts).astype(np.uint64), heads(data, starts, ends), heads(data, np.maximum(ends - 8, starts), ends)])
+        distinct, chosen, back = np.unique(keys, return_index=True, return_inverse=True)
+        if len(self.keys) > REMEMBERED:
+            self._forget()
+        at = np.minimum(np.searchsorted(self.keys, distinct), max(len(self.keys) - 1, 0))
+        met = self.keys[at] == distinct if len(self.keys) else np.zeros(len(distinct), bool)
+        if (marks != marks[:, chosen[back]]).any() or (marks[:, chosen[met]] != self.marks[:, at[met]]).any():
+            return self._whole(texts)
+        if not met.all():
+            new = chosen[~met]
+            self._learn(data, starts[new], ends[new], lead[new], distinct[~met], marks[:, new])
+        at = np.searchsorted(self.keys, distinct)[back]
+        # A text's first piece has no line break before it.
+        skipped = np.where(lead == TEXT, len(self.line_break), 0)
+        begin, sizes = self.begin[at] + skipped, self.size[at] - skipped
+        stops = np.cumsum(sizes)
+        out = self.pool[np.arange(int(stops[-1])) + np.repeat(begin - stops + sizes, sizes)]
+        cuts = np.append(0, stops[np.searchsorted(text, np.arange(len(texts)), "right") - 1]).tolist()
+        return [out[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian ids of each text, without an end id."""
-        out: list[bytes | None] = [None] * len(texts)
-        starts, later = self._recent("\n"), self._recent(" ")
-        lines: list[tuple[str, list[str], list[bytes | None]]] = []
-        of: dict[int, tuple[int, int]] = {}
-        missing: dict[str, set[str]] = {"\n": set(), " ": set()}
-        for i, t in enumerate(texts):
-            if not self.by_piece or TWO_SPACES.search(t) or any(a in t for a in self.added):
-                continue
-            begin = len(lines)
-            for line in t.split("\n"):
-                head, *rest = line.split(" ")
-                got = list(map(later.get, rest))
-                if None in got:
-                    missing[" "].update([p for p, ids in zip(rest, got, strict=True) if ids is None])
-                if head not in starts:
-                    missing["\n"].add(head)
-                lines.append((head, rest, got))
-            of[i] = (begin, len(lines))
-        for lead, pieces in missing.items():
-            self._learn(pieces, lead)
-        whole = [i for i in range(len(texts)) if i not in of]
-        for i, ids in zip(whole, self._ids([texts[i] for i in whole]), strict=True):
-            out[i] = ids
-        for i, (begin, end) in of.items():
-            said = []
-            for head, rest, got in lines[begin:end]:
-                if None in got:
-                    got = [later[p] if ids is None else ids for p, ids in zip(rest, got, strict=True)]
-                said.append(starts[head] + b"".join(got))
-            out[i] = self.line_break.join(said)
-        return out
+        apart = [self.by_piece and not TWO_SPACES.search(t) and not any(a in t for a in self.added) for t in texts]
+        cut = iter(self._by_piece([t for t, a in zip(texts, apart, strict=True) if a]) if any(apart) else [])
+        whole = iter(self._whole([t for t, a in zip(texts, apart, strict=True) if not a]))
+        return [next(cut if a else whole) for a in apart]
 
 
 # --- shards ---------------------------------------------------------------------------
@@ -204,7 +265,7 @@ def write_shards(docs: DataFrame, folder: str, config: str, end_id: int = END_ID
         encoder, part = Encoder(sent.value), TaskContext.get().partitionId()
         shards, end = _Shards(folder, part, encoder.width, shard_bytes), np.array([end_id], f"<u{encoder.width}").tobytes()
         before, again, last = 0, -1, object()
-        for batch in blocks(batches):
+        for batch in blocks(batches, size=BLOCK_BYTES):
             rows = []
             for key, ids in zip(batch["doc_id"].to_pylist(), encoder.encode(batch["text"].fill_null("").to_pylist()), strict=True):
                 again, last = again + 1 if key == last else 0, key
