@@ -133,3 +133,47 @@ def test_rejects_and_stored_counters(spark, tmp_path):
 def test_run_log_holds_numbers_of_the_texts(done):
     log = {r.table: r.rows for r in done.read("run_log").collect()}
     assert log["vector_width"] == 32 and log["sanitized_texts"] == 0 and log["truncated_texts"] == 0
+
+
+def test_run_log_counts_topics(done):
+    log = {r.table: r.rows for r in done.read("run_log").collect()}
+    assert (log["topics"], log["outliers"]) == (4, 0)
+
+
+class Killed(Exception):
+    pass
+
+
+def test_a_killed_run_resumes_behind_the_last_finished_stage(spark, raw, tmp_path, monkeypatch):
+    job = run(spark, tmp_path)
+    with monkeypatch.context() as m:
+        m.setattr(TopicRun, "assign_topics", lambda self: (_ for _ in ()).throw(Killed))
+        with pytest.raises(Killed):
+            job.run(raw, resume=True)
+    ran = []
+    for name in ("ingest", "preprocess", "build_units", "embed", "assign_topics", "measure", "enrich"):
+        monkeypatch.setattr(TopicRun, name, lambda self, *a, _name=name, _stage=getattr(TopicRun, name), **o: (ran.append(_name), _stage(self, *a, **o))[1])
+    first = job.run(raw, resume=True)
+    assert ran == ["assign_topics", "measure", "enrich"]
+    before = sorted(map(str, first["summary"].collect()))
+    ran.clear()
+    again = job.run(raw.repartition(3), resume=True)
+    assert ran == [] and sorted(map(str, again["summary"].collect())) == before
+    replaced = TopicRun(spark, job.folder, job.messages, job.units, enrichment=EnrichmentOptions(max_examples_per_topic=2), topics=job.topics, report=job.report, embed_factory=job.embed_factory)
+    replaced.run(raw, resume=True)
+    assert ran == ["enrich"]
+    ran.clear()
+    job.run(raw.limit(9), resume=True)
+    assert len(ran) == 7
+    ran.clear()
+    job.run(raw.limit(9))
+    assert len(ran) == 7
+
+
+def test_fingerprints_know_rows_and_not_their_order(spark):
+    rows = [(1, "a"), (2, "b"), (2, "b"), (None, None)]
+    from threadlens.plans.topic_run import table_fingerprint as f
+
+    df = spark.createDataFrame(rows, "x int, `y.z` string")
+    assert f(df) == f(df.orderBy("x").repartition(3)) != f(df.distinct())
+    assert f(df) != f(spark.createDataFrame([(1, "b"), (2, "a"), (2, "b"), (None, None)], df.schema)) and f(df.limit(0)) == f(df.limit(0))

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from threadlens.operators import density, terms, topics
+from threadlens.operators import dendrogram, density, terms, topics
 from threadlens.options import TopicOptions
 
 
@@ -42,12 +42,10 @@ def test_titles(spark):
     assert rows == {-1: "outliers", 0: "a, b, c", 1: "code"}
 
 
-def test_min_df():
-    assert terms.topics_needed(1, 10, 7) == terms.topics_needed(0, 10, 7) == 1
-    assert terms.topics_needed(5, 36, 4) == pytest.approx(20 / 36)
-    assert terms.topics_needed(5, 3, 4) == 4
-    assert terms.topics_needed(0.0, 5, 10) == pytest.approx(2)
-    assert terms.topics_needed(2.5, 5, 3) == 3 and terms.topics_needed(0.5, 0, 3) == 3
+def test_min_df(spark):
+    asked = [(1, 10, 7), (0, 10, 7), (5, 36, 4), (5, 3, 4), (0.0, 5, 10), (2.5, 5, 3), (0.5, 0, 3), (2, 2, 9), (1.0, 8, 6)]
+    got = spark.range(1).select(*[terms.topics_needed(*a).alias(f"x{i}") for i, a in enumerate(asked)]).first()
+    assert list(got) == pytest.approx([1, 1, 20 / 36, 4, 2, 3, 3, 9, 6])
 
 
 def weights_by_hand(rows, at_least):
@@ -128,14 +126,14 @@ def test_merging_ends_on_centroids_that_look_alike(spark, kind):
     base = rng.normal(size=64)
     made = {"parallel": lambda i: base * (i + 1), "same": lambda i: base, "close": lambda i: base + rng.normal(size=64) * 1e-9}[kind]
     rows = [(i, [float(x) for x in made(i)], 1) for i in range(9)] + [(-1, [0.0] * 64, 3)]
-    merged = topics.reduce_topics(spark.createDataFrame(rows, "topic_id int, centroid array<double>, n_units bigint"), 2).collect()
+    merged = dendrogram.reduce_topics(spark.createDataFrame(rows, "topic_id int, centroid array<double>, n_units bigint"), 2).collect()
     assert len({r.merged_topic for r in merged if r.topic_id >= 0}) == 2 and len(merged) == 10
 
 
 def test_merging_refuses_centroids_that_are_no_numbers(spark):
     rows = [(0, [1.0, float("nan")], 1), (1, [0.0, 1.0], 1), (2, [1.0, 1.0], 1)]
     with pytest.raises(ValueError, match="finite"):
-        topics.reduce_topics(spark.createDataFrame(rows, "topic_id int, centroid array<double>, n_units bigint"), 1)
+        dendrogram.reduce_topics(spark.createDataFrame(rows, "topic_id int, centroid array<double>, n_units bigint"), 1)
 
 
 @pytest.mark.parametrize("block_bytes", [1 << 20, 100])
@@ -168,30 +166,67 @@ def test_outliers_by_terms(spark):
     assert moved == {0: 0, 1: 1, 2: 1, 3: -1}
 
 
-def merge_by_hand(centers, sizes, target):
-    into = {t: t for t in centers}
-    centers = dict(centers)
-    sizes = dict(sizes)
-    while len(centers) > target:
-        unit = {t: c / np.linalg.norm(c) for t, c in centers.items()}
-        near = {a: max((b for b in unit if b != a), key=lambda b: (unit[a] @ unit[b], -b)) for a in unit}
-        pairs = sorted((-(unit[a] @ unit[b]), a, b) for a, b in near.items() if near[b] == a and a < b)
-        for _, a, b in pairs[: len(centers) - target]:
-            centers[a] = (centers[a] * sizes[a] + centers[b] * sizes[b]) / (sizes[a] + sizes[b])
-            sizes[a] += sizes[b]
-            del centers[b]
-            into = {t: a if c == b else c for t, c in into.items()}
+@pytest.mark.parametrize(("head", "n_topics"), [(1, 9), (2, 30), (8, 30)])
+def test_outliers_by_terms_like_brute_force(spark, head, n_topics):
+    """A common term is in every topic; heads of the postings and bounds lead to the same winners as all scores."""
+    rng = random.Random(head)
+    words = [f"w{i}" for i in range(40)]
+    rows = [(i, i % n_topics if i < 4 * n_topics else -1, " ".join(["all", *rng.choices(words, k=rng.randrange(0, 9))])) for i in range(8 * n_topics)]
+    rows += [(9999, -1, "nothing known"), (9998, -1, ""), (9997, -1, "all"), (9997, -1, "all")]
+    df = texts(spark, rows)
+    weights = terms.term_weights(terms.term_counts(df.where("topic_id <> -1"), "modeling_text"), 1, 4 * n_topics)
+    known = defaultdict(dict)
+    for r in weights.collect():
+        known[r.topic_id][r.term] = (r.weight, r.weight / r.tf)
+    want = []
+    for i, t, text in rows:
+        if t == -1:
+            scores = {}
+            for topic, ws in known.items():
+                shared = Counter(w for w in text.split() if w in ws)
+                if shared:
+                    scores[topic] = round(sum(n * ws[w][1] * ws[w][0] for w, n in shared.items()) / np.sqrt(sum(w * w for w, _ in ws.values())), 9)
+            t = min(scores, key=lambda x: (-scores[x], x), default=-1)
+        want.append((i, t))
+    got = topics.reassign_outliers_by_terms(df, weights, "modeling_text", head=head)
+    assert sorted((r.unit_id, r.topic_id) for r in got.collect()) == sorted(want)
+
+
+def linkage_by_hand(rows, target):
+    """Average linkage over the inner products of all pairs of units; a merged topic has the smaller id."""
+    parts = defaultdict(list)
+    for _, t, v in rows:
+        if t != -1:
+            parts[t].append(np.float32(v).astype(float))
+    parts, into = {t: np.array(v) for t, v in parts.items()}, {t: t for _, t, _ in rows}
+    while len(parts) > max(target, 1):
+        _, a, b = min((-np.mean(parts[a] @ parts[b].T), a, b) for a in parts for b in parts if a < b)
+        parts[a] = np.concatenate([parts[a], parts.pop(b)])
+        into = {t: a if c == b else c for t, c in into.items()}
     return into
 
 
-@pytest.mark.parametrize("target", [1, 3, 9, 50])
-def test_topic_reduction(spark, target):
+@pytest.mark.parametrize("block_bytes", [1 << 26, 200])
+def test_every_cut_of_one_tree_is_average_linkage(spark, block_bytes, monkeypatch):
+    monkeypatch.setattr(dendrogram, "BLOCK_BYTES", block_bytes)
     rows = random_vectors(5, 200, 12)
-    centers = {t: c for t, c in means(rows).items() if t != -1}
-    sizes = Counter(t for _, t, _ in rows)
-    got = topics.reduce_topics(topics.topic_centroids(vectors(spark, rows)), target).collect()
-    want = merge_by_hand(centers, sizes, target)
-    assert {r.topic_id: r.merged_topic for r in got} == {**want, -1: -1}
+    df = vectors(spark, rows)
+    tree = dendrogram.topic_tree(topics.topic_centroids(df))
+    assert tree.count() == len({t for _, t, _ in rows if t != -1}) - 1
+    for target in (7, 4, 2, 1, 50):
+        got = {r.topic_id: r.merged_topic for r in dendrogram.cut_tree(tree, df, target).collect()}
+        assert got == linkage_by_hand(rows, target)
+    merges = tree.orderBy("round").collect()
+    assert all(m.a < m.b for m in merges) and max(m.n_units for m in merges) == sum(t != -1 for _, t, _ in rows)
+
+
+def test_no_topics_or_one(spark):
+    schema = "topic_id int, centroid array<double>, n_units bigint"
+    assert dendrogram.reduce_topics(spark.createDataFrame([], schema), 3).count() == 0
+    one = spark.createDataFrame([(-1, [1.0], 2), (4, [1.0], 3)], schema)
+    assert sorted(map(tuple, dendrogram.reduce_topics(one, 3).collect())) == [(-1, -1), (4, 4)]
+    with pytest.raises(ValueError, match="at least 1"):
+        dendrogram.reduce_topics(one, 0)
 
 
 def test_ranking_by_size(spark):

@@ -126,7 +126,7 @@ def agree(got, want):
     return groups(got) == groups(want)
 
 
-@pytest.mark.parametrize(("seed", "sizes", "spreads", "dim"), [(1, (900, 600, 300), (0.3, 1.2, 3.5), 2), (2, (60, 90, 40), (0.5, 2.0, 0.1), 5), (3, (150,), (1.0,), 3)])
+@pytest.mark.parametrize(("seed", "sizes", "spreads", "dim"), [(1, (900, 600, 300), (0.3, 1.2, 3.5), 2), (2, (60, 90, 40), (0.5, 2.0, 0.1), 5)])
 def test_like_brute_force(spark, seed, sizes, spreads, dim, monkeypatch):
     rng = np.random.default_rng(seed)
     points = clouds(rng, sizes, spreads, dim)

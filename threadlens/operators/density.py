@@ -108,10 +108,19 @@ def density_topics(vectors: DataFrame, options: TopicOptions = TopicOptions()) -
     """Adds ``topic_id`` (-1 for outliers) to (unit_id, embedding) rows.
 
     ``options.clustering`` is ``varying`` (clusters of any density, see ``varying.py``) or ``grid`` (touching cells of one
-    width, which also come back as ``cell``).
+    width, which also come back as ``cell``); ``options.reduction`` is ``pca`` or ``neighbours`` (see ``spectral.py``).
     """
     # Fitting reads the vectors once more, so an embedding computed on the fly is written out first.
-    reduced = reduce_dimensions(written(vectors, "vectors"), options.components)
+    vectors = written(vectors, "vectors")
+    if options.reduction == "neighbours":
+        from .spectral import neighbour_coordinates
+
+        placed = neighbour_coordinates(vectors, options.components, options.n_neighbours)
+        reduced = written(vectors.join(placed, "unit_id"), "reduced")
+    elif options.reduction == "pca":
+        reduced = reduce_dimensions(vectors, options.components)
+    else:
+        raise ValueError(f"unknown reduction: {options.reduction}")
     if options.clustering == "varying":
         from .varying import varying_topics  # it uses this module's components
 

@@ -56,17 +56,17 @@ def topic_titles(topics: DataFrame, keywords: DataFrame, fallback: Column) -> Da
 # --- class-based TF-IDF -------------------------------------------------------
 
 
-def topics_needed(min_df: int | float, n_units: int, n_topics: int) -> float:
-    """In how many topics a term has to be.
+def topics_needed(min_df: int | float, n_units: int, n_topics: int) -> Column:
+    """The number of topics that a term must be in, for a threshold that was given for units.
 
-    Counts above 1 are meant for units and are read as shares of them; a share
-    lies between one unit and all, and holds for the topics.
+    A topic is the text of many units, so the request is carried over in proportion: as the same part of all topics.  That
+    part is one unit's at least and all at most.  A count below two asks for any topic.
     """
     if isinstance(min_df, int) and min_df < 2:
-        return 1.0
-    unit = 1.0 / max(n_units, 1)
-    _, share, _ = sorted((unit, min_df if isinstance(min_df, float) else min_df * unit, 1.0))
-    return share * n_topics
+        return F.lit(1.0)
+    one = 1.0 / max(n_units, 1)
+    part = F.lit(min_df if isinstance(min_df, float) else min_df * one)
+    return F.least(F.greatest(part, F.lit(one)), F.lit(1.0)) * F.lit(n_topics)
 
 
 def term_counts(units: DataFrame, text: str, ngram_min: int = 1, ngram_max: int = 1) -> DataFrame:
@@ -86,7 +86,7 @@ def term_weights(counts: DataFrame, min_df: int | float, n_units: int) -> DataFr
     counts = materialise(counts)
     n_topics = counts.select("topic_id").distinct().count()
     per_term = materialise(counts.groupBy("term").agg(F.sum("tf").alias("__f"), F.count(F.lit(1)).alias("__df")))
-    common = per_term.where(F.col("__df") >= F.lit(float(topics_needed(min_df, n_units, n_topics))))
+    common = per_term.where(F.col("__df") >= topics_needed(min_df, n_units, n_topics))
     size = common.agg(F.sum("__f")).first()[0]
     if size is None and n_topics:
         common = per_term

@@ -1,4 +1,4 @@
-"""Topic assignment: priority labels, centroids, outlier reassignment, topic merging."""
+"""Topic assignment: priority labels, centroids, outlier reassignment."""
 
 from __future__ import annotations
 
@@ -17,7 +17,7 @@ from ..functions import fixed
 from ..functions.flags import priority_label
 from ..functions.text import ngrams
 from ..functions.vectors import TINY, to_matrix
-from ..session import materialise
+from ..session import materialise, written
 from .ingest import with_row_id
 from .messages import keep_first
 
@@ -162,8 +162,48 @@ def reassign_outliers(vectors: DataFrame, centroids: DataFrame | None = None) ->
     )
 
 
+#: Scores are compared with bounds up to this relative error, and with each other up to so many decimals.
+ROUNDING, SCORE_DECIMALS = 1e-9, 9
+
+
+def term_winners(counts: DataFrame, postings: DataFrame, head: int = 8) -> DataFrame:
+    """(unit_id, topic_id): the topic of the highest score, the sum of a unit's (unit_id, term, n) times (term, topic_id, impact).
+
+    Equal scores: lowest topic id; a unit without a known term has no row.  A unit first meets the ``head`` topics of each of its terms
+    that the term counts most for.  The next impact of each term bounds what all others can have; a unit is settled when
+    no topic that it has not met can win, and only topics that still can are scored in full.  Units that are
+    not settled look four times as far, so a term that is in all topics costs ``head`` rows a unit and not one for every topic.
+    """
+    by_impact = Window.partitionBy("term").orderBy(F.col("impact").desc(), "topic_id")
+    ranked = written(postings.withColumn("place", F.row_number().over(by_impact)), "postings")
+    deepest = ranked.agg(F.max("place")).first()[0] or 0
+    left, found = written(counts.join(ranked.select("term").distinct(), "term", "left_semi"), "terms"), None
+    while True:
+        lists = ranked.where(F.col("place") <= head + 1).groupBy("term").agg(F.sort_array(F.collect_list(F.struct("place", "topic_id", "impact"))).alias("list"))
+        lists = lists.select("term", F.slice("list", 1, head).alias("first"), F.coalesce(F.try_element_at("list", F.lit(head + 1))["impact"], F.lit(0.0)).alias("next"))
+        met = left.join(lists, "term").select("unit_id", "n", "first", (F.col("n") * F.col("next")).alias("open"))
+        unmet = met.groupBy("unit_id").agg(F.sum("open").alias("unmet"))
+        seen = met.select("unit_id", "n", "open", F.explode("first").alias("f")).groupBy("unit_id", "f.topic_id")
+        seen = seen.agg(F.sum(F.col("n") * F.col("f.impact")).alias("low"), F.sum("open").alias("own")).join(unmet, "unit_id")
+        seen = written(seen.withColumn("high", F.col("low") + F.col("unmet") - F.col("own")), "seen")
+        best = seen.groupBy("unit_id").agg(F.max("low").alias("best"))
+        still = seen.join(best, "unit_id").where(F.col("high") * (1 + ROUNDING) + ROUNDING >= F.col("best"))
+        settled = still if head >= deepest else still.where(F.col("unmet") < F.col("best") * (1 - ROUNDING) - ROUNDING)
+        settled = written(settled.select("unit_id", "topic_id"), "candidates")
+        scores = settled.join(left, "unit_id").join(ranked.select("term", "topic_id", "impact"), ["term", "topic_id"])
+        scores = scores.groupBy("unit_id", "topic_id").agg(F.round(F.sum(F.col("n") * F.col("impact")), SCORE_DECIMALS).alias("score"))
+        winners = keep_first(scores, ["unit_id"], [F.col("score").desc(), "topic_id"]).select("unit_id", "topic_id")
+        found = winners if found is None else found.unionByName(winners)
+        if head >= deepest:
+            return found
+        left = written(left.join(settled.select("unit_id").distinct(), "unit_id", "left_anti"), "terms")
+        if left.isEmpty():
+            return found
+        head *= 4
+
+
 def reassign_outliers_by_terms(
-    units: DataFrame, weights: DataFrame, text: str, ngram_min: int = 1, ngram_max: int = 1
+    units: DataFrame, weights: DataFrame, text: str, ngram_min: int = 1, ngram_max: int = 1, head: int = 8
 ) -> DataFrame:
     """(unit_id, topic_id) with every -1 moved to the topic whose weighted terms fit its text best.
 
@@ -172,22 +212,12 @@ def reassign_outliers_by_terms(
     """
     topics = weights.where(F.col("topic_id") != OUTLIER)
     norms = topics.groupBy("topic_id").agg(F.sqrt(F.sum(F.col("weight") ** 2)).alias("__norm"))
-    idf = F.col("weight") / F.col("tf")
+    impact = F.col("weight") / F.col("tf") * F.col("weight") / F.greatest("__norm", F.lit(TINY))
+    postings = topics.join(norms, "topic_id").select("term", "topic_id", impact.alias("impact"))
     lost = units.where(F.col("topic_id") == OUTLIER)
-    counts = (
-        lost.select("unit_id", F.explode(ngrams(F.col(text), ngram_min, ngram_max)).alias("term"))
-        .groupBy("unit_id", "term")
-        .agg(F.count(F.lit(1)).alias("__count"))
-    )
-    scored = (
-        counts.join(topics.withColumn("__idf", idf), "term")
-        .groupBy("unit_id", "topic_id")
-        .agg(F.sum(F.col("__count") * F.col("__idf") * F.col("weight")).alias("__dot"))
-        .join(norms, "topic_id")
-        .withColumn("__score", F.col("__dot") / F.greatest(F.col("__norm"), F.lit(TINY)))
-    )
-    best = keep_first(scored, ["unit_id"], [F.col("__score").desc(), "topic_id"]).select("unit_id", "topic_id")
-    stay = lost.select("unit_id").join(best, "unit_id", "left")
+    grams = lost.select("unit_id", F.explode(ngrams(F.col(text), ngram_min, ngram_max)).alias("term"))
+    counts = grams.groupBy("unit_id", "term").agg(F.count(F.lit(1)).alias("n"))
+    stay = lost.select("unit_id").join(term_winners(counts, postings, head), "unit_id", "left")
     return (
         units.where(F.col("topic_id") != OUTLIER)
         .select("unit_id", "topic_id")
@@ -195,67 +225,6 @@ def reassign_outliers_by_terms(
     )
 
 
-def reduce_topics(centroids: DataFrame, nr_topics: int) -> DataFrame:
-    """(topic_id, merged_topic): merge the most similar topics until ``nr_topics`` are left.
-
-    Every round each topic finds its nearest other centroid; topics that choose
-    each other are merged, most similar pairs first, never below the target.  If
-    rounding leaves no such pair, the most similar pair of all is merged, so
-    every round ends with fewer topics.  The merged centroid is the mean
-    weighted by size.  Outliers stay outliers; centroids that are not finite
-    numbers are an error.
-    """
-    if nr_topics < 1:
-        raise ValueError("nr_topics must be at least 1")
-    outliers = centroids.where(F.col("topic_id") == OUTLIER).select("topic_id", F.col("topic_id").alias("merged_topic"))
-    live = materialise(
-        centroids.where(F.col("topic_id") != OUTLIER).select(
-            "topic_id", F.col("centroid").alias("embedding"), F.col("n_units").cast("bigint").alias("n_units")
-        )
-    )
-    mapping = live.select("topic_id", F.col("topic_id").alias("merged_topic"))
-    remaining = live.count()
-    while remaining > nr_topics:
-        chosen = materialise(
-            nearest_centroid(
-                live, live.select("topic_id", F.col("embedding").alias("centroid")), exclude="topic_id"
-            ).select("topic_id", "nearest_topic", "similarity")
-        )
-        back = chosen.select(F.col("topic_id").alias("nearest_topic"), F.col("nearest_topic").alias("__back"))
-        pairs = (
-            chosen.join(back, "nearest_topic")
-            .where((F.col("__back") == F.col("topic_id")) & (F.col("topic_id") < F.col("nearest_topic")))
-            .orderBy(F.col("similarity").desc(), "topic_id")
-            .limit(remaining - nr_topics)
-            .select(F.col("nearest_topic").alias("topic_id"), F.col("topic_id").alias("__into"))
-        )
-        pairs = materialise(pairs)
-        if pairs.isEmpty():
-            low, high = F.least("topic_id", "nearest_topic"), F.greatest("topic_id", "nearest_topic")
-            closest = chosen.select("similarity", low.alias("__into"), high.alias("topic_id"))
-            pairs = materialise(closest.orderBy(F.col("similarity").desc(), "__into", "topic_id").limit(1).drop("similarity"))
-        target = F.coalesce("__into", "topic_id")
-        moved = live.join(pairs, "topic_id", "left").withColumn("topic_id", target)
-        weighted = F.transform("embedding", lambda x: x * F.col("n_units"))
-        total = F.sum("n_units")
-        live = materialise(
-            moved.select("topic_id", "n_units", weighted.alias("__w"))
-            .groupBy("topic_id")
-            .agg(vector_to_array(Summarizer.sum(array_to_vector("__w"))).alias("__sum"), total.alias("n_units"))
-            .select("topic_id", F.transform("__sum", lambda x: x / F.col("n_units")).alias("embedding"), "n_units")
-        )
-        into = pairs.select(F.col("topic_id").alias("merged_topic"), "__into")
-        mapping = materialise(
-            mapping.join(into, "merged_topic", "left").select(
-                "topic_id", F.coalesce("__into", "merged_topic").alias("merged_topic")
-            )
-        )
-        before, remaining = remaining, live.count()
-        if remaining >= before:
-            raise RuntimeError("merging topics made no progress")
-    return mapping.unionByName(outliers)
-
-
 def rank_topics(assignments: DataFrame) -> DataFrame:
     """Renumber topics 0, 1, ... from the largest to the smallest; -1 stays."""
     sizes = assignments.where(F.col("topic_id") != OUTLIER).groupBy("topic_id").count()

@@ -56,6 +56,9 @@ class EmbeddingOptions:
 class TopicOptions:
     backend: str = "simple"  # or "density"
     components: int = 5
+    # How the density backend reduces vectors: "pca", or "neighbours" (eigenvectors of the graph of so many neighbours).
+    reduction: str = "pca"
+    n_neighbours: int = 15
     # How the density backend finds topics: "varying" (any density) or "grid" (cells of one width).
     clustering: str = "varying"
     cell_width: float = 0.15

@@ -6,18 +6,18 @@ from collections.abc import Callable
 from functools import partial, reduce
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions import text as tx
 from ..functions.flags import flag_columns, priority_label
 from ..functions.vectors import HashProvider, cosine, hash_embedding
-from ..operators import density, embed, enrich, ingest, messages, metrics, report, terms, topics, units
+from ..operators import dendrogram, density, embed, enrich, ingest, messages, metrics, report, spectral, terms, topics, units
 from ..options import EmbeddingOptions, EnrichmentOptions, MessageOptions, ReportOptions, TopicOptions, UnitOptions
 from ..session import ensure_checkpoint_dir, materialise
 from ..sources.adapters import WORD_FLAGS, dialogs, labelled_vectors, language_topics, raw_export, table
-from ..sources.tables import read_csv, write_table
+from ..sources.tables import read_csv, write_report, write_table
 from . import check_sql as q
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -570,29 +570,31 @@ def outlier_reassignment_by_terms(spark, folder):
     return topics.reassign_outliers_by_terms(docs, weights, "text")
 
 
-def reduction_sql(target: int, rounds: int) -> str:
-    """Merging of mutually nearest topics, round by round; each round merges a pair at least."""
+def reduction_sql(*targets: int, n_topics: int = 10) -> str:
+    """Average linkage: the most similar pair of topics is merged at a time; cuts are taken at the ``targets``."""
     parts = [
         f"""WITH {q.vector_topics_cte()}, sizes AS (SELECT topic_id, count(*) AS n FROM vectors GROUP BY 1),
 c0 AS MATERIALIZED (SELECT topic_id AS t, pos, c AS x, n FROM centroids JOIN sizes USING (topic_id)),
 m0 AS MATERIALIZED (SELECT DISTINCT t AS topic_id, t AS merged_topic FROM c0)"""
     ]
-    for i in range(rounds):
+    for i in range(n_topics - min(targets)):
         parts.append(
-            f"""s{i} AS (SELECT a.t, b.t AS o, round(sum(a.x * b.x) / sqrt(sum(a.x * a.x) * sum(b.x * b.x)), 12) AS sim
-  FROM c{i} a JOIN c{i} b ON a.pos = b.pos AND a.t <> b.t GROUP BY ALL),
-b{i} AS MATERIALIZED (SELECT * FROM s{i} QUALIFY row_number() OVER (PARTITION BY t ORDER BY sim DESC, o) = 1),
-p{i} AS MATERIALIZED (SELECT p.o AS t, p.t AS into_t FROM b{i} p JOIN b{i} r ON r.t = p.o AND r.o = p.t WHERE p.t < p.o
-  QUALIFY row_number() OVER (ORDER BY p.sim DESC, p.t) <= (SELECT count(DISTINCT t) FROM c{i}) - {target}),
+            f"""s{i} AS (SELECT a.t AS into_t, b.t, round(sum(a.x * b.x), 12) AS sim FROM c{i} a JOIN c{i} b ON a.pos = b.pos AND a.t < b.t GROUP BY ALL),
+p{i} AS MATERIALIZED (SELECT t, into_t FROM s{i} ORDER BY sim DESC, into_t, t LIMIT 1),
 c{i + 1} AS MATERIALIZED (SELECT coalesce(into_t, t) AS t, pos, sum(n * x) / sum(n) AS x, sum(n) AS n FROM c{i} LEFT JOIN p{i} USING (t) GROUP BY ALL),
 m{i + 1} AS MATERIALIZED (SELECT topic_id, coalesce(into_t, merged_topic) AS merged_topic FROM m{i} LEFT JOIN p{i} ON t = merged_topic)"""
         )
-    return ", ".join(parts) + f" SELECT topic_id, merged_topic FROM m{rounds}"
+    cuts = " UNION ALL ".join(f"SELECT {n} AS nr_topics, topic_id, merged_topic FROM m{n_topics - n}" for n in targets)
+    return ", ".join(parts) + " " + cuts
 
 
-@query(reduction_sql(4, 6))
+@query(reduction_sql(7, 4, 2))
 def topic_reduction(spark, folder):
-    return topics.reduce_topics(topics.topic_centroids(labelled_vectors(spark, folder)), 4)
+    """Three cuts of one tree of topics."""
+    centroids = topics.topic_centroids(labelled_vectors(spark, folder))
+    tree = dendrogram.topic_tree(centroids)
+    cuts = [dendrogram.cut_tree(tree, centroids, n).select(F.lit(n).alias("nr_topics"), "topic_id", "merged_topic") for n in (7, 4, 2)]
+    return reduce(DataFrame.unionByName, cuts)
 
 
 @query()
@@ -615,6 +617,13 @@ def density_topics(spark, folder):
     return document_density(spark, folder, "grid")
 
 
+@query()
+def neighbour_coordinates(spark, folder):
+    """Documents reduced by the eigenvectors of their neighbour graph; held by tests against dense matrices."""
+    docs = table(spark, folder, "documents").select(F.col("doc_id").alias("unit_id"), hash_embedding(F.col("text")).alias("embedding"))
+    return spectral.neighbour_coordinates(docs, 5).select("unit_id", F.posexplode("reduced").alias("pos", "x"))
+
+
 @query()
 def varying_topics(spark, folder):
     """Documents embedded, reduced and clustered by varying density; held by a brute-force test."""
@@ -1005,60 +1014,101 @@ def figure_sizes(spark, folder):
     return report.figure_sizes(base_summary(spark, folder)[0])
 
 
-def section_sql(number: int, line: str, source: str) -> str:
-    return f"SELECT {number} AS section, {line} AS line FROM ({source})"
+def section_sql(number: int, line: str, source: str, order: str) -> str:
+    return f"SELECT {number} AS section, CAST(row_number() OVER (ORDER BY {order}) + 99 AS INTEGER) AS rank, {line} AS line FROM ({source})"
 
 
 TITLE = "'- Topic ' || topic_id || ': ' || title"
 HEADS = " UNION ALL ".join(
-    [f"SELECT 0 AS section, {q.quoted(fixed.REPORT_TITLE)} AS line"]
-    + [f"SELECT {i}, unnest(['', '## {name}', ''])" for i, name in enumerate(fixed.REPORT_SECTIONS)]
+    [f"SELECT 0 AS section, -2000 AS rank, {q.quoted(fixed.REPORT_TITLE)} AS line"]
+    + [f"SELECT {i}, unnest([{3 * i - 999}, {3 * i + 2}, {3 * i + 3}]), unnest(['', '## {name}', ''])" for i, name in enumerate(fixed.REPORT_SECTIONS)]
 )
 REPORT = " UNION ALL ".join(
     [
         HEADS,
-        """SELECT 0, unnest(['- Total input rows: ' || count(*), '- User rows: ' || count(*) FILTER (role = 'user'),
+        """SELECT 0, unnest([100, 101, 102, 103, 104]), unnest(['- Total input rows: ' || count(*), '- User rows: ' || count(*) FILTER (role = 'user'),
   '- Assistant rows: ' || count(*) FILTER (role = 'assistant'), '- Unique users: ' || count(DISTINCT "user"),
   '- Unique chats: ' || count(DISTINCT chat_uuid)]) FROM dialogs""",
-        "SELECT 1, unnest(['- Analysis units: ' || sum(n_units), '- Topics: ' || count(*)]) FROM titled",
-        section_sql(2, f"{TITLE} || ' (units=' || n_units || ', users=' || n_users || ', keywords=' || topic_keywords || ')'", "FROM titled"),
-        section_sql(3, f"{TITLE} || ' (users=' || n_users || ', units=' || n_units || ')'", "FROM titled"),
-        section_sql(4, f"{TITLE} || ' (growth_score=' || printf('%.2f', growth_score) || ')'", "FROM titled JOIN growth USING (topic_id)"),
-        section_sql(5, f"{TITLE} || ' (error_share=' || printf('%.2f%%', 100 * has_error_terms_share) || ')'", "FROM titled"),
+        "SELECT 1, unnest([100, 101]), unnest(['- Analysis units: ' || sum(n_units), '- Topics: ' || count(*)]) FROM titled",
+        section_sql(2, f"{TITLE} || ' (units=' || n_units || ', users=' || n_users || ', keywords=' || topic_keywords || ')'", "FROM titled", "n_units DESC, topic_id"),
+        section_sql(3, f"{TITLE} || ' (users=' || n_users || ', units=' || n_units || ')'", "FROM titled", "n_users DESC, n_units DESC, topic_id"),
+        section_sql(4, f"{TITLE} || ' (growth_score=' || printf('%.2f', growth_score) || ')'", "FROM titled JOIN growth USING (topic_id)", "growth_score DESC, topic_id"),
+        section_sql(5, f"{TITLE} || ' (error_share=' || printf('%.2f%%', 100 * has_error_terms_share) || ')'", "FROM titled", "has_error_terms_share DESC, n_units DESC, topic_id"),
         section_sql(
-            6, "'- ' || domain || ': topic ' || topic_id || ' (' || title || ') with share ' || printf('%.2f%%', 100 * share)", "FROM tops"
+            6, "'- ' || domain || ': topic ' || topic_id || ' (' || title || ') with share ' || printf('%.2f%%', 100 * share)", "FROM tops", "domain_no"
         ),
         section_sql(
             7,
             f"'- Topic ' || topic_id || ': ' || {q.quoted(fixed.MOCK_TEXTS['suspected_product_action'])} || ' (JTBD: ' "
             f"|| {q.quoted(fixed.MOCK_TEXTS['suspected_jtbd'])} || ')'",
             "FROM titled",
+            "n_units DESC, topic_id",
         ),
         section_sql(
             8,
             """'- Topic ' || topic_id || ' | ' || "user" || ' | ' || timestamp || ': ' || text""",
             "FROM examples ORDER BY topic_id, example_rank LIMIT 15",
+            "topic_id, example_rank",
         ),
     ]
 )
 
 
-@query(
+REPORT_TABLES = (
     f"""{REQUESTS}, titled AS (SELECT s.*, {MOCK_TITLE.replace("topic_keywords", "s.topic_keywords")} AS title FROM summary s),
 growth AS (SELECT topic_id, CASE WHEN count(*) > 1 THEN (last(n_units ORDER BY week) - first(n_units ORDER BY week)) / (count(*) - 1) ELSE 0.0 END AS growth_score
   FROM (SELECT * FROM trends QUALIFY row_number() OVER (PARTITION BY topic_id ORDER BY week DESC) <= 4) GROUP BY 1),
 domains AS ("""
     + " UNION ALL ".join(
-        f"SELECT {q.quoted(label)} AS domain, topic_id, title, n_units, {share} AS share FROM titled"
-        for share, label in fixed.REPORT_DOMAINS.items()
+        f"SELECT {n} AS domain_no, {q.quoted(label)} AS domain, topic_id, title, n_units, {share} AS share FROM titled"
+        for n, (share, label) in enumerate(fixed.REPORT_DOMAINS.items())
     )
     + f"""), tops AS (SELECT * FROM domains QUALIFY row_number() OVER (PARTITION BY domain ORDER BY share DESC, n_units DESC, topic_id) = 1 AND share > 0)
-SELECT section, line FROM ({REPORT})"""
+"""
 )
+
+
+@query(f"{REPORT_TABLES} SELECT section, rank, line FROM ({REPORT})")
 def report_lines(spark, folder):
     summary, placed = base_summary(spark, folder)
     quality = ingest.quality_report(dialogs(spark, folder))
     examples = hashed_examples(placed, 3)
     final = report.final_summary(summary, enrich.enrich_topics(summary, examples))
     lines = report.report_lines(materialise(final), metrics.topic_trends(placed), examples, quality, ReportOptions())
-    return lines.select("section", "line")
+    return lines.select("section", "rank", "line")
+
+
+@query(f"{REPORT_TABLES} SELECT unnest(string_split(line, chr(10))) AS line FROM ({REPORT})")
+def stored_report(spark, folder):
+    """The report as it is read back from its text file."""
+    path = shared_path(spark, "report")
+    lines = report_lines(spark, folder)
+    write_report(lines, path)
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
+@query(f"WITH {q.vector_topics_cte(9)}, {q.NEAREST} SELECT unit_id, topic_id AS nearest_topic, round(similarity, 6) AS similarity FROM best")
+def stored_model_topics(spark, folder):
+    """Units placed by a model that was stored as tables and read again."""
+    vectors, path = labelled_vectors(spark, folder, 9), shared_path(spark, "model")
+    write_table(topics.topic_centroids(vectors.where("topic_id <> -1")), path)
+    found = topics.nearest_centroid(vectors.where("topic_id = -1"), spark.read.parquet(path))
+    return rounded(found.select("unit_id", "nearest_topic", "similarity"))
+
+
+@query(
+    """WITH docs AS (SELECT doc_id, CASE WHEN source = 'src0' THEN -1 ELSE ascii(lang) * 1000 + ascii(substr(lang, 2, 1)) END AS topic_id, text FROM documents),
+first AS (SELECT topic_id, string_agg(text, ' | ' ORDER BY doc_id) AS examples
+  FROM (SELECT * FROM docs QUALIFY row_number() OVER (PARTITION BY topic_id ORDER BY doc_id) <= 2) GROUP BY 1)
+SELECT topic_id, count(*) AS n_units, count(DISTINCT doc_id % 7) AS n_users, count(DISTINCT doc_id % 5) AS n_chats, any_value(examples) AS examples
+FROM docs JOIN first USING (topic_id) WHERE topic_id <> -1 GROUP BY 1"""
+)
+def requests_without_outliers(spark, folder):
+    """Requests for a summary that holds the outlier topic, which is never sent out."""
+    docs = language_topics(spark, folder, "src0")
+    distinct = lambda n: F.countDistinct(F.col("unit_id") % n)
+    summary = docs.groupBy("topic_id").agg(F.count(F.lit(1)).alias("n_units"), distinct(7).alias("n_users"), distinct(5).alias("n_chats"))
+    summary = summary.withColumns({"topic_keywords": F.lit(""), "topic_title_auto": F.lit("")})
+    rank = F.row_number().over(Window.partitionBy("topic_id").orderBy("unit_id"))
+    found = enrich.topic_requests(summary, docs.withColumn("example_rank", rank), 2)
+    return found.select("topic_id", "n_units", "n_users", "n_chats", F.array_join("examples", " | ").alias("examples"))

@@ -1,13 +1,15 @@
 """The whole run: each stage is written and the next one reads it back.
 
 Stages can be run one by one from the written tables; a lost executor or a
-restarted driver costs at most the stage in progress.
+restarted driver costs at most the stage in progress.  A resumed run skips
+stages whose input and options are those of their last finished run.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -16,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed
 from ..functions.flags import check_registry
 from ..functions.vectors import HashProvider
-from ..operators import density, embed, enrich, ingest, messages, metrics, report, terms, topics, units
+from ..operators import dendrogram, density, embed, enrich, ingest, messages, metrics, report, terms, topics, units
 from ..options import (
     EmbeddingOptions,
     EnrichmentOptions,
@@ -28,6 +30,16 @@ from ..options import (
 from ..sources.tables import write_report, write_table
 
 
+STARTED, FINISHED = "0 started", "1 finished"
+
+
+def table_fingerprint(df: DataFrame) -> str:
+    """Row count and sum of row hashes: the same for any order and partitions of the rows."""
+    columns = [F.col(f"`{c}`") for c in sorted(df.columns)]
+    row = df.select(F.xxhash64(*columns).cast("decimal(38,0)").alias("h")).agg(F.count("h").alias("n"), F.sum("h").alias("h")).first()
+    return f"{sorted(df.dtypes)} {row.n} {row.h}"
+
+
 @dataclass(frozen=True)
 class TopicRun:
     """Parameters and providers of a run; ``folder`` is a path all machines share."""
@@ -64,6 +76,18 @@ class TopicRun:
         log = self.spark.createDataFrame(entries, "stage string, table string, rows bigint")
         log.withColumn("finished_at", F.current_timestamp()).write.mode("append").parquet(self.path("run_log"))
 
+    # --- finished stages --------------------------------------------------------
+
+    def _finished(self) -> dict[str, str]:
+        """Key of each stage's last run, if it was finished; a started one takes its stage's place."""
+        log = embed.read_or_empty(self.spark, self.path("manifest"), "stage string, key string, state string, at timestamp")
+        last = log.groupBy("stage").agg(F.max_by(F.struct("key", "state"), F.struct("at", "state")).alias("last"))
+        return {r.stage: r.last.key for r in last.collect() if r.last.state == FINISHED}
+
+    def _mark(self, stage: str, key: str, state: str) -> None:
+        row = self.spark.createDataFrame([(stage, key, state)], "stage string, key string, state string")
+        row.withColumn("at", F.current_timestamp()).write.mode("append").parquet(self.path("manifest"))
+
     # --- stages -----------------------------------------------------------------
 
     def ingest(
@@ -115,6 +139,8 @@ class TopicRun:
             fallback = F.concat(F.lit("topic_"), F.col("topic_id").cast("string"))
         else:
             raise ValueError(f"unknown topic backend: {o.backend}")
+        counts = assigned.agg(F.countDistinct(F.when(F.col("topic_id") != topics.OUTLIER, F.col("topic_id"))).alias("topics"), F.count_if(F.col("topic_id") == topics.OUTLIER).alias("outliers")).first()
+        self._log("topics", {"topics": counts.topics, "outliers": counts.outliers})
         titles = terms.topic_titles(names, terms.topic_keywords(ranked), fallback)
         return self._store("topics", "topic_titles", titles.select("topic_id", "keywords", "title"))
 
@@ -122,7 +148,8 @@ class TopicRun:
         o = self.topics
         found = density.density_topics(vectors, o).select("unit_id", "embedding", "topic_id")
         if o.nr_topics is not None:
-            merged = topics.reduce_topics(topics.topic_centroids(found), o.nr_topics)
+            tree = self._store("topics", "topic_tree", dendrogram.topic_tree(topics.topic_centroids(found)))
+            merged = dendrogram.cut_tree(tree, found, o.nr_topics)
             found = found.join(merged, "topic_id").select("unit_id", "embedding", F.col("merged_topic").alias("topic_id"))
         found = self._store("topics", "clusters", found)
         assigned = found.select("unit_id", "topic_id")
@@ -201,12 +228,29 @@ class TopicRun:
         write_report(lines, self.path("published/report"))
         return tables
 
-    def run(self, raw: DataFrame, mapping: Mapping[str, str] = fixed.EXPORT_HEADER, **options) -> dict[str, DataFrame]:
-        canonical = self.ingest(raw, mapping, **options)
-        self.preprocess()
-        self.build_units()
-        self.embed()
-        self.assign_topics()
-        self.measure()
-        self.enrich()
-        return self.publish(ingest.quality_report(canonical))
+    def run(self, raw: DataFrame, mapping: Mapping[str, str] = fixed.EXPORT_HEADER, resume: bool = False, **options) -> dict[str, DataFrame]:
+        """All stages; with ``resume`` those are skipped that the folder holds for this input and these options.
+
+        A stage's key hashes the fingerprint of ``raw``, the options of the stage and the keys before it, so a changed option runs
+        its stage and those behind it again.  A stage is marked as started before it writes and as finished behind
+        that, so what a killed run has half written is written anew.  The providers are known by their options alone.
+        """
+        t = self.topics
+        stages = {
+            "ingest": (lambda: self.ingest(raw, mapping, **options), (sorted(mapping.items()), sorted(options.items()))),
+            "preprocess": (self.preprocess, self.messages),
+            "build_units": (self.build_units, self.units),
+            "embed": (self.embed, self.embeddings),
+            "assign_topics": (self.assign_topics, replace(t, representative_examples=0)),
+            "measure": (self.measure, t.representative_examples),
+            "enrich": (self.enrich, self.enrichment),
+        }
+        key, finished = table_fingerprint(raw), self._finished() if resume else {}
+        for name, (stage, chosen) in stages.items():
+            key = hashlib.sha256(f"{key} {name} {chosen!r}".encode()).hexdigest()
+            if finished.get(name) == key:
+                continue
+            self._mark(name, key, STARTED)
+            stage()
+            self._mark(name, key, FINISHED)
+        return self.publish(ingest.quality_report(self.read("raw_normalized")))
