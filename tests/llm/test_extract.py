@@ -106,13 +106,24 @@ def test_boosting_learns_a_rule():
     assert (one.logit(x) > 0).all()
 
 
-@pytest.mark.parametrize("html", ["<" * 200_000, "<a href=\"" * 50_000, "<div>" * 50_000 + "x", "<p>" * 100_000, "</p>" * 100_000, "<!--" * 100_000, "<script>" * 50_000, "<b>x</i>" * 50_000, "<li>" * 60_000, "&" * 200_000, "<div class='" + "a " * 100_000 + "'>x"])
+@pytest.mark.parametrize("html", ["<" * 200_000, "<a href=\"" * 50_000, "<div>" * 50_000 + "x", "<p>" * 100_000, "</p>" * 100_000, "<!--" * 100_000, "<script>" * 50_000, "<b>x</i>" * 50_000, "<li>" * 60_000, "&" * 200_000, "a < b " * 200_000, "<div class='" + "a " * 100_000 + "'>x"])
 def test_hostile_pages_end(trees, html):
     begin = time.perf_counter()
     extract.main_texts([dom.read(html)], trees)
     assert time.perf_counter() - begin < 30
 
 
+def test_end_tags_in_capitals_and_letters_that_grow_when_lowered():
+    for letter in "İI":
+        page = dom.read(f"<head><script>var a = 1;</SCRIPT><STYLE>p {{}}</Style></head><body><p>{letter}stanbul is a city.</p></body>")
+        assert dom.joined(page, ~dom.silent(page)) == f"{letter}stanbul is a city."
+
+
+def test_formulas_and_lone_signs_stay():
+    page = dom.read("<article><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> and a < b < c, d <e>.</p></article>")
+    assert dom.joined(page, ~dom.silent(page)) == "Let x=2 and a < b < c, d ."
+
+
 def test_odd_rows(spark, trees):
     rows = [(1, "u", None), (2, None, ""), (3, "u", "no tags"), (3, "u", "no tags"), (None, "u", PAGES["plain article"][0]), (4, "u", "<article><p>" + PROSE[0] * 3000 + "</p></article>")]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").withColumn("text", F.lit(1)).withColumn("n_chars", F.lit("x"))

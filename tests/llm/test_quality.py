@@ -78,6 +78,15 @@ def test_quality(spark):
     assert {r.kept for r in q.quality(docs, labels.limit(0)).collect() if not r.base_failed} == {True}
 
 
+def test_threshold_is_exact_and_the_same_for_any_partitions(spark):
+    rng = np.random.default_rng(8)
+    llr = np.round(rng.normal(size=5000), 9)
+    found = {q.exact_threshold(spark.createDataFrame([(float(x),) for x in llr], "llr double").repartition(n)) for n in (1, 7, 50)}
+    ordered = np.sort(np.round(llr * q.GRID))
+    assert found == {(2 * ordered[int(np.ceil(q.LOW * 5000)) - 1] - ordered[2499]) / q.GRID}
+    assert q.exact_threshold(spark.createDataFrame([], "llr double")) == float("-inf")
+
+
 def test_scores_are_the_mean_log_ratio(spark):
     rows = [(1, "abcdabcd"), (2, "zz"), (3, "wxyz")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")

@@ -71,9 +71,10 @@ def release() -> None:
         trim(0)
 
 
-def blocks(batches: Iterator[pa.RecordBatch], text: str = "text", size: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that each holds about ``size`` bytes of text at most; workers live on, so each task tidies up first."""
+def blocks(batches: Iterator[pa.RecordBatch], text: str = "text", size: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that each holds about ``size`` bytes of text at most (``BLOCK_BYTES``); workers live on, so each task tidies up first."""
     release()
+    size = size or BLOCK_BYTES
     for batch in batches:
         _, offsets = utf8(batch[text])
         begin = 0

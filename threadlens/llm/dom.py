@@ -15,10 +15,11 @@ BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main "
     "menu nav ol optgroup option p pre section select summary table tbody td tfoot th thead tr ul".split()
 )
-SILENT = frozenset("script style noscript template iframe object embed canvas svg math audio video head title textarea select button datalist".split())
+SILENT = frozenset("script style noscript template iframe object embed canvas svg audio video head title textarea select button datalist".split())
 RAW = frozenset("script style textarea title iframe noscript template".split())
 #: Raw elements that take the rest of the page if they have no end; after any other one without an end the page goes on.
 ENDLESS = frozenset("script style textarea title".split())
+RAW_END = {name: re.compile(f"</{name}", re.IGNORECASE | re.ASCII) for name in RAW}
 #: What can stand in a head; any other element, and text, ends an open head.
 HEAD = frozenset("html head base basefont bgsound link meta title style script noscript template noframes".split())
 CLOSES = {  # an opening tag ends the nearest of these, unless one of the fences lies between
@@ -90,6 +91,7 @@ class _Reader:
         self.open: Counter[str] = Counter()
         self.last = {q: html.rfind(q) for q in "\"'"}
         self.endless: set[str] = set()
+        self.more: dict[int, list[str]] = {}  # what follows a run of text in the same block, by its node
         self._start("#page", "")
 
     def _add(self, tag: str, words: tuple[int, int], text: str) -> int:
@@ -145,7 +147,6 @@ class _Reader:
 
     def read(self) -> Page:
         html, at = self.html, 0
-        low = None
         while at < len(html):
             mark = html.find("<", at)
             if mark < 0:
@@ -177,10 +178,10 @@ class _Reader:
                     self._end(name)
                     continue
                 if name in RAW:
-                    low = low if low is not None else html.lower()
                     if name in self.endless:
                         continue
-                    stop = low.find(f"</{name}", at) if len(low) == len(html) else html.find(f"</{name}", at)
+                    found = RAW_END[name].search(html, at)
+                    stop = found.start() if found else -1
                     if stop < 0 and name not in ENDLESS:
                         self.endless.add(name)  # no later one has an end either
                         continue
@@ -190,6 +191,8 @@ class _Reader:
                 self._open_tag(name, inner)
         while self.stack:
             self._pop()
+        for i, parts in self.more.items():
+            self.page.texts[i] += "".join(parts)
         return self.page
 
     def _end_head(self) -> None:
@@ -224,7 +227,7 @@ class _Reader:
             self._end_head()
         top = self.stack[-1]
         if len(self.page.tags) > top + 1 and self.page.tags[-1] == TEXT and self.page.parents[-1] == top and self.page.blocks[-1] == self.block:
-            self.page.texts[-1] += text
+            self.more.setdefault(len(self.page.texts) - 1, []).append(text)
         else:
             self._add(TEXT, (0, 0), text)
 

@@ -23,6 +23,8 @@ REPEAT = 8
 MIN_WORDS, MAX_REPEATED = 20, 30
 #: The threshold lies as far below this quantile of trusted scores as the quantile lies below their median.
 LOW = 0.001
+#: Places of the grid for each unit of the mean log ratio.
+GRID = 10_000
 #: The trusted multinomial is fitted on so many documents at most, those whose ids hash lowest; all else covers all rows.
 MAX_TRUSTED = 200_000
 SYMBOL = np.zeros(256, bool)
@@ -122,6 +124,20 @@ def score(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, {BASE}, llr double")
 
 
+def exact_threshold(passed: DataFrame) -> float:
+    """Twice the ``LOW`` quantile less the median of ``llr``, both exact on a grid; minus infinity without rows.
+
+    All rows are counted by their place on the grid, so the order and partitions of the table do not show.  Mean log ratios
+    lie between the bounds of the weights, so there are some 200,000 places at most.
+    """
+    cells = passed.groupBy(F.round(F.col("llr") * GRID).cast("bigint").alias("cell")).agg(F.count("*").alias("n")).orderBy("cell").toArrow()
+    if not cells.num_rows:
+        return float("-inf")
+    upto = np.cumsum(cells["n"].to_numpy())
+    low, middle = (int(cells["cell"].to_numpy()[np.searchsorted(upto, q * upto[-1])]) for q in (LOW, 0.5))
+    return (2 * low - middle) / GRID
+
+
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, base counts, base_failed, llr, threshold and kept.
 
@@ -135,8 +151,7 @@ def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     trusted = docs.select("doc_id", "text").join(F.broadcast(fitted), "doc_id", "left_semi")
     scored = staged(score(docs, log_ratio(place_counts(trusted), place_counts(docs))), "scores")
     passed = scored.where(f"n_words >= {MIN_WORDS}").join(good.where("NOT half"), "doc_id", "left_semi")
-    low, middle = passed.agg(F.percentile_approx("llr", [LOW, 0.5], 100_000)).first()[0] or (None, None)
-    threshold = float("-inf") if low is None else 2 * low - middle
+    threshold = exact_threshold(passed)
     failed = F.expr(f"n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEATED} * n_words")
     out = scored.withColumn("base_failed", failed).withColumn("threshold", F.lit(threshold))
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= F.col("threshold")))
