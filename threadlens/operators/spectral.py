@@ -53,14 +53,14 @@ def _products(rows: DataFrame, left: tuple[str, ...], right: tuple[str, ...]) ->
     """Transposed left columns times (left and right) columns, summed over all rows: partial sums leave the tasks."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = 0
-        for batch in batches:
+        for batch in filter(lambda b: b.num_rows, batches):
             a = np.hstack([matrix(batch[c], batch.num_rows) for c in left])
             b = np.hstack([matrix(batch[c], batch.num_rows) for c in right])
             total = total + np.hstack([a.T @ a, a.T @ b])
         if not np.isscalar(total):
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(total.size)), pa.array(total.ravel())], ["at", "x"])
 
-    sums = rows.select(*left, *right).mapInArrow(count, "at bigint, x double").groupBy("at").agg(F.sum("x").alias("x")).orderBy("at").toArrow()
+    sums = rows.select(*dict.fromkeys(left + right)).mapInArrow(count, "at bigint, x double").groupBy("at").agg(F.sum("x").alias("x")).orderBy("at").toArrow()
     values = sums["x"].to_numpy()
     size = round((len(values) / 2) ** 0.5)
     return values.reshape(size, 2 * size)
@@ -98,7 +98,7 @@ def leading_eigenvectors(edges: DataFrame, nodes: DataFrame, count: int, toleran
         names = ["node", "x", "ax", "p", "ap", "w"]
 
         def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in filter(lambda b: b.num_rows, batches):
                 z, az = (np.hstack([matrix(batch[c], batch.num_rows) for c in cs]) for cs in (columns, images))
                 away = turn.copy()
                 away[:held] = 0
