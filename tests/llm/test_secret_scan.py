@@ -53,6 +53,31 @@ def test_fixed_patterns_like_brute_force(seed):
         assert [s for s in ss.spans(text) if s[1] < 3] == slow_base(text)
 
 
+def test_long_names_and_constants_of_many_parts():
+    for name in ("signing_key" + " " * 500, "config" + ".part" * 100 + ".signing_key", "signing_key: list[" + "a." * 200 + "b]"):
+        assert [text[s:e] for text in (name + " = 'q8Zk3Lm09xPw'",) for s, _, e in ss.spans(text)] == ["q8Zk3Lm09xPw"]
+    values = [f"q8Zk{i}" for i in range(150)]
+    for text in (
+        "signing_key = " + " + ".join(f"'{v}'" for v in values),
+        "k = 'q8Zk0'\n" + "".join(f"k = k + '{v}'\n" for v in values[1:]) + "signing_key = k + k",
+        "k = 'q8Zk149'\n" + "".join(f"k = '{v}' + k\n" for v in values[148::-1]) + "a = k + k\nsigning_key = a + k",
+    ):
+        assert sorted(text[s:e] for s, _, e in ss.spans(text)) == sorted(values)
+    many = "k = 'v1'\n" + "k = k + 'w2'\n" * 40_000
+    for text in (many.replace("k", "signing_key"), many + "token = k + k\n" * 20_000, "k = 'v1'\n" + "k = 'w2' + k\n" * 40_000 + "token = k"):
+        begin = time.perf_counter()
+        assert len([s for s in ss.spans(text) if s[1] == 3]) == 40_001
+        assert time.perf_counter() - begin < 20
+
+
+def test_joined_values_score_like_whole_ones():
+    for parts in (["exam", "ple12"], ["ch", "ange_", "me"], ["<a", "bcdefghij"], ["q8Zk3L", "m09xPw", " "], ["", "xx", "", "x1234567"], ["null", "null"]):
+        joined = ss.Look.of("")
+        for part in parts:
+            joined = joined + ss.Look.of(part)
+        assert joined == ss.Look.of("".join(parts)) and joined.score() == ss.Look.of("".join(parts)).score()
+
+
 def test_hostile_texts_stay_linear():
     for text in ('x="' * 40_000, "x = x + x\n" * 20_000, "password" * 50_000, "a=" * 100_000, "k = 'v1'\n" + "k = k + 'w2'\n" * 5_000, "f" * 2_000_000):
         begin = time.perf_counter()

@@ -27,11 +27,10 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 MIN_ASSIGNED = 8
 
 SIGN = re.compile(r"=>|:=|[=!<>]=+|[:=]")
-NAME = re.compile(r"([A-Za-z_$][\w$]*(?:(?:[.\-]|->|::)[A-Za-z_$][\w$]*)*)[\"'`]?\]?(?:[ \t]*:[ \t]*[A-Za-z_][\w.\[\]|]*)?[ \t]*\Z", re.ASCII)
-#: Longest name with its quotes, type and blanks, in characters.
-NAME_REACH = 160
-#: Literals that one constant is followed through: expressions that grow in a loop stay linear.
-MAX_PARTS = 64
+#: A name of any length with its quote, bracket, type and blanks, read backwards from the sign: parts joined by ``.``, ``-``, ``->`` or ``::``.
+NAME = re.compile(r"[ \t]*+(?:[\w.\[\]|]++(?<=[A-Za-z_])[ \t]*+:[ \t]*+)?\]?[\"'`]?([\w$]*[A-Za-z_$](?:(?:[.\-]|>-|::)[\w$]*[A-Za-z_$])*)", re.ASCII)
+#: Literals that a value lists itself; one of more refers to the values that it is made of, so expressions that grow in a loop stay linear.
+LISTED = 64
 #: Quoted literals have any length: the next quote of a kind ends the one before, so one scan a kind and line fails at most.
 PART = re.compile(
     r"""[ \t]*(?:[rRbBuUfF]{0,2}(?:"((?:[^"\\\n]|\\.)*+)"|'((?:[^'\\\n]|\\.)*+)'|`([^`\n]*+)`)|([^\s"'`,;(){}\[\]<>+]+(?:\+[^\s"'`,;(){}\[\]<>+]+)*))"""
@@ -44,7 +43,10 @@ PIECES = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 SENSITIVE = {"password": 4, "passwd": 4, "passphrase": 4, "pwd": 4, "pass": 3, "secret": 4, "token": 3, "credential": 4, "credentials": 4, "apikey": 4, "bearer": 3, "signature": 2, "auth": 2, "key": 1, "salt": 1, "cookie": 1, "session": 1, "dsn": 1, "private": 1}
 PAIRS = {("api", "key"), ("access", "key"), ("private", "key"), ("secret", "key"), ("signing", "key"), ("encryption", "key"), ("auth", "key"), ("master", "key"), ("service", "key")}
 HARMLESS = {"public", "name", "count", "length", "size", "max", "min", "limit", "type", "id", "file", "path", "url", "uri", "policy", "field", "hint", "label", "expiry", "ttl", "column", "index", "foreign", "primary", "sort"}
-PLACEHOLDER = re.compile(r"(?i)change_?me|example|placeholder|your[_-]|dummy|redacted|xxx|\*\*\*|\.\.\.|^(?:none|null|nil|true|false|undefined|todo|test|default|string)$|^[<{$%].*")
+PLACEHOLDER = re.compile(r"(?i)change_?me|example|placeholder|your[_-]|dummy|redacted|xxx|\*\*\*|\.\.\.")
+WHOLE_PLACEHOLDER = re.compile(r"(?i)^(?:none|null|nil|true|false|undefined|todo|test|default|string)$|^[<{$%].*")
+#: Characters that no placeholder is longer than.
+REACH = 16
 MIN_LITERAL, MIN_SCORE = 8, 6
 
 
@@ -66,24 +68,119 @@ def name_score(name: str) -> int:
     return best - 3 * (parts[-1] in HARMLESS if parts else 0)
 
 
-def literal_score(value: str) -> int:
-    """How much a value looks made by a machine: its length, classes of characters and entropy."""
-    if len(value) < MIN_LITERAL or PLACEHOLDER.search(value):
-        return -10
-    counts = Counter(value)
-    entropy = -sum(n / len(value) * math.log2(n / len(value)) for n in counts.values())
-    classes = sum(any(map(f, value)) for f in (str.islower, str.isupper, str.isdigit, lambda c: not c.isalnum()))
-    return 1 + (entropy >= 2.5) + (entropy >= 3.2) + (classes >= 2) + any(map(str.isdigit, value)) - 3 * any(map(str.isspace, value))
+@dataclass(frozen=True)
+class Look:
+    """What the score of a text needs to know, also of one that is put together from others."""
+
+    size: int
+    counts: Counter
+    head: str
+    tail: str
+    placeholder: bool
+
+    @classmethod
+    def of(cls, text: str) -> Look:
+        return cls(len(text), Counter(text), text[:REACH], text[-REACH:], bool(PLACEHOLDER.search(text)))
+
+    def __add__(self, other: Look) -> Look:
+        counts = self.counts.copy()
+        counts.update(other.counts)
+        head, tail = (self.head + other.head)[:REACH], (self.tail + other.tail)[-REACH:]
+        return Look(self.size + other.size, counts, head, tail, self.placeholder or other.placeholder or bool(PLACEHOLDER.search(self.tail + other.head)))
+
+    def score(self) -> int:
+        """How much a value looks made by a machine: its length, classes of characters and entropy."""
+        if self.size < MIN_LITERAL or self.placeholder or WHOLE_PLACEHOLDER.search(self.head):
+            return -10
+        entropy = -sum(n / self.size * math.log2(n / self.size) for n in self.counts.values())
+        classes = sum(any(map(f, self.counts)) for f in (str.islower, str.isupper, str.isdigit, lambda c: not c.isalnum()))
+        return 1 + (entropy >= 2.5) + (entropy >= 3.2) + (classes >= 2) + any(map(str.isdigit, self.counts)) - 3 * any(map(str.isspace, self.counts))
+
+
+class Value:
+    """What a name is given: literals and earlier values in order; a literal counts once, where it first stands."""
+
+    __slots__ = ("parts", "apart", "_look", "_told")
+
+    def __init__(self, parts: list[Literal | Value], apart: bool):
+        self.parts, self.apart = parts, apart  # apart: no two parts share a literal
+        self._look, self._told = None, False
+
+    def listed(self) -> bool:
+        return len(self.parts) <= LISTED and not any(isinstance(p, Value) for p in self.parts)
+
+    def look(self) -> Look:
+        """The look of all literals, joined; along one earlier value after the other, from the last one that is known."""
+        path = [self]
+        while path[-1]._look is None and path[-1].apart and (below := [p for p in path[-1].parts if isinstance(p, Value)]):
+            path.append(below[0])
+        found = path[-1]._look or Look.of("".join(p.value for p in flat([path[-1]])))
+        path[-1]._look = found
+        for value in reversed(path[:-1]):
+            at = next(i for i, p in enumerate(value.parts) if isinstance(p, Value))
+            before, after = ("".join(p.value for p in side) for side in (value.parts[:at], value.parts[at + 1 :]))
+            found = Look.of(before) + found + Look.of(after)
+            if value in path[:2]:
+                value._look = found
+        return found
+
+    def tell(self, places: set[tuple[int, int]]) -> None:
+        """Add the places of all literals; what is in ``places`` already is not walked again."""
+        waiting = [self]
+        while waiting:
+            value = waiting.pop()
+            if not value._told:
+                value._told = True
+                places.update((p.begin, p.end) for p in value.parts if isinstance(p, Literal) and p.value)
+                waiting += [p for p in value.parts if isinstance(p, Value)]
+
+
+def flat(parts: list[Literal | Value]) -> list[Literal]:
+    """All literals in order, each once."""
+    found, met, waiting = {}, set(), [iter(parts)]
+    while waiting:
+        part = next(waiting[-1], None)
+        if part is None:
+            waiting.pop()
+        elif isinstance(part, Literal):
+            found[part] = None
+        elif id(part) not in met:
+            met.add(id(part))
+            waiting.append(iter(part.parts))
+    return list(found)
+
+
+def value_of(parts: list[Literal | Value], new: bool) -> Value:
+    """The value of an expression; ``new``: no value has its literals yet."""
+    parts = list({id(p) if isinstance(p, Value) else p: p for p in parts}.values())
+    known = [p for p in parts if isinstance(p, Value)]
+    if len(parts) == len(known) == 1:
+        return known[0]
+    if all(p.listed() for p in known) and len(listed := flat(parts)) <= LISTED:
+        return Value(listed, True)
+    return Value(parts, new and len(known) < 2)
+
+
+def last_own(parts: list[Literal | Value], begin: int, new: bool) -> Literal | None:
+    """The last literal, if it stands behind ``begin``; values at the end may repeat what stands before."""
+    own = [i for i, p in enumerate(parts) if isinstance(p, Literal)]
+    if new and (not own or own[-1] == len(parts) - 1):
+        return parts[-1] if own else None
+    if new and not any(isinstance(p, Value) for p in parts[: own[-1]]):
+        return None
+    last = flat(parts)[-1]
+    return last if last.begin >= begin else None
 
 
-def assignments(text: str) -> Iterator[tuple[str, list[Literal]]]:
-    """Name-literal pairs in order; constants assigned before are followed."""
-    constants: dict[str, list[Literal]] = {}
-    done = 0
+def assignments(text: str) -> Iterator[tuple[str, Value]]:
+    """Names and what they are given, in order; constants assigned before are followed."""
+    constants: dict[str, Value] = {}
+    back = text[::-1]
+    done = read = 0
     for sign in SIGN.finditer(text):
         if sign.start() < done or sign[0] not in ("=", ":", ":=", "=>"):
             continue
-        name = NAME.search(text, max(0, sign.start() - NAME_REACH), sign.start())
+        name = NAME.match(back, len(text) - sign.start())
         if not name or text.startswith("//", sign.end()):
             continue
         parts, at, more = [], sign.end(), True
@@ -92,27 +189,31 @@ def assignments(text: str) -> Iterator[tuple[str, list[Literal]]]:
             value = part[group]
             bare = group == 4
             if bare and (known := constants.get(value.rpartition(".")[2])) is not None:
-                parts += known
+                parts.append(known)
             elif not bare or not IDENTIFIER.match(value) or not parts:
                 parts.append(Literal(value, part.start(group), part.end(group)))
             at = part.end()
             more = PLUS.match(text, at)
             at = more.end() if more else at
-        parts = list(dict.fromkeys(parts))[:MAX_PARTS]
         if parts:
-            yield name[1], parts
-            constants[re.split(r"\.|->|::", name[1])[-1]] = parts
-            done = parts[-1].end if parts[-1].begin >= sign.end() else sign.end()
+            # After a constant at the end the signs inside the expression are looked at, too, so its literals may be read again.
+            new = sign.end() >= read
+            given, last = value_of(parts, new), last_own(parts, sign.end(), new)
+            said = name[1][::-1]
+            yield said, given
+            constants[re.split(r"\.|->|::", said)[-1]] = given
+            read = max([read, *(p.end for p in parts if isinstance(p, Literal))])
+            done = last.end if last else sign.end()
 
 
 def literals(text: str) -> set[tuple[int, int]]:
     """Places of literals whose name and value together reach the score."""
     found = set()
     if "=" in text or ":" in text:
-        for name, parts in assignments(text):
+        for name, value in assignments(text):
             weight = name_score(name)
-            if weight > 0 and weight + literal_score("".join(p.value for p in parts)) >= MIN_SCORE:
-                found.update((p.begin, p.end) for p in parts if p.value)
+            if weight > 0 and weight + value.look().score() >= MIN_SCORE:
+                value.tell(found)
     return found
 
 
