@@ -1,5 +1,6 @@
 import hashlib
 import sys
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -26,6 +27,16 @@ def by_hand(text, width):
     return [x / length for x in vector] if length else [1.0] + [0.0] * (width - 1)
 
 
+def test_hashing_holds_the_tokens_of_one_block():
+    texts = [" ".join(f"w{i % 700}x{j}" for j in range(300)) for i in range(6000)] + [None, "", "a b"]
+    tracemalloc.start()
+    found = hash_vectors(texts)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 100 << 20
+    assert np.array_equal(found[:50], hash_vectors(texts[:50])) and np.array_equal(found[-3:], hash_vectors(texts[-3:]))
+
+
 def test_hash_vectors(spark):
     texts = ["sql запрос", "excel отчёт Excel", "", "a b c d e f g a a", " x\x1cy"]
     assert np.allclose(hash_vectors(texts, 32), [by_hand(t, 32) for t in texts], atol=1e-6)
