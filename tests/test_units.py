@@ -59,6 +59,20 @@ def test_one_session_over_many_slices(spark):
     assert got == [list(range(i, min(i + 7, 100))) for i in range(0, 100, 7)]
 
 
+@pytest.mark.parametrize("filled", [10, 100, 1000])
+def test_many_small_slices_in_few_tasks(spark, monkeypatch, filled):
+    monkeypatch.setattr(units, "TASK_ROWS", filled)
+    rows = spark.range(400).selectExpr("id", "id % 3 AS g", "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, CAST(id + id DIV 50 * 30 AS INT)) AS t")
+    limits = (["g"], "t", "id", 20, 7)
+    wanted = sorted(units.segment(rows, *limits).collect())
+    # More slices than cores, so that a task has many of them.
+    cores = spark.sparkContext.defaultParallelism
+    slices = 9 * cores
+    assert units.slice_tasks(slices, 400, 0, cores) == min(slices, max(cores, -(-400 // filled)))
+    assert sorted(units.segment_sliced(rows, *limits, slices, 400).collect()) == wanted
+    assert sorted(units.segment_sliced(rows, *limits, slices).collect()) == wanted
+
+
 def test_all_messages_at_the_same_moment(spark):
     rows = [(i, 0, "u", "c", "user", f"message number {i}") for i in range(50)]
     options = UnitOptions(max_gap_minutes=0, max_messages=4, hot_group_rows=10, slice_rows=5)

@@ -86,6 +86,15 @@ def segment(
     )
 
 
+#: Rows and bytes of text that fill a task, and rows that an id counts in a partition.
+TASK_ROWS, TASK_BYTES, PLACES = 200_000, 64 << 20, 1 << 33
+
+
+def slice_tasks(slices: int, rows: int, size: int, cores: int) -> int:
+    """Tasks for so many slices of known rows and bytes: one a core at least, if there are so many slices."""
+    return min(slices, max(cores, math.ceil(rows / TASK_ROWS), math.ceil(size / TASK_BYTES))) if rows else slices
+
+
 def segment_sliced(
     df: DataFrame,
     group: Sequence[str],
@@ -94,18 +103,26 @@ def segment_sliced(
     max_gap_minutes: int,
     max_rows: int,
     slices: int,
+    rows: int = 0,
+    size: int = 0,
 ) -> DataFrame:
     """Same result as :func:`segment` for groups too big for one task.
 
     Rows are range-partitioned by (group, time, row id) into slices of about the
     same size, whatever the group sizes, and written out once with their slice
-    number.  Each slice is numbered on its own; then one small row per (slice,
+    number.  If their number and bytes of text (``rows``, ``size``) are given, a
+    task cuts as many small slices as fill it, so the number of tasks follows
+    the data and not the slices.  Each slice is numbered on its own; then one small row per (slice,
     group) is scanned to find what the earlier slices carry in: how many
     sessions went before, and how many rows of the session still open.
     """
-    staged = materialise(
-        df.repartitionByRange(slices, *group, time, row_id).withColumn("__slice", F.spark_partition_id())
-    )
+    tasks = slice_tasks(slices, rows, size, df.sparkSession.sparkContext.defaultParallelism)
+    ranged, number = df.repartitionByRange(tasks, *group, time, row_id), F.spark_partition_id().cast("bigint")
+    if tasks < slices:
+        # The id holds the partition and, in its lower bits, the place of the row there.
+        ranged, place = ranged.sortWithinPartitions(*group, time, row_id), F.monotonically_increasing_id() % PLACES
+        number = number * PLACES + F.floor(place / F.lit(math.ceil(rows / slices)))
+    staged = materialise(ranged.withColumn("__slice", number))
     local = (*group, "__slice")
     ordered = Window.partitionBy(*local).orderBy(time, row_id)
     running = ordered.rowsBetween(Window.unboundedPreceding, 0)
@@ -236,7 +253,7 @@ def segment_all(
     if keys is None:
         return segment(df, *limits)
     hot, rest = df.join(keys, list(group), "left_semi"), df.join(keys, list(group), "left_anti")
-    return segment(rest, *limits).unionByName(segment_sliced(hot, *limits, slice_count(rows, size, options)))
+    return segment(rest, *limits).unionByName(segment_sliced(hot, *limits, slice_count(rows, size, options), rows, size))
 
 
 def slice_count(rows: int, size: int, options: UnitOptions) -> int:
@@ -268,7 +285,7 @@ def _merged(
         return plain(rows)
     hot = rows.join(keys, list(GROUP), "left_semi")
     slices = slice_count(hot_rows, hot_bytes, options)
-    sliced = _merge(features(segment_sliced(distinct(clean(hot)), *order, *limits, slices)), flags)
+    sliced = _merge(features(segment_sliced(distinct(clean(hot)), *order, *limits, slices, hot_rows, hot_bytes)), flags)
     return plain(rows.join(keys, list(GROUP), "left_anti")).unionByName(sliced)
 
 
