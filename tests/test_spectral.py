@@ -75,3 +75,14 @@ def test_copies_few_points_and_wrong_options(spark):
     assert got.count() == 50 and got.where("unit_id >= 20").agg(F.countDistinct("reduced")).first()[0] == 1
     with pytest.raises(ValueError, match="positive"):
         spectral.neighbour_coordinates(frame(spark, points), 0)
+
+
+def test_pairs_of_blocks_are_spread_over_the_cores(spark):
+    from threadlens.operators.neighbours import blocks, met
+
+    points = spark.range(5000).selectExpr("id AS node", "array(double(id), 0D) AS vec", "1L AS copies")
+    packed = blocks(points)
+    pairs = packed.selectExpr("block AS a").crossJoin(packed.selectExpr("block AS b"))
+    found = met(pairs, packed, ("node",))
+    assert found.count() == packed.count() ** 2
+    assert found.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
