@@ -83,6 +83,19 @@ def test_no_terms_at_all(spark):
     assert terms.term_weights(terms.term_counts(texts(spark, [(0, 0, "")]), "modeling_text"), 5, 1).count() == 0
 
 
+def test_terms_of_any_length_are_counted_from_one_exchange(spark):
+    rows = [(0, 0, "b a a a"), (1, 0, "a b"), (2, 1, "a"), (3, 1, ""), (4, 1, "A é_1 a é_1 a"), (5, 2, None), (6, 2, "a a")]
+    for low, high in ((1, 1), (1, 2), (2, 2), (1, 3), (2, 3)):
+        want = Counter()
+        for _, topic, text in rows:
+            said = (text or "").lower().split()
+            want.update((topic, " ".join(said[i : i + n])) for n in range(low, high + 1) for i in range(len(said) - n + 1))
+        counted = terms.term_counts(texts(spark, rows), "modeling_text", low, high)
+        assert {(r.topic_id, r.term): r.tf for r in counted.collect()} == want
+        plan = counted._jdf.queryExecution().executedPlan().toString()
+        assert plan.split("== Initial Plan ==")[0].count("ReusedExchange") == high - low
+
+
 # --- labels ----------------------------------------------------------------------------
 
 

@@ -98,9 +98,13 @@ def keyword_tokens(text: Column, stopwords: Sequence[str] = fixed.KEYWORD_STOPWO
     return F.filter(found, lambda t: ~t.isin(*stopwords) & ~t.rlike("^[0-9]+$"))
 
 
+def words(text: Column) -> Column:
+    """Words of lowered text, in order."""
+    return F.regexp_extract_all(F.lower(text), F.lit(fixed.VECTORIZER_TOKEN), F.lit(0))
+
+
 def ngrams(text: Column, low: int = 1, high: int = 1) -> Column:
     """Word n-grams of lowered text, lengths ``low`` to ``high``."""
-    words = F.regexp_extract_all(F.lower(text), F.lit(fixed.VECTORIZER_TOKEN), F.lit(0))
 
     def grams(tokens: Column, n: int) -> Column:
         if n == 1:
@@ -110,8 +114,8 @@ def ngrams(text: Column, low: int = 1, high: int = 1) -> Column:
         return F.coalesce(joined, F.array().cast("array<string>"))
 
     if high == 1:
-        return words
-    return let(words, lambda w: F.concat(*[grams(w, n) for n in range(low, high + 1)]))
+        return words(text)
+    return let(words(text), lambda w: F.concat(*[grams(w, n) for n in range(low, high + 1)]))
 
 
 def auto_title(keywords: Column, fallback: Column) -> Column:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import auto_title, keyword_tokens, ngrams
+from ..functions.text import auto_title, keyword_tokens, words
 from ..session import materialise
 
 # Room for token positions below a unit's order number in one decimal key.
@@ -70,9 +72,25 @@ def topics_needed(min_df: int | float, n_units: int, n_topics: int) -> Column:
 
 
 def term_counts(units: DataFrame, text: str, ngram_min: int = 1, ngram_max: int = 1) -> DataFrame:
-    """(topic_id, term, tf): n-gram counts per topic, combined before the shuffle."""
-    grams = units.select("topic_id", F.explode(ngrams(F.col(text), ngram_min, ngram_max)).alias("term"))
-    return grams.groupBy("topic_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    """(topic_id, term, tf): n-gram counts per topic, combined before the shuffle.
+
+    Only the longest n-grams are counted over the text, one for each word (shorter at the end of a text); the count of a shorter
+    n-gram is the sum over those that begin with it.  Terms are joined once for each distinct n-gram.
+    """
+    # An outer explode keeps the optimiser from cutting each text into words a second time in a filter on their number.
+    found = units.select("topic_id", words(F.col(text)).alias("__words"))
+    found = found.select("topic_id", "__words", F.posexplode_outer("__words").alias("__pos", "__0")).where("__0 IS NOT NULL")
+    names = [f"__{i}" for i in range(max(ngram_max, 1))]
+    following = [F.get("__words", F.col("__pos") + i).alias(name) for i, name in enumerate(names) if i]
+    longest = found.select("topic_id", "__0", *following).groupBy("topic_id", *names).agg(F.count(F.lit(1)).alias("tf"))
+    parts = []
+    for n in range(ngram_min, ngram_max + 1):
+        # A condition with the count stays above the counting, so that all lengths read one exchange.
+        of_length = longest.where(F.when(F.col("tf") > 0, F.col(names[n - 1]).isNotNull()))
+        if n < ngram_max:
+            of_length = of_length.groupBy("topic_id", *names[:n]).agg(F.sum("tf").alias("tf"))
+        parts.append(of_length.select("topic_id", F.concat_ws(" ", *names[:n]).alias("term"), "tf"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def term_weights(counts: DataFrame, min_df: int | float, n_units: int) -> DataFrame:
