@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import auto_title, keyword_tokens, words
-from ..session import materialise
+from ..session import written
 
 # Room for token positions below a unit's order number in one decimal key.
 POSITIONS = 10**9
@@ -101,9 +101,9 @@ def term_weights(counts: DataFrame, min_df: int | float, n_units: int) -> DataFr
     the threshold falls back to one topic.  The (topic, term) counts are written
     out once because two small scalars have to be known before weighting.
     """
-    counts = materialise(counts)
+    counts = written(counts, "term_counts")
     n_topics = counts.select("topic_id").distinct().count()
-    per_term = materialise(counts.groupBy("term").agg(F.sum("tf").alias("__f"), F.count(F.lit(1)).alias("__df")))
+    per_term = written(counts.groupBy("term").agg(F.sum("tf").alias("__f"), F.count(F.lit(1)).alias("__df")), "terms")
     common = per_term.where(F.col("__df") >= topics_needed(min_df, n_units, n_topics))
     size = common.agg(F.sum("__f")).first()[0]
     if size is None and n_topics:
