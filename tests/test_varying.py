@@ -186,3 +186,51 @@ def test_few_rows_one_vector_and_wrong_options(spark):
         varying.varying_topics(one, "reduced", 5, 1)
     with pytest.raises(ValueError, match="differ in length"):
         varying.varying_topics(spark.createDataFrame([(i, [1.0] * (1 + i % 2)) for i in range(40)], "unit_id bigint, reduced array<double>"), "reduced", 5, 20)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_groups_settle_what_one_task_would(seed):
+    """A tree cut into groups at random: what its groups tell and what waits for the rest give the entries of the whole tree."""
+    rng = np.random.default_rng(seed)
+    n, least = 400, 12
+    sizes = {i: int(c) for i, c in enumerate(rng.choice([1, 1, 1, 3, 15], n))}
+    edges = [(float(rng.integers(60)), *sorted((i, int(rng.integers(max(0, i - 25), i))))) for i in range(1, n)]
+    edges = [(w, p, q, p, q) for w, p, q in edges]
+    large = {i for i in sizes if sizes[i] >= least}
+    small = {i: c for i, c in sizes.items() if c < least}
+    whole = varying._enter_in_order(small, large, edges, least)
+    group = rng.integers(0, 4, n) if seed % 2 else np.arange(n) // 100
+    first = []
+    for g in range(4):
+        here = [e for e in edges if g in (group[e[3]], group[e[4]])]
+        own = {i for i in large if group[i] == g}
+        first += varying._enter_in_order({i: c for i, c in small.items() if group[i] == g}, own, here, least)
+    into, by = {i: i for i in large} | {i: c for i, c, _ in first}, {i: e for i, _, e in first if e}
+    assert by
+    left = {}
+    for i in small:
+        if i not in by:
+            left[into[i]] = left.get(into[i], 0) + small[i]
+    rest = [(w, p, q, into[p], into[q]) for w, p, q, _, _ in edges if into[p] != into[q]]
+    known = {into[i] for i in sizes if i in by or i in large}
+    last = {i: (c, e) for i, c, e in varying._enter_in_order(left, known, rest, least)}
+    got = [(i, *((into[i], by[i]) if i in by else last[into[i]])) for i in small]
+    assert sorted(got, key=str) == sorted(whole, key=str)
+
+
+def test_short_vectors_have_small_blocks_in_chunks(spark):
+    points = spark.createDataFrame([(i, [float(x) for x in v], 1) for i, v in enumerate(np.random.default_rng(1).normal(size=(9000, 3)))], "node bigint, vec array<double>, copies bigint")
+    packed = neighbours.blocks(points.coalesce(1))
+    rows = packed.selectExpr("block", "chunk", "size(node) AS n", "node").collect()
+    assert sorted(i for r in rows for i in r.node) == list(range(9000))
+    assert max(r.n for r in rows) <= neighbours.BLOCK // 16 and min(r.n for r in rows) >= 16 and len({r.chunk for r in rows}) < len(rows)
+
+
+def test_neighbours_of_long_vectors(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK", 32)
+    vec = np.random.default_rng(3).normal(size=(90, 20))
+    points = spark.createDataFrame([(i, [float(x) for x in v], 1) for i, v in enumerate(vec)], "node bigint, vec array<double>, copies bigint")
+    gaps = neighbours.distances(vec, vec)
+    for r in neighbours.nearest_neighbours(neighbours.blocks(points), 3, 4).collect():
+        order = [j for j in np.argsort(gaps[r.node], kind="stable") if j != r.node]
+        assert [n.node for n in r.near] == order[:4] and np.isclose(r.core, gaps[r.node, order[1]])

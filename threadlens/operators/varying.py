@@ -5,7 +5,8 @@ spanning tree: every component takes its lightest edge, which the neighbour list
 hold a lighter one confirms.  Edges have one order (weight, then their ends), so the tree is unique.
 
 Going up through the weights, a component below ``min_cluster_size`` is no cluster: its points enter the first component that is
-large enough, at the weight of the edge that leads there.  This is settled for all points in rounds of joins.  What is left
+large enough, at the weight of the edge that leads there.  Groups of points settle this by themselves as far as their edges tell,
+and what waits for points of other groups is settled in rounds of joins until it fits one task.  What is left
 are the places where two large components meet, at most one for every ``min_cluster_size`` rows: a small tree, in which the
 clusters of the greatest excess of mass are chosen.
 """
@@ -22,13 +23,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
-from .density import connected_components
-from .neighbours import block_pairs, blocks, box_gaps, box_spans, distances, distinct_points, lists, matrix, met, nearest_neighbours
+from .neighbours import block_pairs, blocks, box_gaps, box_spans, compared, distances, distinct_points, matrix, nearest_neighbours
 
 OUTLIER = -1
 #: Large components that the tree of clusters may have; it is built on the driver and sent to the tasks.
 MAX_LEAVES = 200_000
-#: Points of a group of light edges that one task puts in order.
+#: Points or components that one task puts in order.
 GROUP = 100_000
 #: Weights below this count as this much, so that copies have a finite density.
 LEAST_WEIGHT = 1e-12
@@ -57,7 +57,7 @@ def _outside(packed: DataFrame) -> DataFrame:
     """(component, best): each component's lightest edges out of the blocks of ``packed`` that may be lighter than ``bound``.
 
     Rows hold lists of node, vec, core, component and bound (what each point's component already has), and the block's box,
-    ``lone`` (its component if it is the only one), greatest core distance and greatest bound.
+    ``lone`` (its component if it is the only one), greatest core distance and greatest bound (of points that can have such an edge, or -1).
     """
     def choose(known: dict[str, np.ndarray], batch: pa.RecordBatch) -> list[np.ndarray]:
         n = batch.num_rows
@@ -71,26 +71,26 @@ def _outside(packed: DataFrame) -> DataFrame:
         close = other & (box_gaps(low, high, known["low"], known["high"]) <= bound[:, None])
         return [np.flatnonzero(c) for c in close]
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for i in range(whole.num_rows):
-                row = whole.slice(i, 1)
-                a, b = ({c: lists(row[f"{side}_{c}"])[0] for c in ("node", "core", "component", "bound")} for side in "ab")
-                x, y = matrix(row["a_vec"], len(a["node"])), matrix(row["b_vec"], len(b["node"]))
-                near = np.flatnonzero(box_gaps(x, x, y.min(axis=0)[None], y.max(axis=0)[None])[:, 0] <= a["bound"])
-                weight = np.maximum(distances(x[near], y), np.maximum(a["core"][near, None], b["core"][None]))
-                weight[a["component"][near, None] == b["component"][None]] = np.inf
-                # Equal weights are put in order by the ends, as everywhere.
-                least = weight.min(axis=1, initial=np.inf)
-                at, to = np.nonzero((weight == least[:, None]) & np.isfinite(least)[:, None] & (least <= a["bound"][near])[:, None])
-                p, q = np.minimum(a["node"][near[at]], b["node"][to]), np.maximum(a["node"][near[at]], b["node"][to])
-                found = pd.DataFrame({"component": a["component"][near[at]], "w": least[at], "p": p, "q": q})
-                found = found.sort_values(["component", "w", "p", "q"]).drop_duplicates("component")
-                yield pa.RecordBatch.from_pandas(found, preserve_index=False)
+    def compare(pairs: Iterator[tuple[dict, dict]]) -> pa.Table:
+        out = []
+        for a, b in pairs:
+            # An edge weighs no less than the core distance of its end.
+            near = np.flatnonzero(a["core"] <= a["bound"])
+            weight = np.maximum(distances(a["vec"][near], b["vec"]), np.maximum(a["core"][near, None], b["core"][None]))
+            weight[a["component"][near, None] == b["component"][None]] = np.inf
+            # Equal weights are put in order by the ends, as everywhere.
+            least = weight.min(axis=1, initial=np.inf)
+            at, to = np.nonzero((weight == least[:, None]) & np.isfinite(least)[:, None] & (least <= a["bound"][near])[:, None])
+            p, q = np.minimum(a["node"][near[at]], b["node"][to]), np.maximum(a["node"][near[at]], b["node"][to])
+            out.append((a["component"][near[at]], least[at], p, q))
+        component, w, p, q = (np.concatenate(column) for column in zip(*out, strict=True))
+        order = np.lexsort((q, p, w, component))
+        first = order[np.diff(component[order], prepend=-1) != 0]
+        return pa.table([c[first] for c in (component, w, p, q)], ["component", *EDGE])
 
     pairs = written(block_pairs(packed, choose, "lone", "cores", "bounds"), "pairs")
     columns = ("node", "vec", "core", "component", "bound")
-    found = met(pairs, packed, columns).mapInArrow(compare, "component bigint, w double, p bigint, q bigint")
+    found = compared(pairs, packed, columns, compare, "component bigint, w double, p bigint, q bigint")
     return found.groupBy("component").agg(F.min(F.struct(*EDGE)).alias("best"))
 
 
@@ -115,8 +115,33 @@ def _follow(pointers: DataFrame) -> DataFrame:
         pointers = onward
 
 
+def _roots(pointers: DataFrame, count: int) -> DataFrame:
+    """(component, root) for ``count`` pointers (component, to) at most, two of which may point to each other; one task follows up to ``GROUP``."""
+    if count > GROUP:
+        return _follow(_rooted(pointers))
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [(b["component"].to_numpy(), b["to"].to_numpy()) for b in batches]
+        if rows:
+            component, to = (np.concatenate(column) for column in zip(*rows, strict=True))
+            order = np.argsort(component)
+            component, at = component[order], np.searchsorted(component[order], to[order])
+            place = np.arange(len(at))
+            at = np.where((at[at] == place) & (place < at), place, at)
+            while (at[at] != at).any():
+                at = at[at]
+            yield pa.RecordBatch.from_arrays([pa.array(component), pa.array(component[at])], ["component", "root"])
+
+    return pointers.repartition(1).mapInArrow(settle, "component bigint, root bigint")
+
+
 def spanning_tree(packed: DataFrame, near: DataFrame) -> DataFrame:
     """Edges (p, q, w) of the minimum spanning tree of the points of ``packed``; ``near`` has their core distances and neighbours."""
+    return tree_and_homes(packed, near)[0]
+
+
+def tree_and_homes(packed: DataFrame, near: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The edges of ``spanning_tree``, and (node, component) of the last round in which no component held over ``GROUP`` points."""
     places = packed.select("block", F.posexplode("node").alias("at", "node")).join(near.select("node", "core"), "node")
     places = written(places, "places")
     offered = near.select("node", "core", F.explode("near").alias("n")).select("node", "core", "n.gap", F.col("n.node").alias("other"))
@@ -125,7 +150,7 @@ def spanning_tree(packed: DataFrame, near: DataFrame) -> DataFrame:
     edges = offered.join(other, "other").select(edge(weight, F.col("node"), F.col("other")).alias("e")).distinct().select("e.*")
     edges = written(edges, "offered")
     labels = written(places.select("node", F.col("node").alias("component")), "labels")
-    tree, left = None, labels.count()
+    tree, left, homes = None, labels.count(), labels
     while left > 1:
         edges = written(join_labels(edges, labels), "live")
         offers = written(lightest(edges), "offers")
@@ -133,30 +158,34 @@ def spanning_tree(packed: DataFrame, near: DataFrame) -> DataFrame:
         bound = F.coalesce("offer", F.lit(float("inf")))
         lists_of = F.sort_array(F.collect_list(F.struct("at", "core", "component", bound.alias("bound"))))
         lone = F.when(F.min("component") == F.max("component"), F.min("component")).otherwise(-1)
-        per_block = marked.groupBy("block").agg(lists_of.alias("all"), lone.alias("lone"), F.max("core").alias("cores"), F.max(bound).alias("bounds"))
-        full = packed.join(per_block, "block").select("block", "node", "vec", "low", "high", "lone", "cores", "bounds", *[F.col(f"all.{c}").alias(c) for c in ("core", "component", "bound")])
+        per_block = marked.groupBy("block").agg(lists_of.alias("all"), lone.alias("lone"), F.max("core").alias("cores"), F.max(F.when(F.col("core") <= bound, bound).otherwise(-1.0)).alias("bounds"))
+        full = packed.join(per_block, "block").select("block", "chunk", "node", "vec", "low", "high", "lone", "cores", "bounds", *[F.col(f"all.{c}").alias(c) for c in ("core", "component", "bound")])
         found = written(_outside(written(full, "marked")), "found")
         best = offers.unionByName(found).groupBy("component").agg(F.min("best").alias("best"))
         chosen = written(join_labels(best.select("component", "best.*"), labels), "chosen")
         tree = chosen.select("p", "q", "w") if tree is None else tree.unionByName(chosen.select("p", "q", "w"))
         other = F.when(F.col("a") == F.col("component"), F.col("b")).otherwise(F.col("a"))
-        merged = _follow(_rooted(chosen.select("component", other.alias("to"))))
+        merged = _roots(chosen.select("component", other.alias("to")), left)
         labels = written(labels.join(merged, "component").select("node", F.col("root").alias("component")), "labels")
-        before, left = left, labels.select("component").distinct().count()
+        counted = labels.groupBy("component").count().agg(F.count(F.lit(1)).alias("left"), F.max("count").alias("most")).first()
+        before, left = left, counted.left
         if left >= before:
             raise RuntimeError("the spanning tree made no progress")
-    return written(tree.distinct(), "tree") if tree is not None else edges.select("p", "q", "w").limit(0)
+        homes = labels if counted.most <= GROUP else homes
+    return written(tree.distinct(), "tree") if tree is not None else edges.select("p", "q", "w").limit(0), homes
 
 
 # --- points that enter large components ------------------------------------------------
 
 
-def _enter_in_order(nodes: list[int], copies: list[int], edges: list[tuple[float, int, int]], min_size: int) -> list[tuple[int, int, tuple | None]]:
-    """(node, component, entry) after all edges of one group, taken one by one in their order."""
-    top = {n: n for n in nodes}
-    size, members = dict(zip(nodes, copies, strict=True)), {n: [n] for n in nodes}
-    entry = {n: (0.0, n, n) for n in nodes if size[n] >= min_size}
-    leaf = {n: n for n in entry}
+def _enter_in_order(sizes: dict[int, int], large: set[int], edges: list[tuple[float, int, int, int, int]], min_size: int) -> list[tuple[int, int, tuple | None]]:
+    """(component, into, entry) for the small components ``sizes`` after their edges (w, p, q, a, b), taken one by one in their order.
+
+    Ends that are neither here nor ``large`` are unknown.  A component whose lightest edge leads to such an end, or to one that waits
+    itself, waits: it keeps its size and has no entry.
+    """
+    top, size, members, waits = {n: n for n in sizes}, dict(sizes), {n: [n] for n in sizes}, set()
+    entered: dict[int, tuple[int, tuple]] = {}
 
     def find(x: int) -> int:
         while top[x] != x:
@@ -164,62 +193,86 @@ def _enter_in_order(nodes: list[int], copies: list[int], edges: list[tuple[float
             x = top[x]
         return x
 
-    for key in sorted(edges):
-        p, q = key[1:]
-        a, b = find(p), find(q)
-        small = [x for x in (a, b) if x not in entry]
-        if size[a] + size[b] >= min_size:
-            name = leaf[q if a in small else p] if len(small) == 1 else min(members[a] + members[b]) if small else None
-            for x in small:
-                for n in members[x]:
-                    entry[n], leaf[n] = key, name
-        if size[a] < size[b]:
-            a, b = b, a
-        top[b] = a
-        size[a] += size[b]
-        if small and size[a] < min_size:
-            members[a] += members[b]
-    return [(n, leaf.get(n, min(members[find(n)])), entry.get(n)) for n in nodes]
-
-
-def enter_by_groups(tree: DataFrame, points: DataFrame, min_size: int) -> DataFrame:
-    """State (node, copies, component, entry) after all edges below a weight at which no component holds over ``GROUP`` points.
-
-    Components of the lighter edges do not depend on each other, so each is settled in one task.  Without such a weight no
-    edge is taken, and all is left to the rounds of ``enter_large``.
-    """
-    start = points.select("node", "copies", F.col("node").alias("component"), F.when(F.col("copies") >= min_size, F.struct(F.lit(0.0).alias("w"), F.col("node").alias("p"), F.col("node").alias("q"))).alias("entry"))
-    n, shape = points.count(), "node bigint, copies bigint, component bigint, entry struct<w: double, p: bigint, q: bigint>"
-    if n <= GROUP:
-        light, groups = tree, points.select("node", F.lit(0).cast("bigint").alias("component"))
-    else:
-        light = None
-        for border in tree.approxQuantile("w", [0.95, 0.8, 0.6, 0.4, 0.2], 0.001):
-            light = tree.where(F.col("w") < border)
-            groups = written(connected_components(points.select("node"), light.select(F.col("p").alias("a"), F.col("q").alias("b"))), "groups")
-            if groups.groupBy("component").count().where(F.col("count") > GROUP).isEmpty():
-                break
+    for *key, a, b in sorted(edges):
+        names = [entered[x][0] if x in entered else x if x in large else None for x in (a, b)]
+        small = [find(x) for x, name in zip((a, b), names, strict=True) if name is None and x in top]
+        if len(small) + 2 - names.count(None) < 2 or waits.intersection(small):
+            waits.update(small)
+            continue
+        if not small:
+            continue
+        if len(small) == 2:
+            kept, other = sorted(small, key=lambda x: (-len(members[x]), x))
+            top[other] = kept
+            size[kept] += size.pop(other)
+            members[kept] += members.pop(other)
+            name = min(members[kept]) if size[kept] >= min_size else None
         else:
-            return start
+            (kept,), name = small, next(n for n in names if n is not None)
+        if name is not None:
+            entered |= dict.fromkeys(members[kept], (name, tuple(key)))
+    least = {root: min(of) for root, of in members.items()}
+    return [(n, *entered[n]) if n in entered else (n, least[find(n)], None) for n in sizes]
+
+
+def _settle(small: DataFrame, edges: DataFrame, min_size: int) -> DataFrame:
+    """(component, into, by) for ``small`` (home, component, size) by ``edges`` (home, w, p, q, a, b), each home in a task.
+
+    Components of size ``min_size`` are large from the start and stay as they are.  Ends outside of a home are unknown, unless ``a_large`` or ``b_large``.
+    """
+    shape = "component bigint, into bigint, by struct<w: double, p: bigint, q: bigint>"
 
     def settle(key: tuple, nodes: pa.Table, edges: pa.Table) -> pa.Table:
-        ids, copies = nodes["node"].to_pylist(), nodes["copies"].to_pylist()
-        found = _enter_in_order(ids, copies, list(zip(*(edges[c].to_pylist() for c in EDGE), strict=True)), min_size)
-        entry = pa.array([e and dict(zip(EDGE, e, strict=True)) for _, _, e in found], pa.struct([("w", pa.float64()), ("p", pa.int64()), ("q", pa.int64())]))
-        return pa.table({"node": ids, "copies": copies, "component": pa.array([c for _, c, _ in found], pa.int64()), "entry": entry})
+        sizes = dict(zip(nodes["component"].to_pylist(), nodes["size"].to_pylist(), strict=True))
+        ends = {c: edges[c].to_pylist() for c in ("a", "b", "a_large", "b_large")}
+        large = {x for c in "ab" for x, known in zip(ends[c], ends[f"{c}_large"], strict=True) if known} | {n for n, size in sizes.items() if size >= min_size}
+        found = _enter_in_order({n: size for n, size in sizes.items() if n not in large}, large, list(zip(*(edges[c].to_pylist() for c in EDGE), ends["a"], ends["b"], strict=True)), min_size)
+        by = pa.array([e and dict(zip(EDGE, e, strict=True)) for _, _, e in found], pa.struct([("w", pa.float64()), ("p", pa.int64()), ("q", pa.int64())]))
+        return pa.table({"component": pa.array([n for n, _, _ in found], pa.int64()), "into": pa.array([c for _, c, _ in found], pa.int64()), "by": by})
+
+    edges = edges.select(F.col("home").alias("of"), *EDGE, "a", "b", "a_large", "b_large")
+    return small.groupBy("home").cogroup(edges.groupBy("of")).applyInArrow(settle, shape)
+
+
+def enter_by_groups(tree: DataFrame, points: DataFrame, homes: DataFrame, min_size: int) -> DataFrame:
+    """State (node, copies, component, entry) after what each group of points can tell by its own edges and those that leave it.
+
+    Groups are made of the components ``homes`` (node, component), of at most ``GROUP`` points each.  They hold most light edges, so few points wait.
+    """
+    start = points.select("node", "copies", F.col("node").alias("component"), F.when(F.col("copies") >= min_size, F.struct(F.lit(0.0).alias("w"), F.col("node").alias("p"), F.col("node").alias("q"))).alias("entry"))
+    groups = 1 + 8 * (n // GROUP) if (n := points.count()) > GROUP else 1
+    home = homes.select("node", F.pmod(F.xxhash64("component"), F.lit(groups)).alias("home"))
+    ends = tree.join(home.select(F.col("node").alias("p"), F.col("home").alias("one")), "p").join(home.select(F.col("node").alias("q"), F.col("home").alias("two")), "q")
+    own = ends.select(F.explode(F.array_distinct(F.array("one", "two"))).alias("home"), *EDGE, F.col("p").alias("a"), F.col("q").alias("b"), F.lit(False).alias("a_large"), F.lit(False).alias("b_large"))
+    small = points.join(home, "node").select("home", F.col("node").alias("component"), F.col("copies").alias("size"))
+    return moved(start, written(_settle(small, own, min_size), "moves"))
+
 
-    own = light.join(groups.withColumnRenamed("node", "p"), "p").select(*EDGE, F.col("component").alias("of"))
-    homes = points.select("node", "copies").join(groups, "node").withColumnRenamed("component", "home")
-    return homes.groupBy("home").cogroup(own.groupBy("of")).applyInArrow(settle, shape)
+def moved(state: DataFrame, moves: DataFrame) -> DataFrame:
+    """``state`` after ``moves`` (component, into, by)."""
+    return state.join(moves, "component", "left").select("node", "copies", F.coalesce("into", "component").alias("component"), F.coalesce("entry", "by").alias("entry"))
 
 
-def enter_large(tree: DataFrame, points: DataFrame, min_size: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _round_of_moves(along: DataFrame, min_size: int) -> DataFrame:
+    """(component, into, by) after one round over ``along`` (component, size, by, to): small components and their lightest edges."""
+    # Every small component points along its lightest edge.  What ends at a large one enters there, each by its own edge.
+    large = along.select(F.col("to").alias("component")).join(along.select("component"), "component", "left_anti").distinct()
+    pointers = _rooted(along.select("component", "to")).unionByName(large.select("component", F.col("component").alias("to")))
+    reached = _follow(pointers).join(large.select(F.col("component").alias("root")), "root").where("component <> root")
+    absorbed = reached.join(along.select("component", "by"), "component").select("component", F.col("root").alias("into"), "by")
+    # Two that point to each other become one, named by the smaller; it is a leaf if it is large now.
+    back = along.select(F.col("component").alias("to"), F.col("to").alias("component"), F.col("size").alias("more"))
+    grown = along.join(back, ["component", "to"]).select("component", F.least("component", "to").alias("into"), F.when(F.col("size") + F.col("more") >= min_size, F.col("by")).alias("by"))
+    return absorbed.unionByName(grown)
+
+
+def enter_large(tree: DataFrame, points: DataFrame, homes: DataFrame, min_size: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Written tables (node, copies, leaf, entry), (leaf, birth) and the edges (a, b, w, p, q) between leaves.
 
     A leaf is a component that has grown to ``min_size`` rows by its edge ``birth``; ``entry`` is the edge by which a point
     enters a large component, that of the leaf or a later one that contains it.  ``leaf`` is null if all rows together are too few.
     """
-    state = written(enter_by_groups(tree, points, min_size), "state")
+    state = written(enter_by_groups(tree, points, homes, min_size), "state")
     edges = written(join_labels(tree.select(*EDGE), state.select("node", "component")), "edges")
     while True:
         # A large component has entries and a small one has none.
@@ -230,17 +283,14 @@ def enter_large(tree: DataFrame, points: DataFrame, min_size: int) -> tuple[Data
         along = written(along.select("component", "size", F.struct(*EDGE).alias("by"), other.alias("to")), "along")
         if along.isEmpty():
             break
-        # Every small component points along its lightest edge.  What ends at a large one enters there, each by its own edge.
-        large = along.select(F.col("to").alias("component")).join(along.select("component"), "component", "left_anti").distinct()
-        pointers = _rooted(along.select("component", "to")).unionByName(large.select("component", F.col("component").alias("to")))
-        reached = _follow(pointers).join(large.select(F.col("component").alias("root")), "root").where("component <> root")
-        absorbed = reached.join(along.select("component", "by"), "component").select("component", F.col("root").alias("into"), "by")
-        # Two that point to each other become one, named by the smaller; it is a leaf if it is large now.
-        back = along.select(F.col("component").alias("to"), F.col("to").alias("component"), F.col("size").alias("more"))
-        grown = along.join(back, ["component", "to"]).select("component", F.least("component", "to").alias("into"), F.when(F.col("size") + F.col("more") >= min_size, F.col("by")).alias("by"))
-        moves = written(absorbed.unionByName(grown), "moves")
-        state = state.join(moves, "component", "left").select("node", "copies", F.coalesce("into", "component").alias("component"), F.coalesce("entry", "by").alias("entry"))
-        state = written(state, "state")
+        if along.count() <= GROUP:
+            # What still waits fits one task, with all its edges.
+            known = edges.join(small.select(F.col("component").alias("a"), F.lit(True).alias("a_small")), "a", "left").join(small.select(F.col("component").alias("b"), F.lit(True).alias("b_small")), "b", "left").where("a_small OR b_small")
+            known = known.select(F.lit(0).alias("home"), *EDGE, "a", "b", F.col("a_small").isNull().alias("a_large"), F.col("b_small").isNull().alias("b_large"))
+            moves = _settle(along.select(F.lit(0).alias("home"), "component", "size"), known, min_size)
+        else:
+            moves = _round_of_moves(along, min_size)
+        state = written(moved(state, written(moves, "moves")), "state")
         edges = written(join_labels(edges.select(*EDGE), state.select("node", "component")), "edges")
     leaf = F.when(F.col("entry").isNotNull(), F.col("component"))
     entered = written(state.select("node", "copies", leaf.alias("leaf"), "entry"), "entered")
@@ -348,7 +398,8 @@ def varying_topics(vectors: DataFrame, column: str, min_samples: int, min_cluste
         return members.select(key, F.lit(OUTLIER).alias("topic_id"))
     packed = blocks(points)
     near = nearest_neighbours(packed, min_samples, min_samples)
-    entered, births, edges = enter_large(spanning_tree(packed, near), points, min_cluster_size)
+    tree_edges, homes = tree_and_homes(packed, near)
+    entered, births, edges = enter_large(tree_edges, points, homes, min_cluster_size)
     tree = cluster_tree(births, edges)
 
     @F.pandas_udf("int")
