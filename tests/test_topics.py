@@ -339,3 +339,11 @@ def test_reduced_dimensions_are_principal_components(spark):
     best = axes[:, np.argsort(values)[::-1][:3]]
     got = density.reduce_dimensions(vectors(spark, rows), 3).orderBy("unit_id").collect()
     assert np.allclose(np.abs([r.reduced for r in got]), np.abs(unit @ best), atol=1e-6)
+
+
+def test_reduced_vectors_hash_each_text_once(spark):
+    from threadlens.plans import catalog
+
+    found = catalog.QUERIES["reduced_vectors"](spark, "/root/testdata/sf0.001")
+    assert "ArrowEvalPython" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert "ArrowEvalPython" not in found._jdf.queryExecution().executedPlan().toString() and found.count() == 5 * spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()

@@ -15,7 +15,7 @@ from ..functions.flags import flag_columns, priority_label
 from ..functions.vectors import HashProvider, cosine, hash_embedding
 from ..operators import dendrogram, density, embed, enrich, ingest, messages, metrics, report, spectral, terms, topics, units
 from ..options import EmbeddingOptions, EnrichmentOptions, MessageOptions, ReportOptions, TopicOptions, UnitOptions
-from ..session import ensure_checkpoint_dir, materialise
+from ..session import ensure_checkpoint_dir, materialise, written
 from ..sources.adapters import WORD_FLAGS, dialogs, labelled_vectors, language_topics, raw_export, table
 from ..sources.tables import read_csv, write_report, write_table
 from . import check_sql as q
@@ -600,7 +600,8 @@ def topic_reduction(spark, folder):
 @query()
 def reduced_vectors(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    docs = docs.select("doc_id", hash_embedding(F.col("text")).alias("embedding"))
+    # The fit and the projection read the vectors, so texts are hashed once and not in each of these jobs.
+    docs = written(docs.select("doc_id", hash_embedding(F.col("text")).alias("embedding")), "vectors")
     return density.reduce_dimensions(docs, 5).select("doc_id", F.posexplode("reduced").alias("pos", "x"))
 
 
