@@ -347,3 +347,15 @@ def test_reduced_vectors_hash_each_text_once(spark):
     found = catalog.QUERIES["reduced_vectors"](spark, "/root/testdata/sf0.001")
     assert "ArrowEvalPython" not in found._jdf.queryExecution().optimizedPlan().toString()
     assert "ArrowEvalPython" not in found._jdf.queryExecution().executedPlan().toString() and found.count() == 5 * spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()
+
+
+def test_each_batch_of_the_hashing_gives_memory_back(monkeypatch):
+    import pyarrow as pa
+
+    from threadlens.functions import vectors
+
+    calls, kept = [], []
+    monkeypatch.setattr(vectors, "release", lambda: calls.append(1))
+    monkeypatch.setattr(vectors.F, "arrow_udf", lambda kind: lambda f: kept.append(f) or type("Udf", (), {"asNondeterministic": lambda self: lambda text: text})())
+    vectors.hash_embedding(None)
+    assert len(kept[0](pa.array(["one two", None]))) == 2 and calls == [1]
