@@ -114,3 +114,9 @@ def test_native(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     plan = sh.assign(docs, 24)._jdf.queryExecution().toString()
     assert not [w for w in ("Python", "Pandas", "Arrow", "ExistingRDD") if w in plan]
+
+
+def test_plans_do_not_grow_with_the_levels(spark):
+    rows = sh.numbered(spark.createDataFrame(corpus(7, 100), SCHEMA))
+    plans = [sh.shards(rows, n, 4)._jdf.queryExecution().optimizedPlan().toString() for n in (1, 2, 24)]
+    assert [p.count("Join") for p in plans] == [0, 0, 0]

@@ -53,20 +53,17 @@ def _per_dimension(n: int, what: str) -> Column:
     return F.array(*[F.expr(what.format(i)) for i in range(n)])
 
 
-def _narrow(rows: DataFrame, nodes: DataFrame, step: int) -> DataFrame:
+def _narrow(rows: DataFrame, nodes: DataFrame, n: int, step: int) -> DataFrame:
     """One step towards each node's cut: which slice of the keys crosses the left side's bytes, and the bytes before it."""
     shift = PLACE_BITS + HASH_BITS - STEP_BITS * step
-    at = rows.where("owes > 1")
-    if step > 1:
-        at = at.join(F.broadcast(nodes.select("first", "slice")), "first").where(F.shiftright("key", shift + STEP_BITS) == F.col("slice"))
-    sums = at.groupBy("first", F.shiftright("key", shift).alias("next")).agg(F.sum("size").alias("bytes"))
-    state = nodes.select("first", "goal", "passed") if step > 1 else nodes.select("first", "goal", F.lit(0).cast("bigint").alias("passed"))
-    sums = sums.join(F.broadcast(state), "first")
+    at = _keyed(rows, nodes, n, "inner").where(F.shiftright("key", shift + STEP_BITS) == F.col("slice"))
+    own = ["first", "dim", "low", "high", "goal"]
+    sums = at.groupBy(*own, "passed", F.shiftright("key", shift).alias("next")).agg(F.sum("size").alias("bytes"))
     upto = Window.partitionBy("first").orderBy("next").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     sums = sums.withColumn("reached", F.col("passed") + F.sum("bytes").over(upto))
     # The last slice is reached by all bytes, so every node that owes more than one shard crosses somewhere.
-    crossing = sums.where("reached > goal").groupBy("first").agg(F.min("next").alias("slice"), F.min_by(F.expr("reached - bytes"), "next").alias("passed"))
-    return staged(crossing.join(F.broadcast(nodes.drop("slice", "passed")), "first"), "cuts")
+    crossing = sums.where("reached > goal").groupBy(*own).agg(F.min("next").alias("slice"), F.min_by(F.expr("reached - bytes"), "next").alias("passed"))
+    return staged(crossing, "cuts")
 
 
 def _level(rows: DataFrame, widths: Sequence[float], n: int) -> DataFrame:
@@ -76,31 +73,31 @@ def _level(rows: DataFrame, widths: Sequence[float], n: int) -> DataFrame:
     spread = F.array(*[(F.col("highs")[i] - F.col("lows")[i]) / w if w > 0 else F.lit(0.0) for i, w in enumerate(widths)])
     nodes = nodes.withColumn("spread", spread).withColumn("dim", F.expr("CAST(array_position(spread, array_max(spread)) AS INT) - 1"))
     goal = F.expr("CAST(floor(CAST(bytes AS decimal(20,0)) * (owes div 2) / owes) AS bigint)")
-    nodes = nodes.select("first", "owes", "dim", F.col("lows")[F.col("dim")].alias("low"), F.col("highs")[F.col("dim")].alias("high"), goal.alias("goal"))
+    start = [F.lit(0).cast("bigint").alias(c) for c in ("slice", "passed")]  # the one slice of all keys
+    nodes = nodes.select("first", "dim", F.col("lows")[F.col("dim")].alias("low"), F.col("highs")[F.col("dim")].alias("high"), goal.alias("goal"), *start)
     nodes = staged(nodes, "nodes")
-    keyed = _keyed(rows, nodes, n)
     for step in range(1, (PLACE_BITS + HASH_BITS) // STEP_BITS + 1):
-        nodes = _narrow(keyed, nodes, step)
+        nodes = _narrow(rows, nodes, n, step)
     return nodes.select("first", "dim", "low", "high", F.col("slice").alias("cut"))
 
 
-def _keyed(rows: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
-    """Rows with their key in their node: the place in its widest dimension, then a hash of the row."""
-    own = rows.join(F.broadcast(nodes.select("first", "dim", "low", "high")), "first", "left")
+def _keyed(rows: DataFrame, nodes: DataFrame, n: int, how: str) -> DataFrame:
+    """Rows with their node's columns and their key in it: the place in its widest dimension, then a hash of the row."""
+    own = rows.join(F.broadcast(nodes), "first", how)
     value = _per_dimension(n, "d{}")[F.coalesce(F.col("dim"), F.lit(0))]
     place = F.when(F.col("high") > F.col("low"), F.floor((value - F.col("low")) / (F.col("high") - F.col("low")) * ((1 << PLACE_BITS) - 1))).otherwise(0)
     key = F.shiftleft(place.cast("bigint"), HASH_BITS) + F.xxhash64("row").bitwiseAND(F.lit((1 << HASH_BITS) - 1))
-    return own.withColumn("key", key).drop("dim", "low", "high")
+    return own.withColumn("key", key)
 
 
 def _split(rows: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
     """Rows below their node's cut go to its left half, the others to its right one."""
-    keyed = _keyed(rows, nodes, n).join(F.broadcast(nodes.select("first", "cut")), "first", "left")
     left = F.expr("owes > 1 AND key < cut")
     half = F.expr("owes div 2")
     first = F.when(F.col("owes") == 1, F.col("first")).when(left, F.col("first")).otherwise(F.col("first") + half)
     owes = F.when(F.col("owes") == 1, F.lit(1)).when(left, half).otherwise(F.col("owes") - half)
-    return keyed.withColumn("next", first).withColumn("owes", owes.cast("bigint")).withColumn("first", F.col("next").cast("bigint")).drop("key", "cut", "next")
+    moved = {"first": first.cast("bigint"), "owes": owes.cast("bigint")}
+    return _keyed(rows, nodes, n, "left").withColumns(moved).select(*rows.columns)
 
 
 def shards(rows: DataFrame, n_shards: int, n_dimensions: int) -> DataFrame:
@@ -111,7 +108,8 @@ def shards(rows: DataFrame, n_shards: int, n_dimensions: int) -> DataFrame:
     widths = [float(w or 0) for w in ends]
     placed = rows.withColumn("first", F.lit(0).cast("bigint")).withColumn("owes", F.lit(n_shards).cast("bigint"))
     for _ in range((n_shards - 1).bit_length()):
-        placed = _split(placed, _level(placed, widths, n_dimensions), n_dimensions)
+        # Each level is written, so that the plans which the driver keeps stay as small as those of the first level.
+        placed = staged(_split(placed, _level(placed, widths, n_dimensions), n_dimensions), "level")
     return placed.withColumn("shard", F.col("first").cast("int")).drop("first", "owes")
 
 
