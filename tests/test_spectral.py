@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from threadlens.functions.vectors import hash_vectors
 from threadlens.operators import density, neighbours, spectral
+from threadlens.session import ensure_checkpoint_dir
 
 
 def dense_graph(points, k):
@@ -86,3 +87,43 @@ def test_pairs_of_blocks_are_spread_over_the_cores(spark):
     found = met(pairs, packed, ("node",))
     assert found.count() == packed.count() ** 2
     assert found.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+def test_long_vectors_have_their_nearest_points(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    monkeypatch.setattr(neighbours, "BLOCK", 60)
+    monkeypatch.setattr(neighbours, "OWN", 2)
+    # Whole numbers, so that many distances are equal, and copies.
+    points = rng.integers(0, 3, (500, 20)).astype(float)
+    points = np.concatenate([points, points[:40], points[:10]])
+    _, table = neighbours.distinct_points(frame(spark, points), "unit_id", "embedding")
+    packed = neighbours.blocks(table)
+    rows = table.orderBy("node").collect()
+    gaps = neighbours.distances(*[np.array([r.vec for r in rows])] * 2)
+    node, copies = np.array([r.node for r in rows]), np.array([r.copies for r in rows])
+    for samples, keep in ((1, 7), (9, 3)):
+        got = {r.node: r for r in neighbours.nearest_neighbours(packed, samples, keep).collect()}
+        assert got.keys() == set(node.tolist())
+        for i, n in enumerate(node.tolist()):
+            order = np.argsort(gaps[i], kind="stable")
+            others = [j for j in order if j != i][:keep]
+            assert [(x.gap, x.node) for x in got[n].near] == [(gaps[i, j], node[j]) for j in others]
+            assert got[n].core == gaps[i, order[(np.cumsum(copies[order]) >= samples).argmax()]]
+
+
+def test_blocks_of_long_vectors_are_not_exchanged_and_steps_leave_the_disk(spark, monkeypatch):
+    from pathlib import Path
+    from urllib.parse import urlparse
+
+    def exchanged(*args):
+        raise AssertionError("pairs of blocks of long vectors were exchanged")
+
+    monkeypatch.setattr(neighbours, "met", exchanged)
+    monkeypatch.setattr(neighbours, "BLOCK", 50)
+    rows = frame(spark, np.random.default_rng(6).normal(size=(300, 18)))
+    ensure_checkpoint_dir(spark)
+    kept = Path(urlparse(spark.sparkContext.getCheckpointDir()).path)
+    before = set(kept.iterdir())
+    assert spectral.neighbour_coordinates(rows, 3, 6).count() == 300
+    left = sorted(p.name.split("-")[0] for p in set(kept.iterdir()) - before)
+    assert left == ["coordinates", "members"]
