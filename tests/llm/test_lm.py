@@ -243,6 +243,88 @@ def test_no_training_rows_and_no_rows(spark):
     assert lm.score_texts(docs.limit(0)).count() == 0
 
 
+def slow_stream(text):
+    """(bytes before, unit so far, byte) of every byte of a text, units cut by the letter."""
+    out, before = [], b"\0\0\0 "
+    for token in slow_tokens(text):
+        said = lm.closed(token)
+        for at, byte in enumerate(said):
+            unit = min(at // lm.UNIT, max(0, (len(token) - 1) // lm.UNIT)) * lm.UNIT
+            out.append((before, said[unit:at], byte))
+            before += bytes([byte])
+    return out
+
+
+def slow_running_score(text, trained, mixer):
+    """A text's log10 probability bit by bit; ``trained`` are the bytes of training texts behind their contexts."""
+    def contexts(before, unit):
+        if len(unit) < lm.STEM:
+            return before[-1:], before[-2:], before[-3:], (unit,), before[-4:]
+        return unit[-1:], unit[-2:], unit[-3:], None, (unit,)
+
+    seen = Counter((order, c, byte) for before, unit, byte in trained for order, c in enumerate(contexts(before, unit)) if c is not None)
+    total = 0.0
+    for before, unit, byte in slow_stream(text):
+        for k in range(8):
+            value, node = byte >> (7 - k) & 1, (1 << k) | byte >> (8 - k)
+            x, count = [], 0
+            for order, c in enumerate(contexts(before, unit)):
+                sums = [sum(seen[order, c, b] for b in range(256) if (1 << k) | b >> (8 - k) == node and b >> (7 - k) & 1 == v) for v in (0, 1)]
+                x.append(0 if c is None else math.log((sums[1] + lm.PRIOR) / (sums[0] + lm.PRIOR)))
+                count = sum(sums)
+            gate = min(len(unit), lm.STEM) * lm.SEEN + min(int(math.log2(count + 1)), lm.SEEN - 1)
+            mixed = float(np.clip(np.dot([*x, 1], mixer.weights[gate]), -lm.LIMIT, lm.LIMIT))
+            refined = float(np.interp(mixed, np.linspace(-lm.LIMIT, lm.LIMIT, lm.STEPS), mixer.refined[gate]))
+            p = (mixed + refined) / 2
+            total -= math.log10(1 + math.exp(-p if value else p))
+    return total
+
+
+def test_running_text_like_brute_force(spark, monkeypatch):
+    texts = ["the cat sat on the mat", "The theory of cats", "", None, "a  b\tc", "x" * 70 + " y", "é 日本 the cat", "the theories theorem"]
+    docs = spark.createDataFrame([(i, t, i % 3 == 2) for i, t in enumerate(texts)], "doc_id bigint, text string, held_out boolean").repartition(3)
+    rng = np.random.default_rng(3)
+    mixer = lm.Mixer.fresh()
+    mixer.weights += rng.normal(size=mixer.weights.shape) / 5
+    mixer.refined += rng.normal(size=mixer.refined.shape)
+    monkeypatch.setattr(lm, "fitted", lambda units, counts, steps=None: mixer)
+    trained = [step for i, t in enumerate(texts) if i % 3 != 2 for step in slow_stream(t)]
+    found = {r.doc_id: r.score for r in lm.score_texts(docs, over_blanks=True).collect()}
+    assert found == pytest.approx({i: slow_running_score(t, trained, mixer) for i, t in enumerate(texts)}, abs=2e-3)
+    steps = {r.step: r.n for r in lm.count_steps(docs).collect()}
+    assert sum(steps.values()) == sum(len(unit) < lm.STEM for _, unit, _ in trained)
+    some = np.array([5 << 8 | 7 << 24 | 2 << 40], np.uint64) | np.arange(256, dtype=np.uint64) << np.uint64(32)
+    counts = lm.shared_counts(spark.createDataFrame([], "unit binary, trained bigint"), lm.count_steps(docs))
+    assert (10 ** lm.step_scores(some, counts, mixer)).sum() == pytest.approx(1, abs=1e-5)
+
+
+def test_order_of_words_counts(spark):
+    rng = random.Random(9)
+    lines = ["red fish swim in deep water", "old men sit by the fire", "tall trees grow on green hills", "cold wind comes from far north"]
+    rows = [(i, " ".join(rng.choice(lines) for _ in range(6)), i % 7 == 2) for i in range(140)]
+    shuffled = [(1000 + i, " ".join(rng.sample(t.split(), len(t.split()))), True) for i, t, held in rows if held]
+    docs = spark.createDataFrame(rows + shuffled, "doc_id bigint, text string, held_out boolean")
+    alone, running = ({r.doc_id: r.score for r in lm.score_texts(docs, over_blanks=o).collect()} for o in (False, True))
+    for i, _, _ in shuffled:
+        assert alone[i] == pytest.approx(alone[i - 1000], abs=1e-3)
+        assert running[i] < running[i - 1000] - 1 and running[i - 1000] > alone[i - 1000]
+
+
+def test_steps_are_fitted_by_descent(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, t, False) for i, t in corpus(5, 200)], "doc_id bigint, text string, held_out boolean")
+    steps = lm.staged(lm.count_steps(docs), "steps")
+    counts = spark.sparkContext.broadcast(lm.shared_counts(spark.createDataFrame([], "unit binary, trained bigint"), steps))
+    losses = []
+    for passes in (1, 3, 10):
+        monkeypatch.setattr(lm, "PASSES", passes)
+        mixer = lm.Mixer.fresh()
+        lm.fit_steps(steps, counts, mixer)
+        losses.append(lm._over_steps(steps, counts, mixer.bends, (lm.GATES, 43))[:, 0].sum())
+    assert losses[0] > 1.01 * losses[1] and losses[1] >= losses[2] * (1 - 1e-3)
+    whole = lm._over_steps(steps.repartition(7), counts, mixer.bends, (lm.GATES, 43))
+    assert whole[:, 0].sum() == pytest.approx(losses[2])
+
+
 def test_query_on_the_given_table(spark):
     from conftest import FOLDER
 
